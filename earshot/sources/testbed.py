@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -54,3 +55,27 @@ def scaled_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors(spark, sf_dir).withColumn(
         "vec", F.transform("vec", lambda x: x * (1 + F.col("id") % 5).cast("double"))
     )
+
+
+def history_lists(spark: SparkSession, sf_dir: str, k: int) -> DataFrame:
+    """(user_ix, item_ix, score, rank): every user's k most played training items, a list whose
+    quality SQL can compute as well. The rank limit also applies before the shuffle."""
+    order = W.partitionBy("user_ix").orderBy(F.desc("score"), F.asc("item_ix"))
+    return (
+        numbered(spark, sf_dir, "train")
+        .withColumn("rank", F.row_number().over(order))
+        .filter(F.col("rank") <= k)
+    )
+
+
+def numbered(spark: SparkSession, sf_dir: str, split: str) -> DataFrame:
+    """(user_ix, item_ix, score): plays of one split with their ids, which are numbers, as they are."""
+    return (
+        plays(spark, sf_dir)
+        .filter(F.col("split") == split)
+        .select(
+            F.col("user_id").cast("int").alias("user_ix"),
+            F.col("track_id").cast("int").alias("item_ix"),
+            F.col("count").cast("double").alias("score"),
+        )
+    )
