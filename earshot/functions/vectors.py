@@ -1,7 +1,9 @@
-"""Vector expressions over ``array<double>`` columns."""
+"""Vector columns, ``array<float>`` or ``array<double>``, in expressions and in Arrow batches."""
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,16 +14,10 @@ def as_doubles(vec: str | Column) -> Column:
 
 
 def norm(vec: str | Column) -> Column:
-    return F.sqrt(F.aggregate(vec, F.lit(0.0), lambda total, x: total + x * x))
+    return F.sqrt(F.aggregate(as_doubles(vec), F.lit(0.0), lambda total, x: total + x * x))
 
 
-def unit(vec: str | Column) -> Column:
-    """The vector at length 1; a zero vector stays zero and so scores 0 against everything."""
-    size = norm(vec)
-    return F.when(size > 0, F.transform(vec, lambda x: x / size)).otherwise(vec)
-
-
-def dimension(df: DataFrame, vec: str) -> int:
+def dimension(df: DataFrame, vec: str = "vec") -> int:
     """Length of the vectors, read off the first row."""
     row = df.select(F.size(vec).alias("dim")).limit(1).first()
     if row is None:
@@ -29,12 +25,23 @@ def dimension(df: DataFrame, vec: str) -> int:
     return row.dim
 
 
-def augment_items(items: DataFrame, longest: float, vec: str = "vec", out: str = "aug") -> DataFrame:
-    """Append ``sqrt(longest² - |v|²)``: all items get the norm ``longest`` and, against queries
-    extended by 0, the order by angle becomes the order by inner product."""
-    gap = F.lit(float(longest) ** 2) - F.aggregate(vec, F.lit(0.0), lambda total, x: total + x * x)
-    return items.withColumn(out, F.concat(F.col(vec), F.array(F.sqrt(F.greatest(gap, F.lit(0.0))))))
+def matrix(vectors: pa.Array) -> np.ndarray:
+    """Vectors of equal length as the rows of a matrix of doubles."""
+    return np.asarray(vectors.flatten(), dtype=np.float64).reshape(len(vectors), -1)
+
+
+def unit_rows(rows: np.ndarray) -> np.ndarray:
+    """Rows at length 1; a zero row stays zero and so scores 0 against everything."""
+    size = np.sqrt((rows * rows).sum(axis=1, keepdims=True))
+    return np.divide(rows, size, out=np.zeros_like(rows), where=size > 0)
+
+
+def pad_items(rows: np.ndarray, longest: float) -> np.ndarray:
+    """Rows with ``sqrt(longest² - |row|²)`` appended: all get the norm ``longest``, and against
+    queries padded with 0 the order by angle becomes the order by inner product."""
+    gap = np.maximum(longest**2 - (rows * rows).sum(axis=1, keepdims=True), 0.0)
+    return np.hstack([rows, np.sqrt(gap)])
 
 
-def augment_queries(queries: DataFrame, vec: str = "vec", out: str = "aug") -> DataFrame:
-    return queries.withColumn(out, F.concat(F.col(vec), F.array(F.lit(0.0))))
+def pad_queries(rows: np.ndarray) -> np.ndarray:
+    return np.hstack([rows, np.zeros((len(rows), 1))])

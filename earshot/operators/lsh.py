@@ -7,14 +7,18 @@ closest to; what they meet there is scored exactly.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import partial
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from earshot.functions.vectors import augment_items, augment_queries, dimension, norm
+from earshot.functions.vectors import dimension, matrix, norm, pad_items, pad_queries
 from earshot.operators.joins import join_unique
-from earshot.operators.topk import best_in_cells, exact_topk, matrix, prepare, rank_best
+from earshot.operators.topk import best_in_cells, exact_topk, rank_best
+from earshot.sources.store import materialize
 
 MAX_BITS = 30
 
@@ -54,30 +58,33 @@ def _lists(values: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(offsets, values.ravel())
 
 
-def _hash(shape: tuple[int, int, int], seed: int, probes: int):
-    tables, bits, _ = shape
+def with_codes(
+    df: DataFrame,
+    tables: int,
+    bits: int,
+    seed: int,
+    dim: int,
+    probes: int = 0,
+    pad: Callable[[np.ndarray], np.ndarray] | None = None,
+) -> DataFrame:
+    """Append ``codes``: the bucket of ``vec`` in every table, or with ``probes`` the buckets to
+    look into, own bucket first, table after table. ``pad`` changes the vectors before."""
+    probes = min(probes, 2**bits - 1)
+    if pad:
+        dim += 1
 
     def run(vectors: pa.Array) -> pa.Array:
         if not len(vectors):
             return pa.array([], pa.list_(pa.int64()))
-        sides = np.tensordot(matrix(pa.chunked_array([vectors])), planes(*shape, seed), axes=(1, 2))
-        weights = 1 << np.arange(bits, dtype=np.int64)
-        codes = ((sides > 0) * weights).sum(axis=2)
+        rows = matrix(vectors)
+        sides = np.tensordot(pad(rows) if pad else rows, planes(tables, bits, dim, seed), axes=(1, 2))
+        codes = ((sides > 0) * (1 << np.arange(bits, dtype=np.int64))).sum(axis=2)
         if probes:
             flips = cheapest_flips(np.abs(sides).reshape(-1, bits), probes)
             codes = codes[:, :, None] ^ flips.reshape(len(vectors), tables, -1)
         return _lists(codes.reshape(len(vectors), -1))
 
-    return run
-
-
-def with_codes(
-    df: DataFrame, vec: str, tables: int, bits: int, seed: int, dim: int, probes: int = 0
-) -> DataFrame:
-    """Append ``codes``: the bucket of every table, or with ``probes`` the buckets to look into,
-    own bucket first, table after table."""
-    hash_ = F.arrow_udf(_hash((tables, bits, dim), seed, min(probes, 2**bits - 1)), "array<bigint>")
-    return df.withColumn("codes", hash_(vec))
+    return df.withColumn("codes", F.arrow_udf(run, "array<bigint>")("vec"))
 
 
 def buckets(coded: DataFrame, bits: int, probes: int = 0) -> DataFrame:
@@ -98,7 +105,7 @@ def save_buckets(bucketed: DataFrame, path: str) -> None:
 
 
 def search_buckets(
-    queries: DataFrame, items: DataFrame, k: int, dim: int, tables: int, bits: int, n_queries: int, n_items: int, **sizes
+    queries: DataFrame, items: DataFrame, k: int, metric: str, tables: int, bits: int, n_queries: int, n_items: int, **sizes
 ) -> DataFrame:
     """(query, item, score, rank) from bucket tables of queries (query, vec) and items (item, vec)
     with ``n_queries`` and ``n_items`` rows.
@@ -109,7 +116,7 @@ def search_buckets(
     """
     cell = (F.col("tbl").cast("bigint") * (1 << bits) + F.col("code")).alias("cell")
     left, right = queries.select(cell, "query", "vec"), items.select(cell, "item", "vec")
-    found = best_in_cells(left, right, k, dim, tables << bits, n_queries, n_items, **sizes)
+    found = best_in_cells(left, right, k, metric, tables << bits, n_queries, n_items, dimension(items), **sizes)
     # a query has at most k rows per bucket and stripe, so one shuffle by query serves both steps
     once = found.repartition("query").groupBy("query", "item").agg(F.max("score").alias("score"))
     return rank_best(once, k)
@@ -121,19 +128,19 @@ def hash_pair(
     """(query, vec, codes) and (item, vec, codes) of queries and items given as (id, vec).
 
     ``dot`` hashes both with one more dimension, which turns the search for the largest inner
-    product into one for the smallest angle; ``vec`` stays as it was.
+    product into one for the smallest angle; ``vec`` stays as it is.
     """
-    left = prepare(queries.select("id", "vec"), "query", metric)
-    right = prepare(items.select("id", "vec"), "item", metric)
-    dim = dimension(right, "vec")
-    hashed = "vec"
+    left = queries.select(F.col("id").alias("query"), "vec")
+    right = items.select(F.col("id").alias("item"), "vec")
+    dim = dimension(right)
+    pad_left = pad_right = None
     if metric == "dot":
         longest = right.agg(F.max(norm("vec"))).first()[0]
-        left, right = augment_queries(left), augment_items(right, longest)
-        hashed, dim = "aug", dim + 1
-    left = with_codes(left, hashed, tables, bits, seed, dim, probes).select("query", "vec", "codes")
-    right = with_codes(right, hashed, tables, bits, seed, dim).select("item", "vec", "codes")
-    return left, right
+        pad_left, pad_right = pad_queries, partial(pad_items, longest=longest)
+    return (
+        with_codes(left, tables, bits, seed, dim, probes, pad_left),
+        with_codes(right, tables, bits, seed, dim, pad=pad_right),
+    )
 
 
 def ann_topk(
@@ -147,19 +154,17 @@ def ann_topk(
     seed: int = 7,
     **sizes,
 ) -> DataFrame:
-    """(query, item, score, rank): the k best among the items met in the buckets."""
-    left, right = hash_pair(queries, items, metric, tables, bits, probes, seed)
+    """(query, item, score, rank): the k best among the items met in the buckets.
+
+    The hashed tables are written first: the bucket sizes then come from their codes alone, and
+    nothing is hashed twice.
+    """
+    hashed = hash_pair(queries, items, metric, tables, bits, probes, seed)
+    left, right = (materialize(table, "hashed") for table in hashed)
     width = min(probes, 2**bits - 1) + 1
+    n_queries, n_items = left.count() * tables * width, right.count() * tables
     return search_buckets(
-        buckets(left, bits, probes),
-        buckets(right, bits),
-        k,
-        dimension(items, "vec"),
-        tables,
-        bits,
-        queries.count() * tables * width,
-        items.count() * tables,
-        **sizes,
+        buckets(left, bits, probes), buckets(right, bits), k, metric, tables, bits, n_queries, n_items, **sizes
     )
 
 

@@ -1,13 +1,15 @@
 """Top-k by inner product or cosine, exact within cells of queries and items.
 
 A cell is whatever has to be compared: a hash bucket for approximate search, or everything for the
-exact one. Cells are cut into tiles of queries and stripes of items with a bounded number of rows;
-a task multiplies one tile by one stripe and keeps k rows per query, so pairs are never rows.
+exact one. Cells are cut into tiles of queries and stripes of items. A task holds the queries of one
+tile with their best items so far while the items of one stripe pass by in Arrow batches, so its
+memory depends on the tile only and pairs are never rows.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,76 +17,118 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from earshot.functions.vectors import as_doubles, dimension, unit
+from earshot.functions.vectors import dimension, matrix, unit_rows
 from earshot.operators.joins import join_unique
 
-STRIPE_BYTES = 64 << 20
-SCORE_CELLS = 4 << 20
-RESULT_ROWS = 4 << 20
-MIN_TILE = 256
-BROADCAST_CELLS = 500_000  # rows of three numbers: some 12 MB
+TILE_BYTES = 128 << 20  # queries and their best items held by a task
+SCORE_CELLS = 2 << 20  # scores computed at once
+MIN_TILE, MIN_STRIPE = 256, 1024
+BLOCKS_PER_CORE = 4
+BROADCAST_CELLS = 500_000  # rows of four numbers: some 16 MB
+METRICS = ("dot", "cosine")
 
 
-def matrix(vectors: pa.ChunkedArray) -> np.ndarray:
-    """Vectors of equal length as the rows of a matrix."""
-    flat = pa.concat_arrays([chunk.flatten() for chunk in vectors.chunks])
-    return np.asarray(flat, dtype=np.float64).reshape(len(vectors), -1)
-
-
-def best_columns(scores: np.ndarray, k: int) -> np.ndarray:
-    """Column numbers of the k largest scores of every row, the leftmost where scores are equal."""
+def pick(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+    """Columns of the k largest scores of every row, the smaller id first where scores are equal."""
     width = scores.shape[1]
-    if k >= width:
-        return np.broadcast_to(np.arange(width), scores.shape)
     top = np.argpartition(scores, width - k, axis=1)[:, width - k :]
     least = np.take_along_axis(scores, top, axis=1).min(axis=1)
-    torn = np.flatnonzero((scores >= least[:, None]).sum(axis=1) > k)
+    torn = np.flatnonzero(((scores >= least[:, None]).sum(axis=1) > k) & (least > -np.inf))
     if torn.size:
-        top[torn] = np.argsort(-scores[torn], axis=1, kind="stable")[:, :k]
+        top[torn] = np.lexsort((ids[torn], -scores[torn]), axis=1)[:, :k]
     return top
 
 
-def _bounds(cells: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Values, starts and ends of the runs in a sorted column."""
+def _runs(cells: np.ndarray) -> dict[int, slice]:
+    """Where each value of a sorted column begins and ends."""
     values, starts = np.unique(cells, return_index=True)
-    return values, starts, np.append(starts[1:], len(cells))
-
-
-def _multiply(k: int, schema: pa.Schema):
-    """The work on one block: per cell, products of its queries and items and the k best each."""
-
-    def run(queries: pa.Table, items: pa.Table) -> pa.Table:
-        if not queries.num_rows or not items.num_rows:
-            return schema.empty_table()
-        queries = queries.sort_by("cell")
-        items = items.sort_by([("cell", "ascending"), ("item", "ascending")])
-        left, right = matrix(queries["vec"]), matrix(items["vec"])
-        query_ids, item_ids = queries["query"].to_numpy(), items["item"].to_numpy()
-        q_cells, q_starts, q_ends = _bounds(queries["cell"].to_numpy())
-        i_cells, i_starts, i_ends = _bounds(items["cell"].to_numpy())
-        _, q_at, i_at = np.intersect1d(q_cells, i_cells, assume_unique=True, return_indices=True)
-        found = []
-        for q, i in zip(q_at, i_at):
-            ids, columns = item_ids[i_starts[i] : i_ends[i]], right[i_starts[i] : i_ends[i]].T
-            step = max(1, SCORE_CELLS // len(ids))
-            for start in range(q_starts[q], q_ends[q], step):
-                rows = slice(start, min(start + step, q_ends[q]))
-                scores = left[rows] @ columns
-                top = best_columns(scores, k)
-                found.append(
-                    (
-                        np.repeat(query_ids[rows], top.shape[1]),
-                        ids[top.ravel()],
-                        np.take_along_axis(scores, top, axis=1).ravel(),
-                    )
-                )
-        if not found:
-            return schema.empty_table()
-        return pa.table([np.concatenate(column) for column in zip(*found)], schema=schema)
+    return {
+        value: slice(start, end) for value, start, end in zip(values.tolist(), starts, [*starts[1:], len(cells)])
+    }
+
+
+class BestSoFar:
+    """The queries of a tile with their k best items among those seen."""
+
+    def __init__(self, queries: pa.Table, k: int, cosine: bool):
+        queries = queries.sort_by("cell").combine_chunks()
+        self.k, self.cosine = k, cosine
+        self.ids = queries["id"].to_numpy()
+        self.vectors = self._vectors(queries["vec"].chunk(0))
+        self.cells = _runs(queries["cell"].to_numpy())
+        self.scores = np.full((len(self.ids), k), -np.inf)
+        self.items = np.full((len(self.ids), k), np.iinfo(np.int64).max)
+
+    def _vectors(self, vectors: pa.Array) -> np.ndarray:
+        rows = matrix(vectors)
+        return unit_rows(rows) if self.cosine else rows
+
+    def see(self, items: pa.RecordBatch) -> None:
+        items = items.sort_by("cell")
+        ids, vectors = items["id"].to_numpy(), self._vectors(items["vec"])
+        for cell, columns in _runs(items["cell"].to_numpy()).items():
+            held = self.cells.get(cell)
+            if held is None:
+                continue
+            step = max(1, SCORE_CELLS // (columns.stop - columns.start))
+            for start in range(held.start, held.stop, step):
+                self._merge(slice(start, min(start + step, held.stop)), ids[columns], vectors[columns].T)
+
+    def _merge(self, rows: slice, ids: np.ndarray, columns: np.ndarray) -> None:
+        fresh = self.vectors[rows] @ columns
+        able = (fresh >= self.scores[rows].min(axis=1)[:, None]).any(axis=0)
+        if not able.any():
+            return
+        fresh, ids = fresh[:, able], ids[able]
+        scores = np.hstack([self.scores[rows], fresh])
+        items = np.hstack([self.items[rows], np.broadcast_to(ids, fresh.shape)])
+        top = pick(scores, items, self.k)
+        self.scores[rows] = np.take_along_axis(scores, top, axis=1)
+        self.items[rows] = np.take_along_axis(items, top, axis=1)
+
+    def rows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        found = self.scores > -np.inf
+        return np.repeat(self.ids, found.sum(axis=1)), self.items[found], self.scores[found]
+
+
+def _search(k: int, cosine: bool):
+    schema = pa.schema([("query", pa.int64()), ("item", pa.int64()), ("score", pa.float64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        queries: list[pa.RecordBatch] = []
+        best = None
+        for batch in batches:
+            cut = int(np.searchsorted(batch["_side"].to_numpy(), 1))
+            if cut:
+                if best is not None:
+                    raise RuntimeError("a query came after the items of its block")
+                queries.append(batch.slice(0, cut))
+            if cut < batch.num_rows and queries:
+                if best is None:
+                    best = BestSoFar(pa.Table.from_batches(queries), k, cosine)
+                best.see(batch.slice(cut))
+        if best is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(column) for column in best.rows()], schema=schema)
 
     return run
 
 
+def block_sizes(n_queries: int, n_items: int, dim: int, k: int, cores: int) -> tuple[int, int]:
+    """Rows per tile and per stripe.
+
+    A tile has to fit a task's memory. Beyond that every item is sent to every tile and every query
+    to every stripe, which sends back k rows: for the wanted number of blocks the cheapest shape
+    balances the two.
+    """
+    largest = max(MIN_TILE, TILE_BYTES // (8 * dim + 16 * k))
+    blocks = BLOCKS_PER_CORE * cores
+    sent, returned = 4 * dim, 4 * dim + 20 * k
+    cheapest = round(math.sqrt(blocks * max(n_queries, 1) * returned / (max(n_items, 1) * sent)))
+    tiles = max(1, math.ceil(n_queries / largest), min(cheapest, math.ceil(n_queries / MIN_TILE)))
+    stripes = max(1, min(math.ceil(blocks / tiles), math.ceil(n_items / MIN_STRIPE)))
+    return max(1, math.ceil(n_queries / tiles)), max(1, math.ceil(n_items / stripes))
+
+
 def _pieces(df: DataFrame, limit: int, name: str) -> DataFrame:
     """(cell, name): number of pieces of about ``limit`` rows each cell has to be cut into."""
     return df.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / limit).alias(name))
@@ -94,23 +138,27 @@ def best_in_cells(
     queries: DataFrame,
     items: DataFrame,
     k: int,
-    dim: int,
+    metric: str,
     cells: int,
     n_queries: int,
     n_items: int,
-    stripe_rows: int | None = None,
+    dim: int,
     tile_rows: int | None = None,
+    stripe_rows: int | None = None,
 ) -> DataFrame:
-    """(query, item, score): for each query and stripe of its cells the k best items.
+    """(query, item, score): for each query, cell and stripe the k best items.
 
     ``queries`` has (query, vec) and ``items`` (item, vec), both with a ``cell`` column that takes
-    at most ``cells`` values; ``n_queries`` and ``n_items`` are their numbers of rows, of which
-    only the sizes of the blocks depend. Whatever is among the k best over all cells of a query is
-    among the rows returned; a pair may repeat across cells.
+    at most ``cells`` values. On ``n_queries`` and ``n_items``, their numbers of rows, and on
+    ``dim`` only the sizes of the blocks depend. Whatever is among the k best over all cells of a query is among
+    the rows returned; a pair may repeat across cells.
     """
-    spread = math.ceil(n_queries / queries.sparkSession.sparkContext.defaultParallelism)
-    stripe_rows = stripe_rows or max(MIN_TILE, STRIPE_BYTES // (8 * dim))
-    tile_rows = tile_rows or max(MIN_TILE, min(RESULT_ROWS // k, spread))
+    if metric not in METRICS:
+        raise ValueError(f"metric {metric!r} is not one of {METRICS}")
+    cores = queries.sparkSession.sparkContext.defaultParallelism
+    if tile_rows is None or stripe_rows is None:
+        sizes = block_sizes(n_queries, n_items, dim, k, cores)
+        tile_rows, stripe_rows = tile_rows or sizes[0], stripe_rows or sizes[1]
     tiles, stripes = max(1, math.ceil(n_queries / tile_rows)), max(1, math.ceil(n_items / stripe_rows))
 
     if cells == 1:
@@ -121,40 +169,40 @@ def best_in_cells(
         # one tile and one stripe share blocks, so that small cells do not become small tasks.
         grid = _pieces(queries, tile_rows, "_tiles").join(_pieces(items, stripe_rows, "_stripes"), "cell")
         alone = (F.col("_tiles") > 1) | (F.col("_stripes") > 1)
-        shared = -1 - F.pmod(F.xxhash64("cell"), F.lit(2 * max(tiles, stripes)))
+        shared = -1 - F.pmod(F.xxhash64("cell"), F.lit(max(BLOCKS_PER_CORE * cores, 2 * tiles)))
         grid = grid.withColumn("_pack", F.when(alone, F.col("cell")).otherwise(shared))
         if cells <= BROADCAST_CELLS:
             left, right = queries.join(F.broadcast(grid), "cell"), items.join(F.broadcast(grid), "cell")
         else:
             left, right = join_unique(queries, grid, "cell"), join_unique(items, grid, "cell")
 
-    def piece(id_: str, count: str):
-        return F.pmod(F.xxhash64(id_), F.col(count).cast("bigint"))
-
-    def every(count: str):
-        return F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(count) - 1))
-
-    pack = F.col("_pack").alias("_pack")  # both sides get it from the one grid
-    left = left.select(
-        pack, piece("query", "_tiles").alias("_tile"), every("_stripes").alias("_stripe"), "cell", "query", "vec"
-    )
-    right = right.select(
-        pack, every("_tiles").alias("_tile"), piece("item", "_stripes").alias("_stripe"), "cell", "item", "vec"
-    )
+    def side(df: DataFrame, number: int, id_: str, own: tuple[str, str], other: tuple[str, str]) -> DataFrame:
+        """Rows with their own piece of the cell, once per piece of the other side."""
+        piece, count = own
+        return df.select(
+            F.col("_pack").cast("bigint").alias("_pack"),
+            F.pmod(F.xxhash64(id_), F.col(count).cast("bigint")).alias(piece),
+            F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(other[1]).cast("bigint") - 1)).alias(other[0]),
+            F.lit(number).alias("_side"),
+            F.col("cell").cast("bigint").alias("cell"),
+            F.col(id_).cast("bigint").alias("id"),
+            "vec",
+        )
+
+    tile, stripe = ("_tile", "_tiles"), ("_stripe", "_stripes")
     block = ["_pack", "_tile", "_stripe"]
-    schema = pa.schema(
-        [("query", _arrow(queries, "query")), ("item", _arrow(items, "item")), ("score", pa.float64())]
+    rows = side(left, 0, "query", tile, stripe).unionByName(side(right, 1, "item", stripe, tile))
+    found = (
+        rows.repartition(*block)
+        .sortWithinPartitions(*block, "_side")
+        .groupBy(*block)
+        .applyInArrow(_search(k, metric == "cosine"), "query bigint, item bigint, score double")
+    )
+    return found.select(
+        F.col("query").cast(queries.schema["query"].dataType).alias("query"),
+        F.col("item").cast(items.schema["item"].dataType).alias("item"),
+        "score",
     )
-    types = f"query {_ddl(queries, 'query')}, item {_ddl(items, 'item')}, score double"
-    return left.groupBy(*block).cogroup(right.groupBy(*block)).applyInArrow(_multiply(k, schema), types)
-
-
-def _ddl(df: DataFrame, col: str) -> str:
-    return df.schema[col].dataType.simpleString()
-
-
-def _arrow(df: DataFrame, col: str) -> pa.DataType:
-    return {"int": pa.int32(), "bigint": pa.int64()}[_ddl(df, col)]
 
 
 def rank_best(scored: DataFrame, k: int) -> DataFrame:
@@ -164,25 +212,12 @@ def rank_best(scored: DataFrame, k: int) -> DataFrame:
     return scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
-def prepare(df: DataFrame, name: str, metric: str) -> DataFrame:
-    """Vectors as doubles, at unit length where the metric is the cosine."""
-    vec = as_doubles("vec")
-    if metric == "cosine":
-        vec = unit(vec)
-    elif metric != "dot":
-        raise ValueError(f"metric {metric!r} is neither dot nor cosine")
-    return df.withColumnRenamed("id", name).withColumn("vec", vec)
-
-
 def exact_topk(queries: DataFrame, items: DataFrame, k: int, metric: str = "dot", **sizes) -> DataFrame:
     """(query, item, score, rank): the k best items of every query, both given as (id, vec).
 
     The whole of both tables is one cell.
     """
-    left = prepare(queries.select("id", "vec"), "query", metric).withColumn("cell", F.lit(0))
-    right = prepare(items.select("id", "vec"), "item", metric).withColumn("cell", F.lit(0))
-    n_items = items.count()
-    if not n_items:
-        raise ValueError("no items to search")
-    dim = dimension(items, "vec")
-    return rank_best(best_in_cells(left, right, k, dim, 1, queries.count(), n_items, **sizes), k)
+    left = queries.select(F.lit(0).alias("cell"), F.col("id").alias("query"), "vec")
+    right = items.select(F.lit(0).alias("cell"), F.col("id").alias("item"), "vec")
+    found = best_in_cells(left, right, k, metric, 1, queries.count(), items.count(), dimension(items), **sizes)
+    return rank_best(found, k)

@@ -525,7 +525,7 @@ def ann_index_roundtrip(spark, sf_dir):
     saved = spark.read.parquet(path)
     queries = buckets(left, HASH["bits"])
     n = vectors.count() * HASH["tables"]
-    return _lists(search_buckets(queries, saved, 10, DIM, HASH["tables"], HASH["bits"], n, n))
+    return _lists(search_buckets(queries, saved, 10, "cosine", HASH["tables"], HASH["bits"], n, n))
 
 
 @register(

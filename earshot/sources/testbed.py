@@ -44,16 +44,16 @@ def plays(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(id, vec): the embeddings as unit vectors."""
+    """(id, vec): the embeddings, which are unit vectors."""
     return spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(
-        F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("vec")
+        F.col("vec_id").alias("id"), F.col("embedding").alias("vec")
     )
 
 
 def scaled_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The embeddings with norms 1 to 5, so that inner product and angle disagree."""
     return vectors(spark, sf_dir).withColumn(
-        "vec", F.transform("vec", lambda x: x * (1 + F.col("id") % 5).cast("double"))
+        "vec", F.transform("vec", lambda x: x.cast("double") * (1 + F.col("id") % 5))
     )
 
 

@@ -1,0 +1,154 @@
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.ml.feature import StringIndexer
+
+from earshot.operators.indexing import apply_index, fit_index, load_or_fit_index
+from earshot.operators.interactions import keep_users, sample_by_key, sample_rows, top_counts, users_union
+from earshot.operators.joins import hot_keys, join_unique
+from earshot.sources import testbed
+from earshot.sources.interactions import CODECS, rewrite, split_of, sum_counts
+from earshot.sources.store import fingerprint, materialize, read_if_present
+
+
+def index_of(spark, ids):
+    rows = spark.createDataFrame([(i,) for i in ids], "id string")
+    return {row.id: row.ix for row in fit_index(rows, "id").collect()}
+
+
+def test_order_is_frequency_then_id(spark):
+    assert index_of(spark, ["b", "a", "c", "c", "d", None]) == {"c": 0, "a": 1, "b": 2, "d": 3}
+
+
+def test_empty_table_has_an_empty_index(spark):
+    assert index_of(spark, []) == {}
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.text(st.characters(codec="utf-8", exclude_characters="\x00"), max_size=3), min_size=1, max_size=60))
+def test_index_is_the_sorted_position(spark, ids):
+    expected = sorted(set(ids), key=lambda i: (-ids.count(i), i.encode()))
+    assert index_of(spark, ids) == {value: at for at, value in enumerate(expected)}
+
+
+def test_same_numbers_as_string_indexer(spark, sf_dir):
+    rows = materialize(testbed.purchases(spark, sf_dir), "rows")
+    builtin = StringIndexer(inputCol="track_id", outputCol="ix").fit(rows).transform(rows)
+    ours = fit_index(rows, "track_id").select("track_id", "ix")
+    assert ours.exceptAll(builtin.selectExpr("track_id", "cast(ix as int) ix").distinct()).count() == 0
+
+
+def test_unseen_and_null_ids_are_dropped(spark):
+    train = spark.createDataFrame([("u", "a"), ("u", "b"), ("v", "a")], "user_id string, track_id string")
+    users, items = fit_index(train, "user_id"), fit_index(train, "track_id")
+    rows = spark.createDataFrame(
+        [("u", "a"), ("u", "zz"), ("w", "a"), (None, "a"), ("v", None), ("u", "a")], train.schema
+    )
+    found = apply_index(rows, users, items).select("user_ix", "item_ix").collect()
+    assert [tuple(row) for row in found] == [(0, 0), (0, 0)]
+
+
+def test_load_or_fit_reuses_only_the_same_input(spark, tmp_path):
+    path = str(tmp_path / "index")
+    first = spark.createDataFrame([("u", "a"), ("v", "b")], "user_id string, track_id string")
+    other = spark.createDataFrame([("u", "a"), ("v", "c")], "user_id string, track_id string")
+    load_or_fit_index(first, path)
+    users, items = load_or_fit_index(other, path)
+    assert {row.track_id for row in items.collect()} == {"a", "c"}
+    users, items = load_or_fit_index(first, path)
+    assert {row.track_id for row in items.collect()} == {"a", "b"}
+    assert len(list((tmp_path / "index").iterdir())) == 2
+
+
+def test_half_written_index_is_fitted_again(spark, tmp_path):
+    rows = spark.createDataFrame([("u", "a")], "user_id string, track_id string")
+    root = f"{tmp_path}/{fingerprint(rows, 'user_id', 'track_id')}"
+    spark.createDataFrame([("wrong", 5)], "user_id string, ix int").write.parquet(f"{root}/users")
+    users, _ = load_or_fit_index(rows, str(tmp_path))
+    assert [row.user_id for row in users.collect()] == ["u"]
+
+
+def test_only_a_missing_path_counts_as_missing(spark, tmp_path):
+    assert read_if_present(spark, str(tmp_path / "nothing")) is None
+    (tmp_path / "broken").mkdir()
+    (tmp_path / "broken" / "part.parquet").write_text("no parquet")
+    with pytest.raises(Exception):
+        read_if_present(spark, str(tmp_path / "broken"))
+
+
+def skewed(spark):
+    """A third of all rows belongs to one user, and half of these are exact copies."""
+    rows = [("hot", str(i if i % 2 else 0)) for i in range(400)] + [(f"u{i % 200}", str(i)) for i in range(800)]
+    return spark.createDataFrame(rows, "user_id string, track_id string").repartition(4)
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
+def test_salted_join_equals_the_plain_one(spark, how):
+    rows = skewed(spark)
+    lookup = spark.createDataFrame([("hot", 1)] + [(f"u{i}", i) for i in range(0, 200, 3)], "user_id string, x int")
+    salted = join_unique(rows, lookup, "user_id", how, shares=8, hot_rows=50)
+    plain = rows.join(lookup, "user_id", how)
+    assert salted.columns == plain.columns
+    assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
+
+
+def test_hot_keys_are_few_and_get_salts_by_their_share(spark):
+    rows = skewed(spark)
+    assert hot_keys(rows, "user_id", shares=8, hot_rows=50) == [("hot", 3)]
+    assert hot_keys(rows, "user_id") == []
+    counts = rows.groupBy("user_id").count().withColumnRenamed("count", "n")
+    assert hot_keys(rows, "user_id", counts, shares=8, hot_rows=50) == [("hot", 3)]
+
+
+def test_hot_rows_are_spread_over_salts(spark):
+    rows = skewed(spark)
+    lookup = rows.select("user_id").distinct()
+    joined = join_unique(rows, lookup, "user_id", shares=8, hot_rows=50)
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "_salt" in plan
+    assert joined.filter("user_id = 'hot'").count() == 400
+
+
+def test_hash_sample_keeps_whole_users_and_repeats(spark):
+    rows = skewed(spark)
+    drawn = sample_by_key(rows, "user_id", 0.5)
+    again = sample_by_key(rows.repartition(7), "user_id", 0.5)
+    assert drawn.exceptAll(again).count() == 0 and again.exceptAll(drawn).count() == 0
+    kept = {row.user_id for row in drawn.collect()}
+    assert 60 < len(kept) < 140
+    assert drawn.count() == rows.filter(rows.user_id.isin(list(kept))).count()
+    assert sample_by_key(rows, "user_id", 1.0).count() == rows.count()
+    assert sample_by_key(rows, "user_id", 0.0).count() == 0
+
+
+def test_sample_with_replacement(spark):
+    rows = materialize(spark.range(10_000), "ids")
+    drawn = sample_rows(rows, 0.5, seed=3, replace=True)
+    ids = [row.id for row in drawn.collect()]
+    assert 4_500 < len(ids) < 5_500 and len(set(ids)) < len(ids)
+    assert set(ids) <= set(range(10_000))
+    assert ids == [row.id for row in sample_rows(rows, 0.5, seed=3, replace=True).collect()]
+
+
+def test_copies_are_added_up(spark):
+    rows = spark.createDataFrame([("u", "a", 2), ("u", "a", 2), ("u", "b", 1)], "user_id string, track_id string, count bigint")
+    assert {tuple(row) for row in sum_counts(rows).collect()} == {("u", "a", 4), ("u", "b", 1)}
+
+
+def test_codecs_change_the_files_not_the_rows(spark, sf_dir, tmp_path):
+    rows = materialize(testbed.plays(spark, sf_dir), "plays")
+    for codec in CODECS:
+        copy = rewrite(rows, codec, str(tmp_path / codec))
+        assert copy.exceptAll(rows).count() == 0 and rows.exceptAll(copy).count() == 0
+    with pytest.raises(ValueError):
+        rewrite(rows, "brotli")
+
+
+def test_fixture_shape(spark, sf_dir):
+    """The sizes the test data is known to have at this scale."""
+    rows = materialize(testbed.purchases(spark, sf_dir), "rows")
+    train, val, test = (split_of(rows, name) for name in ("train", "val", "test"))
+    assert (train.count(), val.count(), test.count()) == (5189, 142, 82)
+    kept = keep_users(train, users_union(val, test))
+    assert (kept.count(), kept.select("user_id").distinct().count(), kept.select("track_id").distinct().count()) == (790, 27, 195)
+    assert top_counts(train, 3).count() == 3
