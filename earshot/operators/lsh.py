@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from earshot.functions.vectors import dimension, matrix, norm, pad_items, pad_queries
 from earshot.operators.joins import join_unique
-from earshot.operators.topk import best_in_cells, exact_topk, rank_best
+from earshot.operators.topk import best_in_cells, block_sizes, exact_topk, rank_best
 from earshot.sources.store import materialize
 
 MAX_BITS = 30
@@ -105,7 +105,16 @@ def save_buckets(bucketed: DataFrame, path: str) -> None:
 
 
 def search_buckets(
-    queries: DataFrame, items: DataFrame, k: int, metric: str, tables: int, bits: int, n_queries: int, n_items: int, **sizes
+    queries: DataFrame,
+    items: DataFrame,
+    k: int,
+    metric: str,
+    tables: int,
+    bits: int,
+    n_queries: int,
+    n_items: int,
+    tile_rows: int | None = None,
+    stripe_rows: int | None = None,
 ) -> DataFrame:
     """(query, item, score, rank) from bucket tables of queries (query, vec) and items (item, vec)
     with ``n_queries`` and ``n_items`` rows.
@@ -116,7 +125,10 @@ def search_buckets(
     """
     cell = (F.col("tbl").cast("bigint") * (1 << bits) + F.col("code")).alias("cell")
     left, right = queries.select(cell, "query", "vec"), items.select(cell, "item", "vec")
-    found = best_in_cells(left, right, k, metric, tables << bits, n_queries, n_items, dimension(items), **sizes)
+    cores = queries.sparkSession.sparkContext.defaultParallelism
+    sizes = block_sizes(n_queries, n_items, dimension(items), k, cores)
+    tile_rows, stripe_rows = tile_rows or sizes[0], stripe_rows or sizes[1]
+    found = best_in_cells(left, right, k, metric, tables << bits, n_queries, n_items, tile_rows, stripe_rows)
     # a query has at most k rows per bucket and stripe, so one shuffle by query serves both steps
     once = found.repartition("query").groupBy("query", "item").agg(F.max("score").alias("score"))
     return rank_best(once, k)
@@ -187,39 +199,49 @@ def sweep(
     counts each time, as it does in the search, so the share may exceed 1.
     """
     depth = min(max(probes), 2**bits - 1)
-    left, right = hash_pair(queries, items, metric, max(tables), bits, depth, seed)
     if exact is None:
         exact = exact_topk(queries, items, k, metric)
-    grid = F.explode(
-        F.array(*[F.struct(F.lit(t).alias("tables"), F.lit(p).alias("probes")) for t in tables for p in probes])
-    ).alias("at")
-
-    met = join_unique(exact.select("query", "item"), right.select("item", F.col("codes").alias("places")), "item")
-    met = met.join(left.select("query", "codes"), "query").select(
-        # per table the probe that meets the neighbour, null where none does
-        F.transform(
-            "places",
-            lambda place, t: F.nullif(
-                F.array_position(F.slice("codes", t * (depth + 1) + 1, F.lit(depth + 1)), place), F.lit(0)
-            )
-            - 1,
-        ).alias("first")
+    exact = materialize(exact.select("query", "item"), "exact")
+    left, right = hash_pair(queries, items, metric, max(tables), bits, depth, seed)
+    left = materialize(left.select("query", "codes"), "looks")
+    right = materialize(right.select("item", "codes"), "places")
+    looks, places = buckets(left, bits, depth), buckets(right, bits)
+
+    # an item may be a neighbour of very many queries; a query has k neighbours at most
+    places_of_neighbours = buckets(join_unique(exact, right, "item"), bits).drop("probe")
+    met = places_of_neighbours.join(looks, ["query", "tbl", "code"])
+    firsts = met.groupBy("query", "item").agg(
+        *[F.min(F.when(F.col("tbl") < t, F.col("probe"))).alias(f"first_{t}") for t in tables]
     )
-    found = F.exists(F.slice("first", F.lit(1), F.col("at.tables")), lambda probe: probe <= F.col("at.probes"))
-    recall = met.select("first", grid).groupBy("at.tables", "at.probes").agg(
-        F.avg(F.when(found, 1.0).otherwise(0.0)).alias("recall")
+    found = firsts.agg(
+        F.array(
+            *[
+                F.struct(
+                    F.lit(t).alias("tables"), F.lit(p).alias("probes"), F.count_if(F.col(f"first_{t}") <= p).alias("n")
+                )
+                for t in tables
+                for p in probes
+            ]
+        ).alias("at")
+    )
+    n_pairs = F.lit(float(exact.count()))
+    recall = found.select(F.explode("at").alias("at")).select(
+        "at.tables", "at.probes", (F.col("at.n") / n_pairs).alias("recall")
     )
 
-    sizes = buckets(right, bits).groupBy("tbl", "code").agg(F.count(F.lit(1)).alias("size"))
-    visits = buckets(left, bits, depth).groupBy("tbl", "code", "probe").agg(F.count(F.lit(1)).alias("visits"))
-    pairs = F.lit(float(queries.count()) * items.count())
+    sizes = places.groupBy("tbl", "code").agg(F.count(F.lit(1)).alias("size"))
+    visits = looks.groupBy("tbl", "code", "probe").agg(F.count(F.lit(1)).alias("visits"))
+    settings = F.explode(
+        F.array(*[F.struct(F.lit(t).alias("tables"), F.lit(p).alias("probes")) for t in tables for p in probes])
+    ).alias("at")
+    n_compared = F.lit(float(left.count()) * right.count())
     scored = (
         visits.join(sizes, ["tbl", "code"])
         .groupBy("tbl", "probe")
         .agg(F.sum(F.col("visits") * F.col("size")).alias("scored"))
-        .select("*", grid)
+        .select("*", settings)
         .filter((F.col("tbl") < F.col("at.tables")) & (F.col("probe") <= F.col("at.probes")))
         .groupBy("at.tables", "at.probes")
-        .agg((F.sum("scored") / pairs).alias("scored_share"))
+        .agg((F.sum("scored") / n_compared).alias("scored_share"))
     )
     return recall.join(scored, ["tables", "probes"])

@@ -22,8 +22,8 @@ from earshot.operators.joins import join_unique
 
 TILE_BYTES = 128 << 20  # queries and their best items held by a task
 SCORE_CELLS = 2 << 20  # scores computed at once
-MIN_TILE, MIN_STRIPE = 256, 1024
-BLOCKS_PER_CORE = 4
+MIN_TILE, MIN_STRIPE = 32, 1024
+BLOCKS_PER_CORE = 3
 BROADCAST_CELLS = 500_000  # rows of four numbers: some 16 MB
 METRICS = ("dot", "cosine")
 
@@ -86,13 +86,22 @@ class BestSoFar:
         self.scores[rows] = np.take_along_axis(scores, top, axis=1)
         self.items[rows] = np.take_along_axis(items, top, axis=1)
 
-    def rows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        found = self.scores > -np.inf
-        return np.repeat(self.ids, found.sum(axis=1)), self.items[found], self.scores[found]
+    def rows(self) -> Iterator[tuple[np.ndarray, ...]]:
+        """(query, item, score, rank), some queries at a time."""
+        step = max(1, SCORE_CELLS // self.k)
+        ranks = np.arange(1, self.k + 1, dtype=np.int32)
+        for start in range(0, len(self.ids), step):
+            part = slice(start, start + step)
+            order = np.lexsort((self.items[part], -self.scores[part]), axis=1)
+            scores = np.take_along_axis(self.scores[part], order, axis=1)
+            items = np.take_along_axis(self.items[part], order, axis=1)
+            found = scores > -np.inf
+            queries = np.repeat(self.ids[part], found.sum(axis=1))
+            yield queries, items[found], scores[found], np.broadcast_to(ranks, found.shape)[found]
 
 
 def _search(k: int, cosine: bool):
-    schema = pa.schema([("query", pa.int64()), ("item", pa.int64()), ("score", pa.float64())])
+    schema = pa.schema([("query", pa.int64()), ("item", pa.int64()), ("score", pa.float64()), ("rank", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         queries: list[pa.RecordBatch] = []
@@ -108,7 +117,8 @@ def _search(k: int, cosine: bool):
                     best = BestSoFar(pa.Table.from_batches(queries), k, cosine)
                 best.see(batch.slice(cut))
         if best is not None:
-            yield pa.RecordBatch.from_arrays([pa.array(column) for column in best.rows()], schema=schema)
+            for columns in best.rows():
+                yield pa.RecordBatch.from_arrays([pa.array(column) for column in columns], schema=schema)
 
     return run
 
@@ -125,7 +135,7 @@ def block_sizes(n_queries: int, n_items: int, dim: int, k: int, cores: int) -> t
     sent, returned = 4 * dim, 4 * dim + 20 * k
     cheapest = round(math.sqrt(blocks * max(n_queries, 1) * returned / (max(n_items, 1) * sent)))
     tiles = max(1, math.ceil(n_queries / largest), min(cheapest, math.ceil(n_queries / MIN_TILE)))
-    stripes = max(1, min(math.ceil(blocks / tiles), math.ceil(n_items / MIN_STRIPE)))
+    stripes = max(1, min(round(blocks / tiles), math.ceil(n_items / MIN_STRIPE)))
     return max(1, math.ceil(n_queries / tiles)), max(1, math.ceil(n_items / stripes))
 
 
@@ -142,34 +152,31 @@ def best_in_cells(
     cells: int,
     n_queries: int,
     n_items: int,
-    dim: int,
-    tile_rows: int | None = None,
-    stripe_rows: int | None = None,
+    tile_rows: int,
+    stripe_rows: int,
 ) -> DataFrame:
-    """(query, item, score): for each query, cell and stripe the k best items.
+    """(query, item, score, rank): for each query, cell and stripe the k best items.
 
     ``queries`` has (query, vec) and ``items`` (item, vec), both with a ``cell`` column that takes
-    at most ``cells`` values. On ``n_queries`` and ``n_items``, their numbers of rows, and on
-    ``dim`` only the sizes of the blocks depend. Whatever is among the k best over all cells of a query is among
+    at most ``cells`` values. ``n_queries`` and ``n_items`` are their numbers of rows. Whatever is among the k best over all cells of a query is among
     the rows returned; a pair may repeat across cells.
     """
     if metric not in METRICS:
         raise ValueError(f"metric {metric!r} is not one of {METRICS}")
     cores = queries.sparkSession.sparkContext.defaultParallelism
-    if tile_rows is None or stripe_rows is None:
-        sizes = block_sizes(n_queries, n_items, dim, k, cores)
-        tile_rows, stripe_rows = tile_rows or sizes[0], stripe_rows or sizes[1]
     tiles, stripes = max(1, math.ceil(n_queries / tile_rows)), max(1, math.ceil(n_items / stripe_rows))
 
     if cells == 1:
+        blocks = tiles * stripes
         grid = {"_pack": F.lit(0), "_tiles": F.lit(tiles), "_stripes": F.lit(stripes)}
         left, right = queries.withColumns(grid), items.withColumns(grid)
     else:
         # one row per cell; cells without queries or without items drop out here. Cells that fit
         # one tile and one stripe share blocks, so that small cells do not become small tasks.
+        blocks = max(BLOCKS_PER_CORE * cores, 2 * tiles)
         grid = _pieces(queries, tile_rows, "_tiles").join(_pieces(items, stripe_rows, "_stripes"), "cell")
         alone = (F.col("_tiles") > 1) | (F.col("_stripes") > 1)
-        shared = -1 - F.pmod(F.xxhash64("cell"), F.lit(max(BLOCKS_PER_CORE * cores, 2 * tiles)))
+        shared = -1 - F.pmod(F.xxhash64("cell"), F.lit(blocks))
         grid = grid.withColumn("_pack", F.when(alone, F.col("cell")).otherwise(shared))
         if cells <= BROADCAST_CELLS:
             left, right = queries.join(F.broadcast(grid), "cell"), items.join(F.broadcast(grid), "cell")
@@ -192,16 +199,19 @@ def best_in_cells(
     tile, stripe = ("_tile", "_tiles"), ("_stripe", "_stripes")
     block = ["_pack", "_tile", "_stripe"]
     rows = side(left, 0, "query", tile, stripe).unionByName(side(right, 1, "item", stripe, tile))
+    # the work grows with the product of the sides, not with the bytes a partition receives, so the
+    # number of partitions is set here instead of by size
     found = (
-        rows.repartition(*block)
+        rows.repartition(blocks, *block)
         .sortWithinPartitions(*block, "_side")
         .groupBy(*block)
-        .applyInArrow(_search(k, metric == "cosine"), "query bigint, item bigint, score double")
+        .applyInArrow(_search(k, metric == "cosine"), "query bigint, item bigint, score double, rank int")
     )
     return found.select(
         F.col("query").cast(queries.schema["query"].dataType).alias("query"),
         F.col("item").cast(items.schema["item"].dataType).alias("item"),
         "score",
+        "rank",
     )
 
 
@@ -212,12 +222,24 @@ def rank_best(scored: DataFrame, k: int) -> DataFrame:
     return scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
-def exact_topk(queries: DataFrame, items: DataFrame, k: int, metric: str = "dot", **sizes) -> DataFrame:
+def exact_topk(
+    queries: DataFrame,
+    items: DataFrame,
+    k: int,
+    metric: str = "dot",
+    tile_rows: int | None = None,
+    stripe_rows: int | None = None,
+) -> DataFrame:
     """(query, item, score, rank): the k best items of every query, both given as (id, vec).
 
-    The whole of both tables is one cell.
+    The whole of both tables is one cell. Where the items make a single stripe, a block's lists
+    are final and no shuffle follows.
     """
     left = queries.select(F.lit(0).alias("cell"), F.col("id").alias("query"), "vec")
     right = items.select(F.lit(0).alias("cell"), F.col("id").alias("item"), "vec")
-    found = best_in_cells(left, right, k, metric, 1, queries.count(), items.count(), dimension(items), **sizes)
-    return rank_best(found, k)
+    n_queries, n_items = queries.count(), items.count()
+    cores = queries.sparkSession.sparkContext.defaultParallelism
+    sizes = block_sizes(n_queries, n_items, dimension(items), k, cores)
+    tile_rows, stripe_rows = tile_rows or sizes[0], stripe_rows or sizes[1]
+    found = best_in_cells(left, right, k, metric, 1, n_queries, n_items, tile_rows, stripe_rows)
+    return found if n_items <= stripe_rows else rank_best(found, k)

@@ -25,7 +25,8 @@ def get_session(app: str, master: str | None = None, **conf: str) -> SparkSessio
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``, which every executor can reach.
+    """This application's part of the folder named by ``spark.checkpoint.dir``, which every
+    executor can reach. It can be deleted when the application has ended.
 
     Only a local master may fall back to a folder of its own: on a cluster a machine-local
     folder would be lost with its machine, so there a missing setting is an error.
@@ -40,4 +41,4 @@ def shared_dir(spark: SparkSession) -> str:
         folder = tempfile.mkdtemp(prefix="earshot-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(folder)
-    return folder.rstrip("/")
+    return f"{folder.rstrip('/')}/{sc.applicationId}"

@@ -87,7 +87,7 @@ def test_block_sizes_follow_memory_and_balance():
     assert tile * (8 * 100 + 16 * 500) <= 128 << 20
     tile, stripe = block_sizes(10**5, 10**7, 100, 500, 8000)
     blocks = (10**5 / tile) * (10**7 / stripe)
-    assert 0.5 * 32000 < blocks < 2 * 32000
+    assert 0.5 * 24000 < blocks < 2 * 24000
     assert block_sizes(0, 0, 8, 10, 4) == (1, 1)
 
 
