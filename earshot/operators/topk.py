@@ -139,9 +139,23 @@ def block_sizes(n_queries: int, n_items: int, dim: int, k: int, cores: int) -> t
     return max(1, math.ceil(n_queries / tiles)), max(1, math.ceil(n_items / stripes))
 
 
-def _pieces(df: DataFrame, limit: int, name: str) -> DataFrame:
-    """(cell, name): number of pieces of about ``limit`` rows each cell has to be cut into."""
-    return df.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / limit).alias(name))
+def _grid(queries: DataFrame, items: DataFrame, tile_rows: int, stripe_rows: int, packs: int) -> DataFrame:
+    """(cell, _tiles, _stripes, _pack): how each cell is cut, and the blocks it goes to.
+
+    Cells well below one tile and one stripe share blocks, so that small cells do not become small
+    tasks. Cells without queries or without items drop out here.
+    """
+    counts = queries.groupBy("cell").agg(F.count(F.lit(1)).alias("_queries")).join(
+        items.groupBy("cell").agg(F.count(F.lit(1)).alias("_items")), "cell"
+    )
+    alone = (F.col("_queries") * 4 > tile_rows) | (F.col("_items") > stripe_rows)
+    shared = -1 - F.pmod(F.xxhash64("cell"), F.lit(packs))
+    return counts.select(
+        "cell",
+        F.ceil(F.col("_queries") / tile_rows).alias("_tiles"),
+        F.ceil(F.col("_items") / stripe_rows).alias("_stripes"),
+        F.when(alone, F.col("cell")).otherwise(shared).alias("_pack"),
+    )
 
 
 def best_in_cells(
@@ -171,13 +185,8 @@ def best_in_cells(
         grid = {"_pack": F.lit(0), "_tiles": F.lit(tiles), "_stripes": F.lit(stripes)}
         left, right = queries.withColumns(grid), items.withColumns(grid)
     else:
-        # one row per cell; cells without queries or without items drop out here. Cells that fit
-        # one tile and one stripe share blocks, so that small cells do not become small tasks.
         blocks = max(BLOCKS_PER_CORE * cores, 2 * tiles)
-        grid = _pieces(queries, tile_rows, "_tiles").join(_pieces(items, stripe_rows, "_stripes"), "cell")
-        alone = (F.col("_tiles") > 1) | (F.col("_stripes") > 1)
-        shared = -1 - F.pmod(F.xxhash64("cell"), F.lit(blocks))
-        grid = grid.withColumn("_pack", F.when(alone, F.col("cell")).otherwise(shared))
+        grid = _grid(queries, items, tile_rows, stripe_rows, blocks)
         if cells <= BROADCAST_CELLS:
             left, right = queries.join(F.broadcast(grid), "cell"), items.join(F.broadcast(grid), "cell")
         else:

@@ -76,7 +76,7 @@ def _held_out(val: DataFrame, test: DataFrame) -> DataFrame:
 
 def _judged(train: DataFrame, val: DataFrame, test: DataFrame) -> DataFrame:
     """Training rows of the users that are judged later."""
-    return ops.keep_users(train, ops.users_union(val, test))
+    return materialize(ops.keep_users(train, ops.users_union(val, test)), "judged")
 
 
 def _maps(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -575,10 +575,13 @@ def als_implicit_factors(spark, sf_dir):
     return parts[0].union(parts[1])
 
 
-@register("als_explicit_rmse")
+@register(
+    "als_explicit_rmse",
+    _with_maps(sql.INDEXED) + "SELECT count(*) AS n, TRUE AS has_rmse FROM indexed WHERE split = 'val'",
+)
 def als_explicit_rmse(spark, sf_dir):
     recommender, val, _ = _fitted(spark, sf_dir, implicit=False)
-    return rmse(recommender.transform(val))
+    return rmse(recommender.transform(val)).select("n", (F.col("rmse") > 0).alias("has_rmse"))
 
 
 _KNOWN_PAIRS = "SELECT user_ix, item_ix, TRUE AS is_dot_product FROM indexed WHERE split IN ('val', 'test')"
@@ -755,7 +758,7 @@ def cross_validate_als(spark, sf_dir):
 )
 def explicit_grid(spark, sf_dir):
     train, val, _ = _splits(spark, sf_dir)
-    results = jobs.explicit(train, val, _GRID, **_SHORT)
+    _, results = jobs.explicit(train, val, _GRID, **_SHORT)
     return results.select("reg_param", "alpha", "rank", "n", (F.col("rmse") > 0).alias("has_rmse"))
 
 
