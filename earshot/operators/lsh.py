@@ -21,6 +21,7 @@ from earshot.operators.topk import best_in_cells, block_sizes, exact_topk, rank_
 from earshot.sources.store import materialize
 
 MAX_BITS = 30
+FLIP_CELLS = 1 << 20  # costs of flips held at once
 
 
 def planes(tables: int, bits: int, dim: int, seed: int) -> np.ndarray:
@@ -76,13 +77,18 @@ def with_codes(
     def run(vectors: pa.Array) -> pa.Array:
         if not len(vectors):
             return pa.array([], pa.list_(pa.int64()))
-        rows = matrix(vectors)
-        sides = np.tensordot(pad(rows) if pad else rows, planes(tables, bits, dim, seed), axes=(1, 2))
-        codes = ((sides > 0) * (1 << np.arange(bits, dtype=np.int64))).sum(axis=2)
+        rows, normals = matrix(vectors), planes(tables, bits, dim, seed)
+        rows = pad(rows) if pad else rows
+        step = max(1, FLIP_CELLS // (tables * (bits + probes + 1)))
+        return _lists(np.concatenate([codes(rows[at : at + step], normals) for at in range(0, len(rows), step)]))
+
+    def codes(rows: np.ndarray, normals: np.ndarray) -> np.ndarray:
+        sides = np.tensordot(rows, normals, axes=(1, 2))
+        own = ((sides > 0) * (1 << np.arange(bits, dtype=np.int64))).sum(axis=2)
         if probes:
             flips = cheapest_flips(np.abs(sides).reshape(-1, bits), probes)
-            codes = codes[:, :, None] ^ flips.reshape(len(vectors), tables, -1)
-        return _lists(codes.reshape(len(vectors), -1))
+            own = own[:, :, None] ^ flips.reshape(len(rows), tables, -1)
+        return own.reshape(len(rows), -1)
 
     return df.withColumn("codes", F.arrow_udf(run, "array<bigint>")("vec"))
 

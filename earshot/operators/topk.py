@@ -4,6 +4,10 @@ A cell is whatever has to be compared: a hash bucket for approximate search, or
 exact one. Cells are cut into tiles of queries and stripes of items. A task holds the queries of one
 tile with their best items so far while the items of one stripe pass by in Arrow batches, so its
 memory depends on the tile only and pairs are never rows.
+
+Items pass by from the longest to the shortest vector. A product is at most the product of the two
+lengths, so a query whose worst kept score is above that for the longest item of a batch can leave
+the batch out, and with it nothing that belongs into its list.
 """
 
 from __future__ import annotations
@@ -17,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from earshot.functions.vectors import dimension, matrix, unit_rows
+from earshot.functions.vectors import dimension, matrix, norm, unit_rows
 from earshot.operators.joins import join_unique
 
 TILE_BYTES = 128 << 20  # queries and their best items held by a task
@@ -25,6 +29,7 @@ SCORE_CELLS = 2 << 20  # scores computed at once
 MIN_TILE, MIN_STRIPE = 32, 1024
 BLOCKS_PER_CORE = 3
 BROADCAST_CELLS = 500_000  # rows of four numbers: some 16 MB
+ROUNDING = 1 + 1e-9  # products and lengths are rounded, the bound must not be
 METRICS = ("dot", "cosine")
 
 
@@ -55,7 +60,9 @@ class BestSoFar:
         self.k, self.cosine = k, cosine
         self.ids = queries["id"].to_numpy()
         self.vectors = self._vectors(queries["vec"].chunk(0))
+        self.lengths = np.linalg.norm(self.vectors, axis=1)
         self.cells = _runs(queries["cell"].to_numpy())
+        self.compared = 0
         self.scores = np.full((len(self.ids), k), -np.inf)
         self.items = np.full((len(self.ids), k), np.iinfo(np.int64).max)
 
@@ -66,21 +73,26 @@ class BestSoFar:
     def see(self, items: pa.RecordBatch) -> None:
         items = items.sort_by("cell")
         ids, vectors = items["id"].to_numpy(), self._vectors(items["vec"])
+        lengths = np.linalg.norm(vectors, axis=1)
         for cell, columns in _runs(items["cell"].to_numpy()).items():
             held = self.cells.get(cell)
             if held is None:
                 continue
+            reach = self.lengths[held] * lengths[columns].max() * ROUNDING
+            rows = held.start + np.flatnonzero(reach >= self.scores[held].min(axis=1))
             step = max(1, SCORE_CELLS // (columns.stop - columns.start))
-            for start in range(held.start, held.stop, step):
-                self._merge(slice(start, min(start + step, held.stop)), ids[columns], vectors[columns].T)
+            for start in range(0, len(rows), step):
+                self._merge(rows[start : start + step], ids[columns], vectors[columns].T)
 
-    def _merge(self, rows: slice, ids: np.ndarray, columns: np.ndarray) -> None:
+    def _merge(self, rows: np.ndarray, ids: np.ndarray, columns: np.ndarray) -> None:
+        kept = self.scores[rows]
         fresh = self.vectors[rows] @ columns
-        able = (fresh >= self.scores[rows].min(axis=1)[:, None]).any(axis=0)
+        self.compared += fresh.size
+        able = (fresh >= kept.min(axis=1)[:, None]).any(axis=0)
         if not able.any():
             return
         fresh, ids = fresh[:, able], ids[able]
-        scores = np.hstack([self.scores[rows], fresh])
+        scores = np.hstack([kept, fresh])
         items = np.hstack([self.items[rows], np.broadcast_to(ids, fresh.shape)])
         top = pick(scores, items, self.k)
         self.scores[rows] = np.take_along_axis(scores, top, axis=1)
@@ -200,6 +212,7 @@ def best_in_cells(
             F.pmod(F.xxhash64(id_), F.col(count).cast("bigint")).alias(piece),
             F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(other[1]).cast("bigint") - 1)).alias(other[0]),
             F.lit(number).alias("_side"),
+            (-norm("vec") if number and metric == "dot" else F.lit(0.0)).alias("_order"),
             F.col("cell").cast("bigint").alias("cell"),
             F.col(id_).cast("bigint").alias("id"),
             "vec",
@@ -212,7 +225,7 @@ def best_in_cells(
     # number of partitions is set here instead of by size
     found = (
         rows.repartition(blocks, *block)
-        .sortWithinPartitions(*block, "_side")
+        .sortWithinPartitions(*block, "_side", "_order")
         .groupBy(*block)
         .applyInArrow(_search(k, metric == "cosine"), "query bigint, item bigint, score double, rank int")
     )

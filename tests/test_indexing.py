@@ -7,7 +7,8 @@ from earshot.operators.indexing import apply_index, fit_index, load_or_fit_index
 from earshot.operators.interactions import keep_users, sample_by_key, sample_rows, top_counts, users_union
 from earshot.operators.joins import hot_keys, join_unique
 from earshot.sources import testbed
-from earshot.sources.interactions import CODECS, rewrite, split_of, sum_counts
+from earshot.session import shared_dir
+from earshot.sources.interactions import CODECS, read_table, rewrite, split_of, sum_counts
 from earshot.sources.store import fingerprint, materialize, read_if_present
 
 
@@ -152,3 +153,30 @@ def test_fixture_shape(spark, sf_dir):
     kept = keep_users(train, users_union(val, test))
     assert (kept.count(), kept.select("user_id").distinct().count(), kept.select("track_id").distinct().count()) == (790, 27, 195)
     assert top_counts(train, 3).count() == 3
+
+
+def test_table_by_prefix_and_view(spark, sf_dir, tmp_path):
+    """A scan by root and name, registered for SQL; the semi-join written as SQL gives the same rows."""
+    rows = materialize(testbed.purchases(spark, sf_dir), "rows")
+    for name in ("train", "val", "test"):
+        split_of(rows, name).write.parquet(str(tmp_path / f"cf_{name}.parquet"))
+    root = f"{tmp_path}/cf_"
+    train, val, test = (read_table(spark, f"{name}.parquet", root, view=f"{name}_rows") for name in ("train", "val", "test"))
+    by_sql = spark.sql(
+        "SELECT * FROM train_rows WHERE user_id IN (SELECT user_id FROM val_rows UNION SELECT user_id FROM test_rows)"
+    )
+    ours = keep_users(train, users_union(val, test)).select(by_sql.columns)
+    assert ours.exceptAll(by_sql).count() == 0 and by_sql.exceptAll(ours).count() == 0 and ours.count() == 790
+
+
+def test_a_cluster_needs_a_shared_folder(monkeypatch):
+    class Context:
+        master, applicationId = "spark://somewhere:7077", "app"
+        getCheckpointDir = staticmethod(lambda: None)
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(ValueError):
+        shared_dir(Session())

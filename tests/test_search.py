@@ -76,6 +76,24 @@ def test_exact_search_emits_no_pairs_and_holds_no_join(spark):
     assert plan.count("Sort [_pack") == 1  # the one that puts queries before items
 
 
+def test_short_items_are_left_out_unless_they_matter():
+    import pyarrow as pa
+
+    from earshot.operators.topk import BestSoFar
+
+    rng = np.random.default_rng(12)
+    q = rng.normal(size=(20, 6))
+    v = rng.normal(size=(4000, 6)) * (1 / np.arange(1, 4001))[:, None]
+    vecs = lambda rows: pa.array(rows.tolist(), pa.list_(pa.float64()))
+    whole = lambda rows: {"cell": np.zeros(len(rows), np.int64), "id": np.arange(len(rows)), "vec": vecs(rows)}
+    best = BestSoFar(pa.table(whole(q)), 5, False)
+    for batch in pa.table(whole(v)).to_batches(max_chunksize=100):
+        best.see(batch)
+    assert best.compared < q.shape[0] * v.shape[0] / 10
+    found = [items[np.argsort(-scores)].tolist() for items, scores in zip(best.items, best.scores)]
+    assert found == np.argsort(-(q @ v.T), axis=1)[:, :5].tolist()
+
+
 def test_pick_prefers_small_ids(spark):
     scores = np.array([[1.0, 3.0, 3.0, 3.0, 0.0]])
     ids = np.array([[9, 8, 2, 5, 1]])
