@@ -5,7 +5,7 @@ exact one. Cells are cut into tiles of queries and stripes of items. A task hold
 tile with their best items so far while the items of one stripe pass by in Arrow batches, so its
 memory depends on the tile only and pairs are never rows.
 
-Items pass by from the longest to the shortest vector. A product is at most the product of the two
+In an exact search items pass by from the longest to the shortest vector. A product is at most the product of the two
 lengths, so a query whose worst kept score is above that for the longest item of a batch can leave
 the batch out, and with it nothing that belongs into its list.
 """
@@ -196,6 +196,8 @@ def best_in_cells(
         blocks = tiles * stripes
         grid = {"_pack": F.lit(0), "_tiles": F.lit(tiles), "_stripes": F.lit(stripes)}
         left, right = queries.withColumns(grid), items.withColumns(grid)
+        if metric == "dot":
+            right = right.withColumn("_order", -norm("vec"))
     else:
         blocks = max(BLOCKS_PER_CORE * cores, 2 * tiles)
         grid = _grid(queries, items, tile_rows, stripe_rows, blocks)
@@ -207,12 +209,14 @@ def best_in_cells(
     def side(df: DataFrame, number: int, id_: str, own: tuple[str, str], other: tuple[str, str]) -> DataFrame:
         """Rows with their own piece of the cell, once per piece of the other side."""
         piece, count = own
+        if "_order" not in df.columns:
+            df = df.withColumn("_order", F.lit(0.0))
         return df.select(
             F.col("_pack").cast("bigint").alias("_pack"),
             F.pmod(F.xxhash64(id_), F.col(count).cast("bigint")).alias(piece),
             F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(other[1]).cast("bigint") - 1)).alias(other[0]),
             F.lit(number).alias("_side"),
-            (-norm("vec") if number and metric == "dot" else F.lit(0.0)).alias("_order"),
+            "_order",
             F.col("cell").cast("bigint").alias("cell"),
             F.col(id_).cast("bigint").alias("id"),
             "vec",
