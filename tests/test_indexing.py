@@ -159,8 +159,8 @@ def test_table_by_prefix_and_view(spark, sf_dir, tmp_path):
     """A scan by root and name, registered for SQL; the semi-join written as SQL gives the same rows."""
     rows = materialize(testbed.purchases(spark, sf_dir), "rows")
     for name in ("train", "val", "test"):
-        split_of(rows, name).write.parquet(str(tmp_path / f"cf_{name}.parquet"))
-    root = f"{tmp_path}/cf_"
+        split_of(rows, name).write.parquet(str(tmp_path / f"set_{name}.parquet"))
+    root = f"{tmp_path}/set_"
     train, val, test = (read_table(spark, f"{name}.parquet", root, view=f"{name}_rows") for name in ("train", "val", "test"))
     by_sql = spark.sql(
         "SELECT * FROM train_rows WHERE user_id IN (SELECT user_id FROM val_rows UNION SELECT user_id FROM test_rows)"
