@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from earshot.llm.languages import op6_language
 from earshot.llm.mixing import SQL as MIXING_SQL
 from earshot.llm.mixing import op10_mixing
+from earshot.llm.pieces import op8_token_count
 from earshot.llm.sharding import SQL as SHARDING_SQL
 from earshot.llm.sharding import op5_sharding
 from earshot.llm.urls import SQL as URLS_SQL
@@ -12,6 +14,8 @@ from earshot.llm.urls import op3_url_filter
 QUERIES = {
     "op3_url_filter": op3_url_filter,
     "op5_sharding": op5_sharding,
+    "op6_language": op6_language,
+    "op8_token_count": op8_token_count,
     "op10_mixing": op10_mixing,
 }
 ORACLES = {
