@@ -6,12 +6,16 @@ from earshot.llm.languages import op6_language
 from earshot.llm.mixing import SQL as MIXING_SQL
 from earshot.llm.mixing import op10_mixing
 from earshot.llm.pieces import op8_token_count
+from earshot.llm.quality import op2_quality
 from earshot.llm.sharding import SQL as SHARDING_SQL
 from earshot.llm.sharding import op5_sharding
+from earshot.llm.toxicity import op1_toxicity
 from earshot.llm.urls import SQL as URLS_SQL
 from earshot.llm.urls import op3_url_filter
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
+    "op2_quality": op2_quality,
     "op3_url_filter": op3_url_filter,
     "op5_sharding": op5_sharding,
     "op6_language": op6_language,
