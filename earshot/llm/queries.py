@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from earshot.llm.decontamination import SQL as DECONTAMINATION_SQL
+from earshot.llm.decontamination import op7_decontamination
 from earshot.llm.languages import op6_language
 from earshot.llm.mixing import SQL as MIXING_SQL
 from earshot.llm.mixing import op10_mixing
@@ -19,10 +21,12 @@ QUERIES = {
     "op3_url_filter": op3_url_filter,
     "op5_sharding": op5_sharding,
     "op6_language": op6_language,
+    "op7_decontamination": op7_decontamination,
     "op8_token_count": op8_token_count,
     "op10_mixing": op10_mixing,
 }
 ORACLES = {
+    "op7_decontamination": DECONTAMINATION_SQL,
     "op3_url_filter": URLS_SQL,
     "op5_sharding": SHARDING_SQL,
     "op10_mixing": MIXING_SQL,

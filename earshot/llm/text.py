@@ -170,3 +170,20 @@ def shingle_sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
             yield total
         else:
             yield own
+
+
+def text_key(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
+    """Two columns that tell rows apart as far as it matters: rows alike in id and text are one."""
+    return [F.col(doc_id).alias("_id"), F.xxhash64(F.lit(3), F.col(text)).alias("_text")]
+
+
+def without(docs: DataFrame, marked: DataFrame, doc_id: str = "doc_id", text: str = "text", broadcast_rows: int = 500_000) -> DataFrame:
+    """The rows of ``docs`` whose key (see ``text_key``) is not in ``marked`` (_id, _text), a written table.
+
+    Up to ``broadcast_rows`` marks go to every task, which spares the texts a shuffle; more are joined by key.
+    """
+    if marked.count() <= broadcast_rows:
+        marked = F.broadcast(marked)
+    keyed = docs.select("*", *[c.alias(f"_own{i}") for i, c in enumerate(text_key(doc_id, text))])
+    same = keyed["_own0"].eqNullSafe(marked["_id"]) & (keyed["_own1"] == marked["_text"])
+    return keyed.join(marked, same, "left_anti").select(*docs.columns)
