@@ -44,16 +44,12 @@ def _positions(tokens: Column) -> Column:
 
 def _followed(tokens: Column, at: Column, item: Column, item_at: Column) -> Column:
     """Whether the same mask already fits one token earlier: then that seed stands for this one."""
-    fits = [
-        F.reduce(
-            F.array(*[F.get(tokens, at - 1 + k).eqNullSafe(F.get(item, item_at - 1 + k)) for k in mask]),
-            F.lit(True), lambda x, y: x & y,
-        )
-        for mask in MASKS
-    ]
     earlier = F.lit(False)
-    for m, fit in enumerate(fits):
-        earlier = F.when(F.col("_mask") == m, fit).otherwise(earlier)
+    for m, mask in enumerate(MASKS):
+        fits = F.lit(True)
+        for k in mask:
+            fits = fits & F.get(tokens, at - 1 + k).eqNullSafe(F.get(item, item_at - 1 + k))
+        earlier = F.when(F.col("_mask") == m, fits).otherwise(earlier)
     return (at > 0) & (item_at > 0) & earlier
 
 
@@ -108,6 +104,9 @@ def overlaps(
         few = F.broadcast(seeds.join(F.broadcast(items), "item_id"))
         hits = seeded.join(few, "_seed").filter(~_followed(F.col("_tokens"), F.col("_at"), F.col("_item"), F.col("_item_at")))
         hits = hits.withColumn("_shift", F.col("_at") - F.col("_item_at"))
+        # one row per alignment. The grouping also keeps the checks below, which are interpreted, out of the join, so
+        # that positions stay in generated code and are never rows with a copy of their text
+        hits = hits.groupBy("_id", "_text", "item_id", "_shift").agg(F.first("_tokens").alias("_tokens"), F.first("_item").alias("_item"))
     else:
         met = seeded.select("_id", "_text", "_at", "_seed").join(seeds, "_seed").select(
             "_id", "_text", "item_id", (F.col("_at") - F.col("_item_at")).alias("_shift")
