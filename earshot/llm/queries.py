@@ -5,6 +5,8 @@ from __future__ import annotations
 from earshot.llm.decontamination import SQL as DECONTAMINATION_SQL
 from earshot.llm.decontamination import op7_decontamination
 from earshot.llm.languages import op6_language
+from earshot.llm.lines import SQL as LINES_SQL
+from earshot.llm.lines import op4_line_dedup
 from earshot.llm.mixing import SQL as MIXING_SQL
 from earshot.llm.mixing import op10_mixing
 from earshot.llm.pieces import op8_token_count
@@ -19,6 +21,7 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_quality": op2_quality,
     "op3_url_filter": op3_url_filter,
+    "op4_line_dedup": op4_line_dedup,
     "op5_sharding": op5_sharding,
     "op6_language": op6_language,
     "op7_decontamination": op7_decontamination,
@@ -26,6 +29,7 @@ QUERIES = {
     "op10_mixing": op10_mixing,
 }
 ORACLES = {
+    "op4_line_dedup": LINES_SQL,
     "op7_decontamination": DECONTAMINATION_SQL,
     "op3_url_filter": URLS_SQL,
     "op5_sharding": SHARDING_SQL,
