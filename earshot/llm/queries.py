@@ -13,6 +13,7 @@ from earshot.llm.pieces import op8_token_count
 from earshot.llm.quality import op2_quality
 from earshot.llm.sharding import SQL as SHARDING_SQL
 from earshot.llm.sharding import op5_sharding
+from earshot.llm.similarity import op9_jaccard_join
 from earshot.llm.toxicity import op1_toxicity
 from earshot.llm.urls import SQL as URLS_SQL
 from earshot.llm.urls import op3_url_filter
@@ -26,6 +27,7 @@ QUERIES = {
     "op6_language": op6_language,
     "op7_decontamination": op7_decontamination,
     "op8_token_count": op8_token_count,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_mixing": op10_mixing,
 }
 ORACLES = {
