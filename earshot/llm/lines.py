@@ -90,18 +90,18 @@ def dedup_lines(docs: DataFrame, run_words: int = RUN_WORDS, doc_id: str = "doc_
     See ``repeated_lines``. Null and empty texts stay as they are; a text that is a repeat as a whole becomes empty.
     Blank lines inside a run go with it. Rows alike in id and text count as one place, so all of them stay.
     """
-    marked = materialize(repeated_lines(docs, run_words, doc_id, text), "repeats")
+    marked = materialize(repeated_lines(docs, run_words, doc_id, text), "repeats").withColumnRenamed("lines", "_gone")
     made = ("n_lines", "n_removed")
     rows = docs.drop(*made)
     keyed = rows.select("*", *[c.alias(f"_own{i}") for i, c in enumerate(text_key(doc_id, text))])
     same = keyed["_own0"].eqNullSafe(marked["_id"]) & (keyed["_own1"] == marked["_text"])
     joined = keyed.join(marked, same, "left")
     pieces = F.split(F.col(text), "\n")
-    kept = F.array_join(F.filter(pieces, lambda x, i: ~F.array_contains(F.col("lines"), i)), "\n")
+    kept = F.array_join(F.filter(pieces, lambda x, i: ~F.array_contains(F.col("_gone"), i)), "\n")
     return joined.select(
-        *[F.when(F.col("lines").isNull(), F.col(text)).otherwise(kept).alias(text) if c == text else F.col(c) for c in rows.columns],
+        *[F.when(F.col("_gone").isNull(), F.col(text)).otherwise(kept).alias(text) if c == text else F.col(c) for c in rows.columns],
         F.coalesce(F.size(pieces), F.lit(0)).alias("n_lines"),
-        F.when(F.col("lines").isNull(), 0).otherwise(F.size("lines")).alias("n_removed"),
+        F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")).alias("n_removed"),
     )
 
 
