@@ -9,11 +9,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from earshot.llm.text import text_key, word_count
+from earshot.llm.text import BLANK, text_key
 from earshot.operators.joins import join_unique
 from earshot.sources.store import materialize
 
 RUN_WORDS = 50
+BROADCAST_ROWS = 500_000
+BROADCAST_LINES = 10_000_000
+# Fixed value: the white space that separates words, as characters.
+BLANKS = " \t\n\x0b\x0c\r"
 
 
 def _lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -21,20 +25,21 @@ def _lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
     A line is compared without the blanks around it. ``start`` counts the words before it.
     """
-    stripped = lambda x: F.regexp_replace(x, r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")
     rows = docs.select(*text_key(doc_id, text), F.posexplode(F.split(F.coalesce(F.col(text), F.lit("")), "\n")).alias("line", "_raw"))
-    rows = rows.select("_id", "_text", "line", F.xxhash64(stripped(F.col("_raw"))).alias("hash"), word_count(F.col("_raw")).alias("words"))
+    # the filter looks for one letter only, so words are counted once; trimmed lines have no blanks at their ends
+    rows = rows.filter(F.col("_raw").rlike(r"[^\x20\x09-\x0D]")).withColumn("_raw", F.btrim("_raw", F.lit(BLANKS)))
+    rows = rows.select("_id", "_text", "line", F.xxhash64("_raw").alias("hash"), F.size(F.split("_raw", BLANK)).cast("long").alias("words"))
     before = W.partitionBy("_id", "_text").orderBy("line").rowsBetween(W.unboundedPreceding, -1)
     # rows alike in id and text are one; without this their lines would mix
-    rows = rows.filter(F.col("words") > 0).dropDuplicates(["_id", "_text", "line"])
+    rows = rows.dropDuplicates(["_id", "_text", "line"])
     return rows.withColumn("start", F.coalesce(F.sum("words").over(before), F.lit(0)))
 
 
 def _windows(lines: DataFrame, run_words: int) -> DataFrame:
     """Adds to each line the shortest run of at least ``run_words`` words that begins, and the one that ends, with it.
 
-    Each is a struct (first, last, print, at, hash), null where the text is too short: its lines, the least line hash
-    in it and the last line that has it, and a hash of all. A run is decided by its own lines alone, so equal passages give equal runs anywhere.
+    Each is a struct (first, own, print, at, hash), null where the text is too short: its first and all lines, the
+    least line hash in it and the last line that has it, and a hash of all. A run is decided by its own lines alone, so equal passages give equal runs anywhere.
     """
     text = W.partitionBy("_id", "_text")
     on = text.orderBy("start").rangeBetween(0, run_words - 1)
@@ -45,7 +50,7 @@ def _windows(lines: DataFrame, run_words: int) -> DataFrame:
         least = F.min(F.struct("hash", (-F.col("line")).alias("back"))).over(window)
         long = F.sum("words").over(window) >= run_words
         return F.when(long, F.struct(
-            F.min("line").over(window).alias("first"), F.max("line").over(window).alias("last"),
+            F.min("line").over(window).alias("first"), F.collect_list("line").over(window).alias("own"),
             least["hash"].alias("print"), (-least["back"]).alias("at"), F.xxhash64(F.lit(kind), hashes).alias("hash"),
         ))
 
@@ -58,7 +63,7 @@ def repeated_lines(docs: DataFrame, run_words: int = RUN_WORDS, doc_id: str = "d
 
     A line goes if it belongs to a run of neighbouring lines of at least ``run_words`` words that also stands at an
     earlier place: in a text with a smaller id (null first; text hash for equal ids), or earlier in the same text.
-    Lines without words do not count and do not break a run.
+    Lines without words do not count, do not break a run and never go.
 
     Winnowing: the least line hash of every window of at least ``run_words`` words is its fingerprint, so any two
     equal passages of that many words share one. Only windows whose fingerprint is found at more than one place go
@@ -77,10 +82,9 @@ def repeated_lines(docs: DataFrame, run_words: int = RUN_WORDS, doc_id: str = "d
     firsts = candidates.groupBy("hash").agg(F.min(spot).alias("_origin"), F.max(spot).alias("_latest"))
     firsts = materialize(firsts.filter(F.col("_origin") < F.col("_latest")).select("hash", "_origin"), "origins")
     later = join_unique(candidates, firsts, "hash").filter(F.col("_origin") < spot)
-    # overlapping runs become one list of lines; equal runs of a text are one before its lines are listed
-    spans = later.select("_id", "_text", "first", "last").distinct()
-    lines = spans.groupBy("_id", "_text").agg(F.collect_list(F.sequence("first", "last")).alias("_parts"))
-    return lines.select("_id", "_text", F.array_sort(F.array_distinct(F.flatten("_parts"))).alias("lines"))
+    # overlapping runs become one list of lines
+    gone = later.select("_id", "_text", F.explode("own").alias("line")).distinct()
+    return gone.groupBy("_id", "_text").agg(F.array_sort(F.collect_list("line")).alias("lines"))
 
 
 def dedup_lines(docs: DataFrame, run_words: int = RUN_WORDS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -88,9 +92,12 @@ def dedup_lines(docs: DataFrame, run_words: int = RUN_WORDS, doc_id: str = "doc_
     names are replaced.
 
     See ``repeated_lines``. Null and empty texts stay as they are; a text that is a repeat as a whole becomes empty.
-    Blank lines inside a run go with it. Rows alike in id and text count as one place, so all of them stay.
+    Blank lines stay. Rows alike in id and text count as one place, so all of them stay.
     """
     marked = materialize(repeated_lines(docs, run_words, doc_id, text), "repeats").withColumnRenamed("lines", "_gone")
+    size = marked.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.size("_gone")), F.lit(0)).alias("lines")).first()
+    if size["rows"] <= BROADCAST_ROWS and size["lines"] <= BROADCAST_LINES:
+        marked = F.broadcast(marked)  # spares the texts a shuffle
     made = ("n_lines", "n_removed")
     rows = docs.drop(*made)
     keyed = rows.select("*", *[c.alias(f"_own{i}") for i, c in enumerate(text_key(doc_id, text))])
@@ -123,15 +130,15 @@ l AS (
 s AS (
   SELECT *, sum(words) OVER (PARTITION BY doc_id ORDER BY line)::INTEGER AS upto FROM l WHERE words > 0),
 w AS (
-  SELECT doc_id, 'on' AS kind, min(line) OVER x AS first, max(line) OVER x AS last, sum(words) OVER x AS n, string_agg(body, chr(10)) OVER x AS run
+  SELECT doc_id, 'on' AS kind, min(line) OVER x AS first, list(line) OVER x AS own, sum(words) OVER x AS n, string_agg(body, chr(10)) OVER x AS run
   FROM (SELECT *, upto - words AS start FROM s)
   WINDOW x AS (PARTITION BY doc_id ORDER BY start RANGE BETWEEN CURRENT ROW AND {run_words - 1} FOLLOWING)
   UNION ALL
-  SELECT doc_id, 'back', min(line) OVER x, max(line) OVER x, sum(words) OVER x, string_agg(body, chr(10)) OVER x
+  SELECT doc_id, 'back', min(line) OVER x, list(line) OVER x, sum(words) OVER x, string_agg(body, chr(10)) OVER x
   FROM s WINDOW x AS (PARTITION BY doc_id ORDER BY upto RANGE BETWEEN {run_words - 1} PRECEDING AND CURRENT ROW)),
 f AS (
-  SELECT doc_id, first, last, min((doc_id, first)) OVER (PARTITION BY kind, run) AS origin FROM w WHERE n >= {run_words}),
-g AS (SELECT DISTINCT doc_id, unnest(range(first, last + 1)) AS line FROM f WHERE origin < (doc_id, first)),
+  SELECT doc_id, first, own, min((doc_id, first)) OVER (PARTITION BY kind, run) AS origin FROM w WHERE n >= {run_words}),
+g AS (SELECT DISTINCT doc_id, unnest(own) AS line FROM f WHERE origin < (doc_id, first)),
 k AS (
   SELECT raw.doc_id, count(*) AS n_lines, count(g.line) AS n_removed,
          string_agg(raw.raw, chr(10) ORDER BY raw.line) FILTER (g.line IS NULL) AS body

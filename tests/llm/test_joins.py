@@ -166,10 +166,10 @@ def repeats(texts, run_words):
         rows = [(k, x) for k, x in split[i] if x]
         for a, b in itertools.combinations(range(len(rows) + 1), 2):
             if sum(len(WORD.findall(x)) for _, x in rows[a:b]) >= run_words:
-                seen.setdefault(tuple(x for _, x in rows[a:b]), []).append((i, rows[a][0], rows[b - 1][0]))
+                seen.setdefault(tuple(x for _, x in rows[a:b]), []).append((i, rows[a][0], [k for k, _ in rows[a:b]]))
     for places in seen.values():
-        for i, first, last in sorted(places)[1:]:
-            gone[i] |= set(range(first, last + 1))
+        for i, _, own in sorted(places)[1:]:
+            gone[i] |= set(own)
     return {i: sorted(x) for i, x in gone.items()}
 
 
