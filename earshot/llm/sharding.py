@@ -146,8 +146,10 @@ def _lookup(keyed: DataFrame, sized: DataFrame, depths: list[int]) -> DataFrame:
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:
-    """One folder per shard below ``path``; rows of a shard meet in one task, which its byte limit bounds."""
-    sharded.repartition("shard").write.partitionBy("shard").mode("overwrite").parquet(path)
+    """One folder ``bits=b<prefix>`` per shard below ``path``; rows of a shard meet in one task, which its byte limit bounds.
+    The letter keeps a reader from taking prefixes for numbers."""
+    folder = F.concat(F.lit("b"), "shard")
+    sharded.withColumn("bits", folder).repartition("bits").write.partitionBy("bits").mode("overwrite").parquet(path)
 
 
 def op5_sharding(spark, sf_dir: str) -> DataFrame:
