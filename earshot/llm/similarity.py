@@ -18,8 +18,9 @@ WORDS = 5
 PERCENT = 80
 COST = 200
 LIST = 64
-PIVOTS = 16
-ROUNDS = 4
+PIVOTS = 8
+ROUNDS = 3
+OUTSIDERS = 1000
 SKETCH = 8  # 64-bit words
 BROADCAST_TEXTS = 500_000
 GROUP = 256
@@ -79,6 +80,14 @@ def _pairs(left: DataFrame, right: DataFrame, percent: int, more: Callable[[str,
     return a.join(b, fits).select(F.least("a.sig", "b.sig").alias("a"), F.greatest("a.sig", "b.sig").alias("b")).distinct()
 
 
+def _prefixes_meet(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Whether two sets' lengthened prefixes share as many members as a similar pair of their sizes has to."""
+    least = min(len(a), len(b))
+    need = min(least // 20 + 5, (percent * least + 99) // 100)
+    shared = np.intersect1d(a[: _longer(len(a), percent)], b[: _longer(len(b), percent)], assume_unique=True)
+    return len(shared) >= need
+
+
 class _Verifier:
     """Exact similarity of candidate pairs, from whole texts."""
 
@@ -99,11 +108,11 @@ class _Verifier:
     def verify(self, pairs: DataFrame) -> DataFrame:
         """(u, v): the pairs that are similar.
 
-        First by prefixes: as both are lengthened by some members, a similar pair shares one more for each. Then
-        by texts: one of a pair is the hub, and a hub's partners are dealt out in groups, so that one with
-        very many is more than one task's work; a task holds one hub's set at a time.
+        One of a pair is the hub, and a hub's partners are dealt out in groups, so that one with very many is more
+        than one task's work; a task holds one hub's set at a time. The lengthened prefixes are compared first: they
+        share one more member for each that they are lengthened by, or the pair is not similar.
         """
-        pairs = materialize(self._share_enough(pairs), "pairs")
+        pairs = materialize(pairs, "pairs")
         texts = self._texts(pairs)
         groups = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / GROUP).alias("groups"))
         dealt = pairs.join(groups, "a").withColumn("g", F.pmod(F.xxhash64("b"), F.col("groups"))).select("a", "g", "b")
@@ -124,7 +133,7 @@ class _Verifier:
                         place, hub = (a, g), None
                     if side == 0:
                         hub = own
-                    elif hub is not None:
+                    elif hub is not None and _prefixes_meet(hub, own, percent):
                         both = len(np.intersect1d(hub, own, assume_unique=True))
                         if 100 * both >= percent * (len(hub) + len(own) - both):
                             u.append(a)
@@ -133,15 +142,6 @@ class _Verifier:
 
         return materialize(ordered.mapInArrow(compare, "u bigint, v bigint").distinct(), "similar")
 
-    def _share_enough(self, pairs: DataFrame) -> DataFrame:
-        """Pairs whose lengthened prefixes share as many members as both of them guarantee."""
-        side = lambda c: self.classes.select(F.col("sig").alias(c), F.col("n").alias(f"n_{c}"), F.col("prefix").alias(f"p_{c}"))
-        both = pairs.join(side("a"), "a").join(side("b"), "b")
-        # of the two guarantees the smaller one holds; a prefix is never longer than its set
-        least = F.least("n_a", "n_b")
-        need = F.least(F.floor(least / 20) + 5, F.floor((least * self.percent + 99) / 100))
-        return both.filter(F.size(F.array_intersect("p_a", "p_b")) >= need).select("a", "b")
-
 
 def similar_components(
     docs: DataFrame, words: int = WORDS, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text", cost: int = COST,
@@ -162,26 +162,27 @@ def similar_components(
     and pairs have to share as many as that guarantees before they are verified. Sets with short prefixes look
     through all sets, those with long ones only through their like, so no pair is left to neither.
 
-    Members of long lists, as a large group of near copies makes them, are compared with a few pivots first, round
-    by round. Only sets that are still outside of the list's main component are then compared with all others in it.
+    Members of long lists, as a large group of near copies makes them, are compared with a few pivots first. Only
+    sets that are still outside of the list's main component are then compared with all others in it.
     """
     sets = materialize(describe(docs, words, percent, doc_id, text), "sets")
     classes = sets.filter(F.col("n") > 0).groupBy("sig").agg(
         F.min("_id").alias("_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("prefix").alias("prefix")
     )
     classes = materialize(classes, "classes")
-    tokens = classes.select("sig", "n", F.posexplode("prefix").alias("pos", "token"))
-    met = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("f")).filter(F.col("f") > 1)
-    shared = materialize(tokens.join(met, "token").select("sig", "n", "pos", "token", "f"), "shared")
     p = F.col("n") - F.floor((F.col("n") * percent + 99) / 100) + 1
     total = F.least("n", p + F.floor(F.col("n") / 20) + 4)
+    placed = F.posexplode("prefix").alias("pos", "token")
+    tokens = classes.select("sig", "n", placed).select("token", "sig", (F.col("pos") < p).alias("early"))
+    met = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("f")).filter(F.col("f") > 1)
+    shared = materialize(tokens.join(met, "token").select("sig", "token", "early", "f"), "shared")
     costs = shared.groupBy("sig").agg(
-        F.sum(F.when(F.col("pos") < p, F.col("f") - 1).otherwise(0)).alias("cost"), F.count(F.lit(1)).alias("n_shared")
+        F.sum(F.when(F.col("early"), F.col("f") - 1).otherwise(0)).alias("cost"), F.count(F.lit(1)).alias("n_shared")
     )
-    costs = materialize(costs, "costs")
+    costs = materialize(costs.join(classes.select("sig", "n"), "sig"), "costs")
     sketches = classes.select("sig", *[F.get("sketch", F.lit(k)).alias(f"s{k}") for k in range(SKETCH)])
     entries = shared.join(costs, "sig")
-    short = entries.filter((F.col("pos") < p) & (F.col("f") <= cost + 1)).withColumn("probes", F.col("cost") <= cost)
+    short = entries.filter(F.col("early") & (F.col("f") <= cost + 1)).withColumn("probes", F.col("cost") <= cost)
     short = materialize(short.select("token", "sig", "n", "probes").join(sketches, "sig"), "short")
     by_rarity = W.partitionBy("sig").orderBy("f", "token")
     long = entries.filter(F.col("cost") > cost).withColumn("place", F.row_number().over(by_rarity) + total - F.col("n_shared"))
@@ -195,11 +196,11 @@ def similar_components(
     verifier = _Verifier(docs, classes, words, percent, doc_id, text)
 
     low = lambda a, b: F.col(f"{a}.sig") < F.col(f"{b}.sig")
-    cheap = _pairs(short.filter("probes"), short, percent).unionByName(
-        _pairs(long.filter(F.col("f") <= LIST), long.filter(F.col("f") <= LIST), percent, low)
-    ).distinct()
-    links = components(verifier.verify(cheap))
     crowded = long.filter(F.col("f") > LIST)
+    found = _pairs(short.filter("probes"), short, percent).unionByName(
+        _pairs(long.filter(F.col("f") <= LIST), long.filter(F.col("f") <= LIST), percent, low)
+    ).unionByName(_pairs(_pivots(crowded, 0), crowded, percent))
+    links = components(verifier.verify(found.distinct()))
     if not crowded.isEmpty():
         links = _crowded(crowded, links, verifier, percent)
     root = links.select(F.col("u").alias("sig"), F.col("v").alias("root"))
@@ -211,34 +212,37 @@ def similar_components(
     return found.select("_id", "_text", F.col("n").alias("n_shingles"), "root", own.alias("component_id"))
 
 
+def _pivots(entries: DataFrame, turn: int) -> DataFrame:
+    """A few entries of each list: the least of each cell by a hash that does not depend on the list, so lists alike
+    choose alike. Another turn has other cells."""
+    cell = F.pmod(F.xxhash64(F.lit(turn), "sig"), F.lit(PIVOTS)).alias("_cell")
+    keep = [c for c in entries.columns if c != "token"]
+    chosen = entries.groupBy("token", cell).agg(F.min(F.struct(F.xxhash64("sig").alias("_h"), *keep)).alias("_x"))
+    return materialize(chosen.select("token", *[F.col(f"_x.{c}").alias(c) for c in keep]), "pivots")
+
+
 def _crowded(entries: DataFrame, links: DataFrame, verifier: _Verifier, percent: int) -> DataFrame:
-    """Components after all pairs of long lists: ``links`` and what the lists add."""
-    for turn in range(ROUNDS + 1):
-        labelled = entries.join(links.select(F.col("u").alias("sig"), F.col("v").alias("label")), "sig", "left").withColumn(
-            "label", F.coalesce("label", "sig")
-        )
+    """Components after all pairs of long lists: ``links``, which the first pivots have joined, and what is missing.
+
+    Two members of a list need no comparison where they are in one component. So those outside of its largest one
+    are compared with all others: with pivots among them while they are many, at last each.
+    """
+    apart = lambda a, b: F.col(f"{a}.label") != F.col(f"{b}.label")
+    for turn in range(1, ROUNDS + 1):
+        labels = links.select(F.col("u").alias("sig"), F.col("v").alias("label"))
+        labelled = entries.join(labels, "sig", "left").withColumn("label", F.coalesce("label", "sig"))
         labelled = materialize(labelled, "labelled")
         sizes = labelled.groupBy("token", "label").agg(F.count(F.lit(1)).alias("k"))
-        main = sizes.groupBy("token").agg(F.max_by("label", F.struct("k", "label")).alias("main"), F.max("k").alias("k"))
-        outside = labelled.join(main, "token").filter(F.col("label") != F.col("main")).drop("main", "k")
-        outside = materialize(outside, "outside")
-        apart = lambda a, b: F.col(f"{a}.label") != F.col(f"{b}.label")
+        main = sizes.groupBy("token").agg(F.max_by("label", F.struct("k", "label")).alias("main"))
+        outside = labelled.join(main, (labelled["token"] == main["token"]) & (F.col("label") != F.col("main")))
+        outside = materialize(outside.select(labelled["*"]), "outside")
         row = outside.groupBy("token").agg(F.count(F.lit(1)).alias("r"), F.first("f").alias("g")).agg(
             F.sum(F.col("r") * F.col("g")).alias("work"), F.sum("g").alias("rows")
         ).first()
         if not row["work"]:
             return links
-        # what is left over is compared in full once that is little more than another round, or rounds are used up
-        last = turn == ROUNDS or row["work"] <= 4 * PIVOTS * row["rows"]
-        if last:
-            found = _pairs(outside, labelled, percent, apart)
-        else:
-            keep = ["sig", "n", "label", *[f"s{k}" for k in range(SKETCH)]]
-            cell = F.pmod(F.xxhash64(F.lit(turn), "sig"), F.lit(PIVOTS)).alias("cell")
-            # the least of each cell by a hash that does not depend on the list, so lists alike choose alike
-            chosen = outside.groupBy("token", cell).agg(F.min(F.struct(F.xxhash64("sig").alias("h"), *keep)).alias("x"))
-            pivots = materialize(chosen.select("token", *[F.col(f"x.{c}").alias(c) for c in keep]), "pivots")
-            found = _pairs(pivots, labelled, percent, apart)
+        last = turn == ROUNDS or row["work"] <= OUTSIDERS * row["rows"]
+        found = _pairs(outside if last else _pivots(outside, turn), labelled, percent, apart)
         links = components(links.unionByName(verifier.verify(found)))
         if last:
             return links
