@@ -18,15 +18,48 @@ def norm(vec: str | Column) -> Column:
 
 
 def dimension(df: DataFrame, vec: str = "vec") -> int:
-    """Length of the vectors, read off the first row."""
+    """Length of the vectors of a checked table, read off the first row; 1 where there is none."""
     row = df.select(F.size(vec).alias("dim")).limit(1).first()
-    if row is None:
-        raise ValueError("no vectors to read the dimension from")
-    return row.dim
+    return row["dim"] if row else 1
+
+
+def usable(vec: str | Column, dim: int) -> Column:
+    """Whether a vector has ``dim`` entries, all of them finite numbers."""
+    vec = F.col(vec) if isinstance(vec, str) else vec
+    odd = F.exists(as_doubles(vec), lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    return F.coalesce((F.size(vec) == dim) & ~odd, F.lit(False))
+
+
+def checked(df: DataFrame, dim: int | None = None, invalid: str = "raise", vec: str = "vec", id_: str = "id") -> tuple[DataFrame, int, int | None]:
+    """(rows with usable vectors, their number, dimension) of a table (id, vec), counted in one pass.
+
+    The dimension is ``dim``, or else the commonest length; None without rows. Vectors that are null, of another
+    length or not finite raise an error that names one of them, or with ``invalid="skip"`` are left out one by one.
+    """
+    if invalid not in ("raise", "skip"):
+        raise ValueError(f"invalid is 'raise' or 'skip', not {invalid!r}")
+    if dim is None:
+        dim = df.agg(F.mode(F.when(F.col(vec).isNotNull(), F.size(vec))).alias("dim")).first()["dim"]
+    if dim is None:
+        dim = 0
+    good = usable(vec, dim)
+    row = df.agg(
+        F.count_if(good).alias("good"), F.count(F.lit(1)).alias("all"), F.min(F.when(~good, F.col(id_).cast("string"))).alias("odd")
+    ).first()
+    if row["good"] < row["all"]:
+        if invalid == "raise":
+            raise ValueError(
+                f"{row['all'] - row['good']} of {row['all']} vectors are not {dim} finite numbers, the one of id {row['odd']} among them"
+            )
+        df = df.filter(good)
+    return df, row["good"], dim or None
 
 
 def matrix(vectors: pa.Array) -> np.ndarray:
     """Vectors of equal length as the rows of a matrix of doubles."""
+    lengths = np.diff(np.asarray(vectors.offsets)) if len(vectors) else np.zeros(0)
+    if vectors.null_count or vectors.flatten().null_count or (lengths != lengths[:1]).any():
+        raise ValueError("vectors are null or differ in length")
     return np.asarray(vectors.flatten(), dtype=np.float64).reshape(len(vectors), -1)
 
 

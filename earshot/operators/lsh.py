@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from earshot.functions.vectors import dimension, matrix, norm, pad_items, pad_queries
+from earshot.functions.vectors import checked, dimension, matrix, norm, pad_items, pad_queries
 from earshot.operators.joins import join_unique
 from earshot.operators.topk import best_in_cells, block_sizes, exact_topk, rank_best
 from earshot.sources.store import materialize
@@ -34,6 +34,13 @@ def planes(tables: int, bits: int, dim: int, seed: int) -> np.ndarray:
     )
 
 
+def check_probes(probes: int, bits: int) -> int:
+    """``probes``, if there are so many other buckets: a search reports what it was asked for, or nothing."""
+    if not 0 <= probes < 2**bits:
+        raise ValueError(f"{probes} probes need more than {bits} bits: a table has {2**bits} buckets")
+    return probes
+
+
 def cheapest_flips(margins: np.ndarray, probes: int) -> np.ndarray:
     """(rows, probes + 1) bit masks: the subsets of bits with the smallest sums of ``margins``, in
     ascending order, starting with the empty one.
@@ -70,15 +77,15 @@ def with_codes(
 ) -> DataFrame:
     """Append ``codes``: the bucket of ``vec`` in every table, or with ``probes`` the buckets to
     look into, own bucket first, table after table. ``pad`` changes the vectors before."""
-    probes = min(probes, 2**bits - 1)
+    check_probes(probes, bits)
     if pad:
         dim += 1
+    normals = planes(tables, bits, dim, seed)
 
     def run(vectors: pa.Array) -> pa.Array:
         if not len(vectors):
             return pa.array([], pa.list_(pa.int64()))
-        rows, normals = matrix(vectors), planes(tables, bits, dim, seed)
-        rows = pad(rows) if pad else rows
+        rows = pad(matrix(vectors)) if pad else matrix(vectors)
         step = max(1, FLIP_CELLS // (tables * (bits + probes + 1)))
         return _lists(np.concatenate([codes(rows[at : at + step], normals) for at in range(0, len(rows), step)]))
 
@@ -95,7 +102,7 @@ def with_codes(
 
 def buckets(coded: DataFrame, bits: int, probes: int = 0) -> DataFrame:
     """One row per entry of ``codes``, as ``tbl``, ``probe`` and ``code``: the bucket table."""
-    width = min(probes, 2**bits - 1) + 1
+    width = check_probes(probes, bits) + 1
     others = [name for name in coded.columns if name != "codes"]
     return coded.select(*others, F.posexplode("codes").alias("_at", "code")).select(
         *others,
@@ -146,11 +153,12 @@ def hash_pair(
     """(query, vec, codes) and (item, vec, codes) of queries and items given as (id, vec).
 
     ``dot`` hashes both with one more dimension, which turns the search for the largest inner
-    product into one for the smallest angle; ``vec`` stays as it is.
+    product into one for the smallest angle; ``vec`` stays as it is. Vectors that cannot be scored raise.
     """
+    items, _, dim = checked(items)
+    queries, _, _ = checked(queries, dim)
     left = queries.select(F.col("id").alias("query"), "vec")
     right = items.select(F.col("id").alias("item"), "vec")
-    dim = dimension(right)
     pad_left = pad_right = None
     if metric == "dot":
         longest = right.agg(F.max(norm("vec"))).first()[0]
@@ -179,7 +187,7 @@ def ann_topk(
     """
     hashed = hash_pair(queries, items, metric, tables, bits, probes, seed)
     left, right = (materialize(table, "hashed") for table in hashed)
-    width = min(probes, 2**bits - 1) + 1
+    width = check_probes(probes, bits) + 1
     n_queries, n_items = left.count() * tables * width, right.count() * tables
     return search_buckets(
         buckets(left, bits, probes), buckets(right, bits), k, metric, tables, bits, n_queries, n_items, **sizes
@@ -204,7 +212,7 @@ def sweep(
     number of items scored per query over the number of items; an item met in several tables
     counts each time, as it does in the search, so the share may exceed 1.
     """
-    depth = min(max(probes), 2**bits - 1)
+    depth = check_probes(max(probes), bits)
     if exact is None:
         exact = exact_topk(queries, items, k, metric)
     exact = materialize(exact.select("query", "item"), "exact")

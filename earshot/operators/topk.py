@@ -5,6 +5,10 @@ exact one. Cells are cut into tiles of queries and stripes of items. A task hold
 tile with their best items so far while the items of one stripe pass by in Arrow batches, so its
 memory depends on the tile only and pairs are never rows.
 
+Products of blocks of vectors only find candidates: their last bits depend on the shape of the block. What is kept and
+ranked is each candidate's product summed in a fixed order, the same for equal vectors wherever they stand, so copies
+tie exactly and the smaller id comes first.
+
 In an exact search items pass by from the longest to the shortest vector. A product is at most the product of the two
 lengths, so a query whose worst kept score is above that for the longest item of a batch can leave
 the batch out, and with it nothing that belongs into its list.
@@ -21,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from earshot.functions.vectors import dimension, matrix, norm, unit_rows
+from earshot.functions.vectors import checked, matrix, norm, unit_rows
 from earshot.operators.joins import join_unique
 
 TILE_BYTES = 128 << 20  # queries and their best items held by a task
@@ -29,6 +33,7 @@ SCORE_CELLS = 2 << 20  # scores computed at once
 MIN_TILE, MIN_STRIPE = 32, 1024
 BLOCKS_PER_CORE = 3
 BROADCAST_CELLS = 500_000  # rows of four numbers: some 16 MB
+SUM_ERROR = 1e-15  # of a product, per dimension and unit of length
 ROUNDING = 1 + 1e-9  # products and lengths are rounded, the bound must not be
 METRICS = ("dot", "cosine")
 
@@ -78,25 +83,36 @@ class BestSoFar:
             held = self.cells.get(cell)
             if held is None:
                 continue
-            reach = self.lengths[held] * lengths[columns].max() * ROUNDING
+            longest = lengths[columns].max()
+            reach = self.lengths[held] * longest * ROUNDING
             rows = held.start + np.flatnonzero(reach >= self.scores[held].min(axis=1))
             step = max(1, SCORE_CELLS // (columns.stop - columns.start))
             for start in range(0, len(rows), step):
-                self._merge(rows[start : start + step], ids[columns], vectors[columns].T)
+                self._merge(rows[start : start + step], ids[columns], vectors[columns], longest)
 
-    def _merge(self, rows: np.ndarray, ids: np.ndarray, columns: np.ndarray) -> None:
+    def _merge(self, rows: np.ndarray, ids: np.ndarray, items: np.ndarray, longest: float) -> None:
         kept = self.scores[rows]
-        fresh = self.vectors[rows] @ columns
-        self.compared += fresh.size
-        able = (fresh >= kept.min(axis=1)[:, None]).any(axis=0)
+        rough = self.vectors[rows] @ items.T
+        self.compared += rough.size
+        # what may be off by rounding; candidates within it of the k-th best are summed again
+        slack = self.lengths[rows] * longest * items.shape[1] * SUM_ERROR
+        able = (rough >= (kept.min(axis=1) - slack)[:, None]).any(axis=0)
         if not able.any():
             return
-        fresh, ids = fresh[:, able], ids[able]
+        rough, ids, items = rough[:, able], ids[able], items[able]
+        both = np.hstack([kept, rough])
+        bound = np.partition(both, both.shape[1] - self.k, axis=1)[:, both.shape[1] - self.k] - 2 * slack
+        row, column = np.nonzero(rough >= bound[:, None])
+        fresh = np.full(rough.shape, -np.inf)
+        step = max(1, SCORE_CELLS // items.shape[1])
+        for at in range(0, len(row), step):
+            r, c = row[at : at + step], column[at : at + step]
+            fresh[r, c] = (self.vectors[rows[r]] * items[c]).sum(axis=1)
         scores = np.hstack([kept, fresh])
-        items = np.hstack([self.items[rows], np.broadcast_to(ids, fresh.shape)])
-        top = pick(scores, items, self.k)
+        found = np.hstack([self.items[rows], np.broadcast_to(ids, fresh.shape)])
+        top = pick(scores, found, self.k)
         self.scores[rows] = np.take_along_axis(scores, top, axis=1)
-        self.items[rows] = np.take_along_axis(items, top, axis=1)
+        self.items[rows] = np.take_along_axis(found, top, axis=1)
 
     def rows(self) -> Iterator[tuple[np.ndarray, ...]]:
         """(query, item, score, rank), some queries at a time."""
@@ -227,9 +243,13 @@ def best_in_cells(
     rows = side(left, 0, "query", tile, stripe).unionByName(side(right, 1, "item", stripe, tile))
     # the work grows with the product of the sides, not with the bytes a partition receives, so the
     # number of partitions is set here instead of by size
+    if cells == 1:
+        # one block per partition: a hash would put several into one and none into others
+        dealt = rows.repartitionById(blocks, (F.col("_tile") * stripes + F.col("_stripe")).cast("int"))
+    else:
+        dealt = rows.repartition(blocks, *block)
     found = (
-        rows.repartition(blocks, *block)
-        .sortWithinPartitions(*block, "_side", "_order")
+        dealt.sortWithinPartitions(*block, "_side", "_order")
         .groupBy(*block)
         .applyInArrow(_search(k, metric == "cosine"), "query bigint, item bigint, score double, rank int")
     )
@@ -255,17 +275,20 @@ def exact_topk(
     metric: str = "dot",
     tile_rows: int | None = None,
     stripe_rows: int | None = None,
+    invalid: str = "raise",
 ) -> DataFrame:
     """(query, item, score, rank): the k best items of every query, both given as (id, vec).
 
     The whole of both tables is one cell. Where the items make a single stripe, a block's lists
-    are final and no shuffle follows.
+    are final and no shuffle follows. Equal scores rank by item, copies of a vector included.
+    Vectors that cannot be scored raise, or are left out one by one, see ``checked``.
     """
+    items, n_items, dim = checked(items, invalid=invalid)
+    queries, n_queries, _ = checked(queries, dim, invalid)
     left = queries.select(F.lit(0).alias("cell"), F.col("id").alias("query"), "vec")
     right = items.select(F.lit(0).alias("cell"), F.col("id").alias("item"), "vec")
-    n_queries, n_items = queries.count(), items.count()
     cores = queries.sparkSession.sparkContext.defaultParallelism
-    sizes = block_sizes(n_queries, n_items, dimension(items), k, cores)
+    sizes = block_sizes(n_queries, n_items, dim or 1, k, cores)
     tile_rows, stripe_rows = tile_rows or sizes[0], stripe_rows or sizes[1]
     found = best_in_cells(left, right, k, metric, 1, n_queries, n_items, tile_rows, stripe_rows)
     return found if n_items <= stripe_rows else rank_best(found, k)
