@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SHARES = 256
+SHARE_OF_TASK = 0.5
 HOT_ROWS = 1_000_000
 
 
@@ -15,14 +15,18 @@ def hot_keys(
     rows: DataFrame,
     key: str,
     counts: DataFrame | None = None,
-    shares: int = SHARES,
+    shares: int | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> list[tuple]:
     """(key, salts) for keys with more than 1/``shares`` of the rows and more than ``hot_rows``.
 
-    Fewer than ``shares`` keys can have such a share each, which bounds what is fetched here and
-    broadcast later. ``counts`` (key, n) saves the counting where a frequency table exists.
+    By default a key is hot once it fills half of a mean task, so ``shares`` is twice the number of shuffle
+    partitions and grows with it, and each salt of a hot key is at most such a half. Fewer than ``shares`` keys
+    can be hot, which bounds what is fetched here and broadcast later. ``counts`` (key, n) saves the counting where
+    a frequency table exists.
     """
+    if shares is None:
+        shares = math.ceil(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) / SHARE_OF_TASK)
     total = rows.count() if counts is None else counts.agg(F.sum("n")).first()[0] or 0
     if total <= hot_rows:
         return []
@@ -39,7 +43,7 @@ def join_unique(
     key: str,
     how: str = "inner",
     counts: DataFrame | None = None,
-    shares: int = SHARES,
+    shares: int | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Join ``rows`` with ``lookup`` (one row per key); ``how`` is inner, left or left_semi.

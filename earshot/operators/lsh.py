@@ -200,7 +200,7 @@ def sweep(
     k: int,
     metric: str = "cosine",
     tables: tuple[int, ...] = (10, 20, 30, 40, 50),
-    probes: tuple[int, ...] = (0, 10, 50, 100),
+    probes: tuple[int, ...] = (0, 10, 50),
     bits: int = 6,
     seed: int = 7,
     exact: DataFrame | None = None,

@@ -227,9 +227,19 @@ def sample_users_hash(spark, sf_dir):
     return ops.sample_by_key(testbed.purchases(spark, sf_dir), "user_id", 0.1)
 
 
-@register("sample_with_replacement")
+_PLACE = "('0x' || md5('draw' || concat_ws('|', user_id, track_id, split))[1:8])::BIGINT"
+
+
+@register(
+    "sample_with_replacement",
+    sql.with_(sql.PURCHASES)
+    + f"""SELECT user_id, track_id, split, count FROM (SELECT *, unnest(range(
+            {' + '.join(f"(place >= {limit})::INT" for limit in ops.poisson_limits(0.7))})) AS copy
+          FROM (SELECT *, {_PLACE} AS place FROM purchases))""",
+)
 def sample_with_replacement(spark, sf_dir):
-    return ops.sample_rows(testbed.purchases(spark, sf_dir), 0.1, seed=42, replace=True)
+    keys = ["user_id", "track_id", "split"]
+    return ops.sample_with_copies(testbed.purchases(spark, sf_dir), 0.7, keys, "draw")
 
 
 @register(
@@ -324,7 +334,7 @@ def ground_truth_bag(spark, sf_dir):
     "ground_truth_lists",
     _with_plays(sql.NUMBERED, sql.TRUTH)
     + """SELECT user_ix, CAST(floor(item_ix / 4096) AS INTEGER) AS block,
-                array_to_string(list_sort(list(DISTINCT item_ix)), ',') AS truth, count(*) AS n_rows
+                array_to_string(list_sort(list(item_ix)), ',') AS truth, count(*) AS n_rows
          FROM truth GROUP BY 1, 2""",
 )
 def ground_truth_lists(spark, sf_dir):
@@ -450,9 +460,44 @@ def vector_dim(spark, sf_dir):
     return testbed.vectors(spark, sf_dir).groupBy(F.size("vec").alias("dim")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("exact_topk_dot", sql.with_(sql.VECTORS, sql.topk("queries", "items", K)) + _BEST)
+TOP = 50
+
+
+@register("exact_topk_dot", sql.with_(sql.VECTORS, sql.topk("queries", "items", TOP)) + _BEST)
 def exact_topk_dot(spark, sf_dir):
-    return _lists(exact_topk(testbed.vectors(spark, sf_dir), testbed.scaled_vectors(spark, sf_dir), K))
+    return _lists(exact_topk(testbed.vectors(spark, sf_dir), testbed.scaled_vectors(spark, sf_dir), TOP))
+
+
+_COPIED = """
+copied AS (SELECT id, vec FROM items UNION ALL SELECT id + 1000000000, vec FROM items UNION ALL SELECT id + 2000000000, vec FROM items)"""
+
+
+@register(
+    "exact_topk_copies",
+    sql.with_(sql.VECTORS, _COPIED, sql.topk("queries", "items", 9))
+    + f"SELECT query, item + copy * 1000000000 AS item, CAST((rank - 1) * 3 + copy + 1 AS INTEGER) AS rank, round(score, 6) AS score FROM best, range(3) c(copy) WHERE (rank - 1) * 3 + copy < 25",
+)
+def exact_topk_copies(spark, sf_dir):
+    """Every item three times under other ids: copies tie, and rank by id."""
+    items = testbed.scaled_vectors(spark, sf_dir)
+    copies = items.withColumn("id", F.explode(F.array(*[F.col("id") + n * 1_000_000_000 for n in range(3)])))
+    return _lists(exact_topk(testbed.vectors(spark, sf_dir), copies, 25))
+
+
+@register(
+    "exact_topk_unusable",
+    sql.with_(sql.VECTORS, "fine AS (SELECT * FROM items WHERE id % 7 <> 3)", sql.topk("queries", "fine", 10)) + _BEST,
+)
+def exact_topk_unusable(spark, sf_dir):
+    """Every seventh item is null, too short or not finite, and is left out alone."""
+    items = testbed.scaled_vectors(spark, sf_dir)
+    bad = (
+        F.when(F.col("id") % 3 == 0, F.lit(None).cast("array<double>"))
+        .when(F.col("id") % 3 == 1, F.slice("vec", 1, 3))
+        .otherwise(F.transform("vec", lambda x: x * float("nan")))
+    )
+    items = items.withColumn("vec", F.when(F.col("id") % 7 == 3, bad).otherwise(F.col("vec")))
+    return _lists(exact_topk(testbed.vectors(spark, sf_dir), items, 10, invalid="skip"))
 
 
 @register("exact_topk_cosine", sql.with_(sql.VECTORS, sql.topk("queries", "queries", 10, cosine=True)) + _BEST)
@@ -558,30 +603,81 @@ def ann_sweep(spark, sf_dir):
 # --- models ---------------------------------------------------------------------------------
 
 
+def solved_users(model: ALSModel, ratings: DataFrame, reg_param: float, alpha: float | None) -> DataFrame:
+    """(id, dim, solved): whether each user's factors satisfy the normal equations given the item factors.
+
+    A fit solves the users last, so theirs are exact up to single precision, and other factors are not. ``ratings``
+    is (user_ix, item_ix, count) with counts above 0; ``alpha`` is None for an explicit fit. The residual is compared
+    with the size of the right side.
+    """
+    users = model.userFactors.select(F.col("id").alias("user_ix"), as_doubles("features").alias("x"))
+    items = model.itemFactors.select(F.col("id").alias("item_ix"), as_doubles("features").alias("y"))
+    dims = range(model.rank)
+    dot = F.aggregate(F.zip_with("x", "y", lambda a, b: a * b), F.lit(0.0), lambda total, v: total + v)
+    # implicit: confidence 1 + alpha * count on the rated items, 1 on all, preference 1 or 0
+    weight = F.lit(1.0) if alpha is None else alpha * F.col("count")
+    goal = F.col("count") if alpha is None else 1 + alpha * F.col("count")
+    rated = ratings.join(users, "user_ix").join(items, "item_ix").withColumn("_w", weight * dot).withColumn("_b", goal)
+    sums = rated.groupBy("user_ix").agg(
+        F.first("x").alias("x"), F.count(F.lit(1)).alias("n"),
+        F.array(*[F.sum(F.col("_w") * F.get("y", F.lit(d))) for d in dims]).alias("left"),
+        F.array(*[F.sum(F.col("_b") * F.get("y", F.lit(d))) for d in dims]).alias("right"),
+    )
+    left = [F.get("left", F.lit(d)) + reg_param * F.col("n") * F.get("x", F.lit(d)) for d in dims]
+    if alpha is not None:
+        # rank x rank sums over all items
+        every = items.agg(*[F.sum(F.get("y", F.lit(i)) * F.get("y", F.lit(j))).alias(f"g{i}_{j}") for i in dims for j in dims]).first()
+        left = [left[i] + sum((every[f"g{i}_{j}"] * F.get("x", F.lit(j)) for j in dims), F.lit(0.0)) for i in dims]
+    off = sum(((left[d] - F.get("right", F.lit(d))) ** 2 for d in dims), F.lit(0.0))
+    size = sum((F.get("right", F.lit(d)) ** 2 for d in dims), F.lit(0.0))
+    return sums.select(F.col("user_ix").alias("id"), F.size("x").alias("dim"), (off <= 1e-6 * size).alias("solved"))
+
+
+def _rated(spark, sf_dir: str, **settings) -> tuple[Recommender, DataFrame, DataFrame]:
+    """A recommender, the indexed rows it was fitted on and the validation rows."""
+    train, val, test = _splits(spark, sf_dir)
+    rows = _judged(train, val, test)
+    recommender = Recommender.train(rows, als(**{**FIT, **settings}))
+    indexed = apply_index(rows, recommender.users, recommender.items, fitted=True)
+    return recommender, indexed.select("user_ix", "item_ix", "count"), val
+
+
 @register(
     "als_implicit_factors",
     _with_maps()
-    + f"""SELECT 'user' AS kind, ix AS id, {FIT['rank']} AS dim, TRUE AS finite FROM users UNION ALL
-          SELECT 'item', ix, {FIT['rank']}, TRUE FROM items""",
+    + f"""SELECT 'user' AS kind, ix AS id, {FIT['rank']} AS dim, TRUE AS solved FROM users UNION ALL
+          SELECT 'item', ix, {FIT['rank']}, NULL FROM items""",
 )
 def als_implicit_factors(spark, sf_dir):
-    """One finite vector of the right length per indexed id."""
-    model = _fitted(spark, sf_dir)[0].model
-    finite = F.forall("features", lambda x: ~F.isnan(x) & (F.abs(x) < float("inf")))
-    parts = [
-        factors.select(F.lit(kind).alias("kind"), "id", F.size("features").alias("dim"), finite.alias("finite"))
-        for kind, factors in (("user", model.userFactors), ("item", model.itemFactors))
-    ]
-    return parts[0].union(parts[1])
+    """One vector of the right length per indexed id; the users' solve their equations."""
+    recommender, rows, _ = _rated(spark, sf_dir)
+    model = recommender.model
+    users = solved_users(model, rows, FIT["reg_param"], FIT["alpha"]).select(F.lit("user").alias("kind"), "id", "dim", "solved")
+    items = model.itemFactors.select(
+        F.lit("item").alias("kind"), "id", F.size("features").alias("dim"), F.lit(None).cast("boolean").alias("solved")
+    )
+    return users.union(items)
 
 
 @register(
     "als_explicit_rmse",
-    _with_maps(sql.INDEXED) + "SELECT count(*) AS n, TRUE AS has_rmse FROM indexed WHERE split = 'val'",
+    _with_maps(sql.INDEXED)
+    + """SELECT count(*) AS n, (SELECT count(*) FROM users) AS n_solved, TRUE AS fits_better_than_mean
+         FROM indexed WHERE split = 'val'""",
 )
 def als_explicit_rmse(spark, sf_dir):
-    recommender, val, _ = _fitted(spark, sf_dir, implicit=False)
-    return rmse(recommender.transform(val)).select("n", (F.col("rmse") > 0).alias("has_rmse"))
+    """Rows with a prediction, users whose factors solve their equations, and whether the fitted rows are met better
+    than by their mean."""
+    recommender, rows, val = _rated(spark, sf_dir, implicit=False)
+    rows = materialize(rows, "rated")
+    solved = solved_users(recommender.model, rows, FIT["reg_param"], None).agg(F.count_if("solved").alias("n_solved"))
+    own = rmse(recommender.model.transform(rows)).select(F.col("rmse").alias("own"))
+    spread = rows.agg(F.stddev_pop("count").alias("spread"))
+    found = rmse(recommender.transform(val)).select("n")
+    # four tables of one row
+    return found.join(solved, F.lit(True)).join(own, F.lit(True)).join(spread, F.lit(True)).select(
+        "n", "n_solved", (F.col("own") < F.col("spread")).alias("fits_better_than_mean")
+    )
 
 
 _KNOWN_PAIRS = "SELECT user_ix, item_ix, TRUE AS is_dot_product FROM indexed WHERE split IN ('val', 'test')"
@@ -635,11 +731,17 @@ def als_cold_start_drop(spark, sf_dir):
 
 
 _LISTS = """SELECT ix AS user_ix, least(500, (SELECT count(*) FROM items)) AS n_recs,
-            least(500, (SELECT count(*) FROM items)) AS n_items, CAST(0 AS BIGINT) AS n_breaks FROM users"""
+            least(500, (SELECT count(*) FROM items)) AS n_items, CAST(0 AS BIGINT) AS n_breaks,
+            CAST(0 AS BIGINT) AS n_off FROM users"""
 
 
-def _list_shape(recs: DataFrame) -> DataFrame:
-    """Per user: entries, distinct items, and places where the score rises along the list."""
+def _list_shape(recs: DataFrame, other: DataFrame) -> DataFrame:
+    """Per user: entries, distinct items, places where the score rises along the list, and places whose score is not
+    that of ``other``, the lists of the built-in method (user_ix, recommendations)."""
+    other = other.select("user_ix", F.posexplode("recommendations").alias("at", "entry")).select(
+        "user_ix", (F.col("at") + 1).alias("rank"), F.col("entry.rating").alias("built_in")
+    )
+    recs = recs.join(other, ["user_ix", "rank"], "left")
     before = F.lag("score").over(W.partitionBy("user_ix").orderBy("rank"))
     return (
         recs.withColumn("breaks", (F.col("score") > before).cast("int"))
@@ -648,13 +750,15 @@ def _list_shape(recs: DataFrame) -> DataFrame:
             F.count(F.lit(1)).alias("n_recs"),
             F.count_distinct("item_ix").alias("n_items"),
             F.coalesce(F.sum("breaks"), F.lit(0)).cast("bigint").alias("n_breaks"),
+            F.count_if(F.coalesce(F.abs(F.col("score") - F.col("built_in")) > 1e-4, F.lit(True))).alias("n_off"),
         )
     )
 
 
 @register("als_recommend_all", _with_maps() + _LISTS)
 def als_recommend_all(spark, sf_dir):
-    return _list_shape(recommend(_fitted(spark, sf_dir)[0].model, K))
+    model = _fitted(spark, sf_dir)[0].model
+    return _list_shape(recommend(model, K), model.recommendForAllUsers(K))
 
 
 @register(
@@ -664,7 +768,8 @@ def als_recommend_all(spark, sf_dir):
 def als_recommend_subset(spark, sf_dir):
     recommender, _, test = _fitted(spark, sf_dir)
     users = ops.users_union(test).join(recommender.users, "user_id").select(F.col("ix").alias("user_ix"))
-    return _list_shape(recommend(recommender.model, K, users))
+    users = materialize(users, "wanted")
+    return _list_shape(recommend(recommender.model, K, users), recommender.model.recommendForUserSubset(users, K))
 
 
 @register("als_model_roundtrip", _with_maps() + "SELECT ix AS user_ix, CAST(10 AS BIGINT) AS n_same FROM users")
