@@ -14,9 +14,9 @@ def _both_ways(links: DataFrame) -> DataFrame:
 
 def _settled(links: DataFrame) -> bool:
     """Whether every node has one link, to a node that has none: then each component is a star."""
-    twice = links.groupBy("u").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
-    chained = links.join(links.select(F.col("u").alias("v")).distinct(), "v", "left_semi")
-    return chained.select("u").unionByName(twice.select("u")).isEmpty()
+    ends = links.select(F.explode(F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("own")), F.struct(F.col("v").alias("node"), F.lit(0).alias("own")))).alias("e"))
+    nodes = ends.select("e.*").groupBy("node").agg(F.sum("own").alias("links"), F.min("own").alias("least"))
+    return nodes.filter((F.col("links") > 1) | ((F.col("links") == 1) & (F.col("least") == 0))).isEmpty()
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -72,12 +72,12 @@ def _near(a: str, b: str, percent: int) -> Column:
 
 
 def _pairs(left: DataFrame, right: DataFrame, percent: int, more: Callable[[str, str], Column] | None = None) -> DataFrame:
-    """(a, b), a below b: sets that meet at a token and may be similar."""
+    """(a, b), a below b: sets that meet at a token and may be similar, once for each token they meet at."""
     a, b = left.alias("a"), right.alias("b")
     fits = (F.col("a.token") == F.col("b.token")) & (F.col("a.sig") != F.col("b.sig")) & _near("a", "b", percent)
     if more is not None:
         fits = fits & more("a", "b")
-    return a.join(b, fits).select(F.least("a.sig", "b.sig").alias("a"), F.greatest("a.sig", "b.sig").alias("b")).distinct()
+    return a.join(b, fits).select(F.least("a.sig", "b.sig").alias("a"), F.greatest("a.sig", "b.sig").alias("b"))
 
 
 def _prefixes_meet(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -97,13 +97,16 @@ class _Verifier:
 
     def _texts(self, pairs: DataFrame) -> DataFrame:
         """(sig, text) of the sets in ``pairs``; one text of each."""
-        wanted = pairs.select(F.col("a").alias("sig")).unionByName(pairs.select(F.col("b").alias("sig"))).distinct()
-        wanted = materialize(self.classes.select("sig", "_id").join(wanted, "sig", "left_semi"), "wanted")
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct()
+        wanted = self.classes.select("sig", F.col("_row._id").alias("_id"), F.col("_row._text").alias("_text")).join(wanted, "sig", "left_semi")
+        wanted = materialize(wanted, "wanted")
         if wanted.count() <= BROADCAST_TEXTS:
             wanted = F.broadcast(wanted)
-        rows = self.docs.select(F.col(self.doc_id).alias("_doc"), F.col(self.text).alias("text"))
-        found = rows.join(wanted, rows["_doc"].eqNullSafe(wanted["_id"])).select("sig", "text")
-        return materialize(found, "texts")
+        keys = text_key(self.doc_id, self.text)
+        rows = self.docs.select(keys[0].alias("_own_id"), keys[1].alias("_own_text"), F.col(self.text).alias("text"))
+        same = rows["_own_id"].eqNullSafe(wanted["_id"]) & (rows["_own_text"] == wanted["_text"])
+        # rows alike in id and text give one
+        return materialize(rows.join(wanted, same).groupBy("sig").agg(F.first("text").alias("text")), "texts")
 
     def verify(self, pairs: DataFrame) -> DataFrame:
         """(u, v): the pairs that are similar.
@@ -112,23 +115,22 @@ class _Verifier:
         than one task's work; a task holds one hub's set at a time. The lengthened prefixes are compared first: they
         share one more member for each that they are lengthened by, or the pair is not similar.
         """
-        pairs = materialize(pairs, "pairs")
+        pairs = materialize(pairs.distinct(), "pairs")
         texts = self._texts(pairs)
         groups = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / GROUP).alias("groups"))
         dealt = pairs.join(groups, "a").withColumn("g", F.pmod(F.xxhash64("b"), F.col("groups"))).select("a", "g", "b")
         rows = dealt.join(texts, dealt["b"] == texts["sig"]).select("a", "g", F.lit(1).alias("side"), "sig", "text")
-        hubs = dealt.select("a", "g").distinct().join(texts, F.col("a") == F.col("sig")).select("a", "g", F.lit(0).alias("side"), "sig", "text")
+        each = groups.join(texts, F.col("a") == F.col("sig")).withColumn("g", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("groups") - 1)))
+        hubs = each.select("a", "g", F.lit(0).alias("side"), "sig", "text")
         ordered = rows.unionByName(hubs).repartition("a", "g").sortWithinPartitions("a", "g", "side")
         words, percent = self.words, self.percent
 
         def compare(batches):
-            hub, sets, place = None, [], None
+            hub, place = None, None
             for batch in batches:
                 u, v = [], []
                 columns = [batch.column(c).to_pylist() for c in ("a", "g", "side", "sig")]
                 for a, g, side, sig, own in zip(*columns, shingle_sets(batch.column("text"), words)):
-                    if int(mix(mix(own).sum(keepdims=True)).view(np.int64)[0]) != sig:
-                        continue  # another text under the same id
                     if (a, g) != place:
                         place, hub = (a, g), None
                     if side == 0:
@@ -140,7 +142,7 @@ class _Verifier:
                             v.append(sig)
                 yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
 
-        return materialize(ordered.mapInArrow(compare, "u bigint, v bigint").distinct(), "similar")
+        return materialize(ordered.mapInArrow(compare, "u bigint, v bigint"), "similar")
 
 
 def similar_components(
@@ -167,7 +169,7 @@ def similar_components(
     """
     sets = materialize(describe(docs, words, percent, doc_id, text), "sets")
     classes = sets.filter(F.col("n") > 0).groupBy("sig").agg(
-        F.min("_id").alias("_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("prefix").alias("prefix")
+        F.min(F.struct("_id", "_text")).alias("_row"), F.min("_id").alias("_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("prefix").alias("prefix")
     )
     classes = materialize(classes, "classes")
     p = F.col("n") - F.floor((F.col("n") * percent + 99) / 100) + 1
@@ -200,7 +202,7 @@ def similar_components(
     found = _pairs(short.filter("probes"), short, percent).unionByName(
         _pairs(long.filter(F.col("f") <= LIST), long.filter(F.col("f") <= LIST), percent, low)
     ).unionByName(_pairs(_pivots(crowded, 0), crowded, percent))
-    links = components(verifier.verify(found.distinct()))
+    links = components(verifier.verify(found))
     if not crowded.isEmpty():
         links = _crowded(crowded, links, verifier, percent)
     root = links.select(F.col("u").alias("sig"), F.col("v").alias("root"))
