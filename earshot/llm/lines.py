@@ -58,6 +58,13 @@ def _windows(lines: DataFrame, run_words: int) -> DataFrame:
     return lines.select("_id", "_text", "line", run(on, 0).alias("ahead"), run(back, 1).alias("behind"))
 
 
+def _lookup(rows: DataFrame, table: DataFrame, key: str, how: str) -> DataFrame:
+    """Joins a written table with one row per key: sent to every task while it is small, else dealt out by key."""
+    if table.count() <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(table), key, how)
+    return join_unique(rows, table, key, how)
+
+
 def repeated_lines(docs: DataFrame, run_words: int = RUN_WORDS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(_id, _text, lines): the numbers of the lines that repeat an earlier run, for texts that have some.
 
@@ -77,11 +84,11 @@ def repeated_lines(docs: DataFrame, run_words: int = RUN_WORDS, doc_id: str = "d
     place = F.struct("_id", "_text", "at")
     seen = runs.groupBy("print").agg(F.min(place).alias("a"), F.max(place).alias("b"))
     shared = seen.filter(F.col("a") < F.col("b")).select("print")
-    candidates = join_unique(runs, materialize(shared, "prints"), "print", "left_semi").drop("print", "at")
+    candidates = _lookup(runs, materialize(shared, "prints"), "print", "left_semi").drop("print", "at")
     spot = F.struct("_id", "_text", "first")
     firsts = candidates.groupBy("hash").agg(F.min(spot).alias("_origin"), F.max(spot).alias("_latest"))
     firsts = materialize(firsts.filter(F.col("_origin") < F.col("_latest")).select("hash", "_origin"), "origins")
-    later = join_unique(candidates, firsts, "hash").filter(F.col("_origin") < spot)
+    later = _lookup(candidates, firsts, "hash", "inner").filter(F.col("_origin") < spot)
     # overlapping runs become one list of lines
     gone = later.select("_id", "_text", F.explode("own").alias("line")).distinct()
     return gone.groupBy("_id", "_text").agg(F.array_sort(F.collect_list("line")).alias("lines"))
