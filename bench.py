@@ -5,8 +5,13 @@ from __future__ import annotations
 import json
 import os
 import re
+import statistics
 import time
 
+from pyspark.ml.feature import StringIndexer
+from pyspark.mllib.evaluation import RankingMetrics
+from pyspark.sql import functions as F
+
 from earshot.operators import interactions as ops
 from earshot.operators.indexing import apply_index, fit_index
 from earshot.operators.lsh import ann_topk, sweep
@@ -73,6 +78,46 @@ def main() -> None:
         )[1].collect(),
     )
 
+    def paired(name, ours, built_in):
+        """Seconds of both after a warm-up of each, median of three, and how many times the built-in's we take."""
+        taken = {}
+        for label, work in ((f"{name}_ours", ours), (f"{name}_builtin", built_in)):
+            work()
+            runs = []
+            for _ in range(3):
+                start = time.monotonic()
+                work()
+                runs.append(time.monotonic() - start)
+            taken[label] = round(statistics.median(runs), 3)
+        seconds.update(taken)
+        ratios[name] = round(taken[f"{name}_ours"] / max(taken[f"{name}_builtin"], 1e-3), 2)
+
+    ratios: dict[str, float] = {}
+    sink = lambda df: df.write.format("noop").mode("overwrite").save()
+    wanted = materialize(truth.select("user_ix").distinct(), "wanted")
+    lists = truth.groupBy("user_ix").agg(F.collect_list(F.col("item_ix").cast("double")).alias("truth"))
+
+    def built_in_index():
+        indexer = StringIndexer(inputCols=["user_id", "track_id"], outputCols=["u", "i"], handleInvalid="skip")
+        sink(indexer.fit(kept).transform(kept))
+
+    def own_index():
+        sink(apply_index(kept, fit_index(kept, "user_id"), fit_index(kept, "track_id"), fitted=True))
+
+    def built_in_metrics():
+        found = model.recommendForUserSubset(wanted, 500).join(lists, "user_ix")
+        pairs = found.select(F.col("recommendations.item_ix").cast("array<double>").alias("p"), "truth")
+        metrics = RankingMetrics(pairs.rdd.map(tuple))
+        return metrics.precisionAt(500), metrics.meanAveragePrecision
+
+    def own_metrics():
+        return ranking_metrics(recommend(model, 500, wanted), truth, 500).collect()
+
+    paired("index", own_index, built_in_index)
+    paired("recommend_test_users", lambda: sink(recommend(model, 500, wanted)), lambda: sink(model.recommendForUserSubset(wanted, 500)))
+    paired("recommend_all_users", lambda: sink(recommend(model, 500)), lambda: sink(model.recommendForAllUsers(500)))
+    paired("lists_and_metrics", own_metrics, built_in_metrics)
+
     scale = re.search(r"sf([0-9.]+)", sf_dir)
     print(
         json.dumps(
@@ -81,6 +126,7 @@ def main() -> None:
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
+                "times_builtin": ratios,
                 "sf": float(scale.group(1)) if scale else None,
             }
         )
