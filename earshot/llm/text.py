@@ -85,6 +85,17 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)), offsets
 
 
+def slices(texts: pa.Array, size: int = 4 * CHUNK) -> Iterator[pa.Array]:
+    """The texts in runs of about ``size`` bytes, a larger text on its own: what a task holds per word stays bounded
+    by that, whatever Spark puts into a batch."""
+    _, offsets = buffers(texts)
+    at = 0
+    while at < len(texts):
+        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + size, side="right")) - 1)
+        yield texts.slice(at, to - at)
+        at = to
+
+
 def chunks(data: np.ndarray, offsets: np.ndarray, blank: np.ndarray = _BLANK, size: int = CHUNK) -> Iterator[tuple[int, int]]:
     """Byte ranges of about ``size`` that cut no word: a range ends at a blank or where a text ends."""
     at, end = (int(offsets[0]), int(offsets[-1])) if len(offsets) else (0, 0)
@@ -155,6 +166,11 @@ def word_hashes(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.nd
 def shingle_sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
     """Per text the sorted distinct hashes of its word ``size``-grams, A-Z folded; with fewer words the whole
     sequence counts as one, without words there is none."""
+    for part in slices(texts):
+        yield from _shingle_sets(part, size)
+
+
+def _shingle_sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
     words, at = word_hashes(texts, lower=True)
     for lo, hi in zip(at[:-1], at[1:]):
         own = words[lo:hi]

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from earshot.llm.languages import fold
-from earshot.llm.text import buffers, chunks, hash_sample, held_out, mix, span_hashes, spans
+from earshot.llm.text import buffers, chunks, hash_sample, held_out, mix, slices, span_hashes, spans
 from earshot.sources.store import materialize
 
 FIT_ROWS = 30_000
@@ -108,6 +108,10 @@ class Model:
         E = size * tokens * exp(-rate * score), the number of such segments to expect in clean text of that length.
         The evidence is -log E of the best segment, however weak, plus that of every further significant one.
         """
+        for part in slices(texts):
+            yield from self._passages(part)
+
+    def _passages(self, texts: pa.Array):
         levels, at = tokens(texts)
         scores = self.token_scores(levels)
         for lo, hi in zip(at[:-1], at[1:]):
@@ -122,11 +126,19 @@ class Model:
             yield [(a, b, s, float(np.exp(-min(e, 700)))) for e, a, b, s in strong], max(FLOOR, total)
 
 
+def _parts(batches):
+    """(texts, whether each is toxic) in runs of a few MB."""
+    for batch in batches:
+        toxic, at = batch.column("toxic").to_numpy(zero_copy_only=False).astype(bool), 0
+        for part in slices(batch.column("text")):
+            yield part, toxic[at : at + len(part)]
+            at += len(part)
+
+
 def _doc_words(batches):
     """Per word its stems and the numbers of toxic and other texts that hold it; a repeat within a text counts no more."""
-    for batch in batches:
-        levels, at = tokens(batch.column("text"))
-        toxic = batch.column("toxic").to_numpy(zero_copy_only=False).astype(bool)
+    for texts, toxic in _parts(batches):
+        levels, at = tokens(texts)
         if not levels.shape[1]:
             continue
         texts = np.repeat(np.arange(len(toxic)), np.diff(at))
@@ -203,9 +215,9 @@ def fit(
 
     def profile(batches):
         """Histogram of token scores of clean texts, in hundredths."""
-        for batch in batches:
-            levels, at = tokens(batch.column("text"))
-            clean = ~batch.column("toxic").to_numpy(zero_copy_only=False).astype(bool)
+        for texts, toxic_ in _parts(batches):
+            levels, at = tokens(texts)
+            clean = ~toxic_
             scores = np.round(shared_model.value.token_scores(levels) * 100).astype(np.int32)
             values, n = np.unique(scores[np.repeat(clean, np.diff(at))], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(values), pa.array(n.astype(np.int64))], ["x", "n"])
@@ -216,14 +228,14 @@ def fit(
     scaled = spark.sparkContext.broadcast(model)
 
     def measure(batches):
-        for batch in batches:
-            levels, at = tokens(batch.column("text"))
+        for texts, toxic_ in _parts(batches):
+            levels, at = tokens(texts)
             scores = scaled.value.token_scores(levels)
             best = [
                 max((s for *_, s in segments(once(scores[lo:hi], levels[-1, lo:hi]))), default=0.0)
                 for lo, hi in zip(at[:-1], at[1:])
             ]
-            yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(np.diff(at)), pa.array(best, pa.float64())], ["toxic", "n", "s"])
+            yield pa.RecordBatch.from_arrays([pa.array(toxic_), pa.array(np.diff(at)), pa.array(best, pa.float64())], ["toxic", "n", "s"])
 
     best = unseen.mapInArrow(measure, "toxic boolean, n bigint, s double").toArrow()
     n, s = best.column("n").to_numpy().astype(float), best.column("s").to_numpy()
