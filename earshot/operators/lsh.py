@@ -8,11 +8,12 @@ closest to; what they meet there is scored exactly.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from earshot.functions.vectors import checked, dimension, matrix, norm, pad_items, pad_queries
@@ -169,6 +170,56 @@ def hash_pair(
     )
 
 
+@dataclass
+class SearchIndex:
+    """Hashed items with all that is needed to hash queries alike; built once, saved, loaded and searched."""
+
+    items: DataFrame  # (item, vec, codes), a written table
+    metric: str
+    tables: int
+    bits: int
+    seed: int
+    dim: int
+    longest: float | None  # of the items, for ``dot``
+
+    SETTINGS = "metric string, tables int, bits int, seed int, dim int, longest double"
+
+    @classmethod
+    def build(cls, items: DataFrame, metric: str = "cosine", tables: int = 10, bits: int = 6, seed: int = 7) -> SearchIndex:
+        """From (id, vec). The hashed table is written, so bucket sizes come from codes alone and nothing is hashed
+        twice. Vectors that cannot be scored raise."""
+        items, _, dim = checked(items)
+        rows, longest = items.select(F.col("id").alias("item"), "vec"), None
+        if metric == "dot":
+            longest = rows.agg(F.max(norm("vec"))).first()[0]
+        pad = partial(pad_items, longest=longest) if longest is not None else None
+        coded = materialize(with_codes(rows, tables, bits, seed, dim or 1, pad=pad), "hashed")
+        return cls(coded, metric, tables, bits, seed, dim or 1, longest)
+
+    def search(self, queries: DataFrame, k: int, probes: int = 0, tables: int | None = None, **sizes) -> DataFrame:
+        """(query, item, score, rank) for queries (id, vec), in the first ``tables`` of the index, or in all."""
+        tables = self.tables if tables is None else tables
+        if tables > self.tables:
+            raise ValueError(f"the index has {self.tables} tables, not {tables}")
+        queries, _, _ = checked(queries, self.dim)
+        pad = pad_queries if self.longest is not None else None
+        left = with_codes(queries.select(F.col("id").alias("query"), "vec"), tables, self.bits, self.seed, self.dim, probes, pad)
+        left = materialize(left, "hashed")
+        right = self.items.withColumn("codes", F.slice("codes", 1, tables))
+        n_queries, n_items = left.count() * tables * (probes + 1), right.count() * tables
+        looks, places = buckets(left, self.bits, probes), buckets(right, self.bits)
+        return search_buckets(looks, places, k, self.metric, tables, self.bits, n_queries, n_items, **sizes)
+
+    def save(self, path: str) -> None:
+        self.items.write.mode("overwrite").parquet(f"{path}/items")
+        row = [(self.metric, self.tables, self.bits, self.seed, self.dim, self.longest)]
+        self.items.sparkSession.createDataFrame(row, self.SETTINGS).coalesce(1).write.mode("overwrite").parquet(f"{path}/settings")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> SearchIndex:
+        return cls(spark.read.parquet(f"{path}/items"), *spark.read.schema(cls.SETTINGS).parquet(f"{path}/settings").first())
+
+
 def ann_topk(
     queries: DataFrame,
     items: DataFrame,
@@ -180,18 +231,9 @@ def ann_topk(
     seed: int = 7,
     **sizes,
 ) -> DataFrame:
-    """(query, item, score, rank): the k best among the items met in the buckets.
-
-    The hashed tables are written first: the bucket sizes then come from their codes alone, and
-    nothing is hashed twice.
-    """
-    hashed = hash_pair(queries, items, metric, tables, bits, probes, seed)
-    left, right = (materialize(table, "hashed") for table in hashed)
-    width = check_probes(probes, bits) + 1
-    n_queries, n_items = left.count() * tables * width, right.count() * tables
-    return search_buckets(
-        buckets(left, bits, probes), buckets(right, bits), k, metric, tables, bits, n_queries, n_items, **sizes
-    )
+    """(query, item, score, rank): the k best among the items met in the buckets."""
+    check_probes(probes, bits)
+    return SearchIndex.build(items, metric, tables, bits, seed).search(queries, k, probes, **sizes)
 
 
 def sweep(

@@ -18,7 +18,7 @@ from earshot.functions.counts import TRANSFORMS
 from earshot.functions.vectors import as_doubles
 from earshot.operators import interactions as ops
 from earshot.operators.indexing import apply_index, fit_index, load_or_fit_index
-from earshot.operators.lsh import ann_topk, buckets, hash_pair, save_buckets, search_buckets, sweep
+from earshot.operators.lsh import SearchIndex, ann_topk, buckets, hash_pair, sweep
 from earshot.operators.metrics import (
     as_lists,
     ground_truth,
@@ -562,15 +562,11 @@ def ann_topk_items(spark, sf_dir):
 
 @register("ann_index_roundtrip", ORACLES["ann_topk"])
 def ann_index_roundtrip(spark, sf_dir):
-    """The search of ``ann_topk`` with a bucket table that was saved and read back."""
+    """The search of ``ann_topk`` with an index that was saved and loaded."""
     vectors = testbed.vectors(spark, sf_dir)
-    path = _path(spark, "buckets")
-    left, right = hash_pair(vectors, vectors, "cosine", probes=0, **HASH)
-    save_buckets(buckets(right, HASH["bits"]).drop("probe"), path)
-    saved = spark.read.parquet(path)
-    queries = buckets(left, HASH["bits"])
-    n = vectors.count() * HASH["tables"]
-    return _lists(search_buckets(queries, saved, 10, "cosine", HASH["tables"], HASH["bits"], n, n))
+    path = _path(spark, "index")
+    SearchIndex.build(vectors, "cosine", **HASH).save(path)
+    return _lists(SearchIndex.load(spark, path).search(vectors, 10))
 
 
 @register(

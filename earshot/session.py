@@ -24,6 +24,12 @@ def get_session(app: str, master: str | None = None, **conf: str) -> SparkSessio
     return builder.getOrCreate()
 
 
+def clear_shared(spark: SparkSession) -> None:
+    """Delete this application's part of the shared folder. Tables that were written there can no longer be read."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """This application's part of the folder named by ``spark.checkpoint.dir``, which every
     executor can reach. It can be deleted when the application has ended.
