@@ -10,6 +10,7 @@ from earshot.operators.lsh import (
     cheapest_flips,
     hash_pair,
     planes,
+    SearchIndex,
     save_buckets,
     search_buckets,
     sweep,
@@ -202,3 +203,19 @@ def test_empty_sides(spark):
     one = table(spark, [[1.0, 2.0]])
     assert exact_topk(none, one, 3).count() == 0
     assert ann_topk(none, one, 3).count() == 0
+
+
+def test_an_index_is_saved_loaded_and_searched_in_part(spark, tmp_path):
+    rng = np.random.default_rng(8)
+    items = spark.createDataFrame([(i, rng.standard_normal(12).tolist()) for i in range(150)], "id bigint, vec array<double>")
+    queries = spark.createDataFrame([(i, rng.standard_normal(12).tolist()) for i in range(20)], "id bigint, vec array<double>")
+    SearchIndex.build(items, "dot", tables=6, bits=3).save(str(tmp_path / "index"))
+    index = SearchIndex.load(spark, str(tmp_path / "index"))
+    for tables, probes in ((6, 0), (2, 3), (1, 7)):
+        found = index.search(queries, 5, probes, tables)
+        fresh = ann_topk(queries, items, 5, "dot", tables, 3, probes)
+        key = lambda rows: sorted(tuple(r) for r in rows.collect())
+        assert key(found) == key(fresh)
+    assert key(index.search(queries, 5, 7, 1)) == key(exact_topk(queries, items, 5))
+    with pytest.raises(ValueError, match="6 tables"):
+        index.search(queries, 5, tables=7)
