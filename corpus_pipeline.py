@@ -10,8 +10,9 @@ from earshot.sources.store import materialize
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is found without doubt. What goes: texts without a letter, and ambiguous ones."""
-    judged = languages.identify(docs, languages.learn(docs))
+    """Documents that have a language. What goes: texts without a letter, and those for which no language gets half of
+    the likelihood, so that a short text between two languages stays."""
+    judged = languages.identify(docs, languages.learn(docs), ambiguous=0.5)
     return judged.filter((F.col("lang_pred") != languages.UNKNOWN) & ~F.col("ambiguous")).select(*docs.columns)
 
 
