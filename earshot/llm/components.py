@@ -32,7 +32,7 @@ def components(links: DataFrame) -> DataFrame:
         around = _both_ways(links)
         least = around.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = around.filter(F.col("v") > F.col("u")).join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = materialize(large.filter(F.col("u") != F.col("v")).distinct(), "links")
+        large = materialize(large.filter(F.col("u") != F.col("v")), "links")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             least.select("u", F.col("m").alias("v"))

@@ -175,26 +175,30 @@ def similar_components(
     p = F.col("n") - F.floor((F.col("n") * percent + 99) / 100) + 1
     total = F.least("n", p + F.floor(F.col("n") / 20) + 4)
     placed = F.posexplode("prefix").alias("pos", "token")
-    tokens = classes.select("sig", "n", placed).select("token", "sig", (F.col("pos") < p).alias("early"))
+    tokens = classes.select("sig", "n", placed).select("token", "sig", "n", (F.col("pos") < p).alias("early"))
     met = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("f")).filter(F.col("f") > 1)
-    shared = materialize(tokens.join(met, "token").select("sig", "token", "early", "f"), "shared")
+    shared = materialize(tokens.join(met, "token").select("sig", "n", "token", "early", "f"), "shared")
     costs = shared.groupBy("sig").agg(
         F.sum(F.when(F.col("early"), F.col("f") - 1).otherwise(0)).alias("cost"), F.count(F.lit(1)).alias("n_shared")
     )
-    costs = materialize(costs.join(classes.select("sig", "n"), "sig"), "costs")
     sketches = classes.select("sig", *[F.get("sketch", F.lit(k)).alias(f"s{k}") for k in range(SKETCH)])
-    entries = shared.join(costs, "sig")
-    short = entries.filter(F.col("early") & (F.col("f") <= cost + 1)).withColumn("probes", F.col("cost") <= cost)
-    short = materialize(short.select("token", "sig", "n", "probes").join(sketches, "sig"), "short")
+    # all three meet by set, so this is one pass; members that no other set has come first in the order by rarity
     by_rarity = W.partitionBy("sig").orderBy("f", "token")
-    long = entries.filter(F.col("cost") > cost).withColumn("place", F.row_number().over(by_rarity) + total - F.col("n_shared"))
+    entries = shared.join(costs, "sig").join(sketches, "sig").withColumn(
+        "place", F.row_number().over(by_rarity) + total - F.col("n_shared")
+    )
     # as many may go as the smallest set that can be similar guarantees to share, less one
     least = F.floor((F.col("n") * percent + 99) / 100)
     spare = F.least(F.floor(least / 20) + 4, F.floor((least * percent + 99) / 100) - 1)
-    long = long.filter(F.col("place") <= total - spare).select("token", "sig", "n")
-    listed = materialize(long, "long-tokens")
-    lengths = listed.groupBy("token").agg(F.count(F.lit(1)).alias("f")).filter(F.col("f") > 1)
-    long = materialize(listed.join(lengths, "token").join(sketches, "sig"), "long")
+    entries = entries.select(
+        "token", "sig", "n", *[f"s{k}" for k in range(SKETCH)], (F.col("cost") <= cost).alias("probes"),
+        (F.col("early") & (F.col("f") <= cost + 1)).alias("short"), ((F.col("cost") > cost) & (F.col("place") <= total - spare)).alias("long"),
+    )
+    entries = materialize(entries.filter(F.col("short") | F.col("long")), "entries")
+    short = entries.filter("short").drop("short", "long")
+    long = entries.filter("long").drop("short", "long", "probes")
+    lengths = long.groupBy("token").agg(F.count(F.lit(1)).alias("f")).filter(F.col("f") > 1)
+    long = materialize(long.join(lengths, "token"), "long")
     verifier = _Verifier(docs, classes, words, percent, doc_id, text)
 
     low = lambda a, b: F.col(f"{a}.sig") < F.col(f"{b}.sig")
