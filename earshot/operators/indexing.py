@@ -31,15 +31,14 @@ def fit_index(rows: DataFrame, key: str) -> DataFrame:
         .withColumn("_at", F.monotonically_increasing_id())
     )
     ordered = materialize(placed, f"index-{key}")
-    if ordered.count() > MAX_IDS:
-        raise ValueError(f"more than {MAX_IDS} distinct values in {key}")
-
     part = F.shiftright("_at", POSITION_BITS).cast("int")
     sizes = [(row[0], row[1]) for row in ordered.groupBy(part).agg(F.count(F.lit(1))).collect()]
     starts, before = [], 0
     for number, size in sorted(sizes):
         starts.append((number, before))
         before += size
+    if before > MAX_IDS:
+        raise ValueError(f"more than {MAX_IDS} distinct values in {key}")
     offsets = rows.sparkSession.createDataFrame(starts, "_part int, _start bigint")
     position = F.col("_at").bitwiseAND(F.lit((1 << POSITION_BITS) - 1))
     # one row per range partition, so never more than the shuffle partition setting
