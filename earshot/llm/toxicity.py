@@ -71,18 +71,6 @@ def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     return [(s, e, a - b) for s, e, b, a, _ in stack]
 
 
-def once(scores: np.ndarray, words: np.ndarray) -> np.ndarray:
-    """Scores in which only a word's first place in the text speaks against it: the counts behind them are of texts."""
-    where = np.flatnonzero(scores > 0)
-    if len(where) < 2:
-        return scores
-    _, first = np.unique(words[where], return_index=True)
-    out = scores.copy()
-    out[where] = -DRIFT
-    out[where[first]] = scores[where[first]]
-    return out
-
-
 @dataclass
 class Model:
     keys: np.ndarray  # sorted hashes of stems and words that carry a score
@@ -115,7 +103,7 @@ class Model:
         levels, at = tokens(texts)
         scores = self.token_scores(levels)
         for lo, hi in zip(at[:-1], at[1:]):
-            found = segments(once(scores[lo:hi], levels[-1, lo:hi]))
+            found = segments(scores[lo:hi])
             if not found:
                 yield [], FLOOR
                 continue
@@ -232,7 +220,7 @@ def fit(
             levels, at = tokens(texts)
             scores = scaled.value.token_scores(levels)
             best = [
-                max((s for *_, s in segments(once(scores[lo:hi], levels[-1, lo:hi]))), default=0.0)
+                max((s for *_, s in segments(scores[lo:hi])), default=0.0)
                 for lo, hi in zip(at[:-1], at[1:])
             ]
             yield pa.RecordBatch.from_arrays([pa.array(toxic_), pa.array(np.diff(at)), pa.array(best, pa.float64())], ["toxic", "n", "s"])

@@ -110,6 +110,23 @@ def test_passages_stand_where_the_words_are(spark):
     assert [(p.start, p.end) for p in row.passages] == [(6, 8)] and row.passages[0].e_value < 0.01 and row.score > 0.5
 
 
+def test_passages_are_found_again_and_after_their_words(spark):
+    plain = " ".join(["one two three four five six"] * 30)
+    clean = [(i, f"one two three four number{i} five six", 0) for i in range(3000)]
+    toxic = [(10_000 + i, f"one two rotten vile number{i} five six", 1) for i in range(600)]
+    docs = spark.createDataFrame([r[:2] for r in clean + toxic], "doc_id bigint, text string")
+    model = toxicity.fit(docs, spark.createDataFrame([(r[0], r[2]) for r in clean + toxic], "doc_id bigint, toxic int"))
+    n = len(plain.split())
+    twice = f"rotten vile {plain} rotten vile"
+    scattered = f"rotten {plain} vile {plain} rotten vile rotten vile"
+    repeated = f"{plain} " + " ".join(["rotten"] * 39)
+    rows = [(0, twice), (1, scattered), (2, repeated)]
+    found = {r.i: r for r in toxicity.detect(spark.createDataFrame(rows, "i int, text string"), model).collect()}
+    assert [(p.start, p.end) for p in found[0].passages] == [(0, 2), (n + 2, n + 4)]
+    assert (2 * n + 2, 2 * n + 6) in [(p.start, p.end) for p in found[1].passages]
+    assert [(p.start, p.end) for p in found[2].passages] == [(n, n + 39)] and found[2].score > 0.5
+
+
 @pytest.mark.parametrize("n", [2, 3, 4, 5, 6, 9, 40])
 def test_codewords_tell_classes_apart(n):
     code = languages.codewords(n)
