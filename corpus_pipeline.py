@@ -17,8 +17,9 @@ def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles, similarity 0.8."""
-    return similarity.drop_near_copies(docs)
+    """One document of each group of near copies: five-word shingles, similarity 0.8. Copies without an id and repeated
+    rows are copies like others."""
+    return similarity.drop_near_copies(docs, alike=False)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from earshot.llm.components import components
 from earshot.llm.text import mix, shingle_sets, text_key, without
@@ -255,15 +256,39 @@ def _crowded(entries: DataFrame, links: DataFrame, verifier: _Verifier, percent:
     return links
 
 
-def drop_near_copies(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def drop_near_copies(
+    docs: DataFrame, words: int = WORDS, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text", alike: bool = True,
+) -> DataFrame:
     """One row of each component, that with the smallest id (of equal ids that with the smallest text hash); all columns
-    stay. Rows without words are in no component, and all stay. Rows alike in id and text are one and all stay."""
+    stay. Rows without words are in no component, and all stay. Rows alike in id and text are one and all stay, unless
+    ``alike`` is False: then one of them stays, that with the smallest hash of its columns."""
     found = materialize(similar_components(docs, words, percent, doc_id, text), "components")
-    grouped = found.filter(F.col("root").isNotNull())
+    grouped = found.filter(F.col("root").isNotNull()).groupBy("root", "_id", "_text").agg(F.count(F.lit(1)).alias("rows"))
     row = F.struct("_id", "_text")
     kept = grouped.groupBy("root").agg(F.min(row).alias("_kept"))
-    marked = grouped.join(kept, "root").filter(row != F.col("_kept")).select("_id", "_text")
-    return without(docs, materialize(marked, "near-copies"), doc_id, text)
+    stays = materialize(grouped.join(kept, "root").select("_id", "_text", "rows", (row == F.col("_kept")).alias("stays")), "stays")
+    left = without(docs, materialize(stays.filter(~F.col("stays")).select("_id", "_text"), "near-copies"), doc_id, text)
+    if alike:
+        return left
+    again = materialize(stays.filter(F.col("stays") & (F.col("rows") > 1)).select("_id", "_text"), "alike")
+    return left if again.isEmpty() else _first_alike(left, again, doc_id, text)
+
+
+def _first_alike(docs: DataFrame, again: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """The rows of ``docs``, but of those with one key in ``again`` (_id, _text) only that with the smallest hash of its
+    columns. Only these rows are grouped, and each task sends one row per key on."""
+    hashed = F.xxhash64(*[F.col(f.name) if not _has_map(f.dataType) else F.to_json(F.struct(f.name)) for f in docs.schema])
+    keys = text_key(doc_id, text)
+    keyed = docs.select(F.struct(*docs.columns).alias("_row"), keys[0].alias("_own_id"), keys[1].alias("_own_text"), hashed.alias("_h"))
+    if again.count() <= BROADCAST_TEXTS:
+        again = F.broadcast(again)
+    same = keyed["_own_id"].eqNullSafe(again["_id"]) & (keyed["_own_text"] == again["_text"])
+    one = keyed.join(again, same, "left_semi").groupBy("_own_id", "_own_text").agg(F.min_by("_row", "_h").alias("_row"))
+    return without(docs, again, doc_id, text).unionByName(one.select("_row.*"))
+
+
+def _has_map(kind: DataType) -> bool:
+    return '"map"' in kind.json()
 
 
 def op9_jaccard_join(spark, sf_dir: str) -> DataFrame:

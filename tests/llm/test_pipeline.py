@@ -3,6 +3,8 @@
 import re
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from earshot.llm import mixing
 from earshot.sources.store import materialize
@@ -42,3 +44,19 @@ def test_stages(spark, sf_dir):
 
 def test_run(spark, sf_dir):
     assert corpus_pipeline.run(spark, sf_dir).count() > 0
+
+
+def test_one_row_of_copies_alike_in_id_and_text(spark):
+    copy, near = " ".join(f"w{i}" for i in range(40)), " ".join(f"w{i}" for i in range(39))
+    rows = [(None, copy, f"s{i % 3}") for i in range(30)] + [(7, near, "s0"), (8, "one row that is here twice", "s1"), (8, "one row that is here twice", "s1")]
+    rows += [(9, "same id and text but another source", "s1"), (9, "same id and text but another source", "s2"), (10, "alone among all of these", "s0")]
+    rows += [(None, "?!", "s0"), (None, "a text without an id", "s0"), (None, None, "s0"), (None, None, "s0")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(3)
+    docs = docs.withColumn("more", F.create_map(F.lit("source"), "source"))
+    kept = corpus_pipeline.one_of_each(spark, docs, "").collect()
+    assert Counter((r.doc_id, r.text) for r in kept) == Counter(
+        [(None, copy), (8, rows[31][1]), (9, rows[33][1]), (10, rows[35][1]), (None, "?!"), (None, "a text without an id"), (None, None), (None, None)]
+    )
+    assert all(r.more == {"source": r.source} for r in kept)
+    again = corpus_pipeline.one_of_each(spark, docs.repartition(5), "").collect()
+    assert sorted(map(str, again)) == sorted(map(str, kept))
