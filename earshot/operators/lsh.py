@@ -236,14 +236,19 @@ def ann_topk(
     return SearchIndex.build(items, metric, tables, bits, seed).search(queries, k, probes, **sizes)
 
 
+def enough_bits(probes: int) -> int:
+    """The fewest planes, 6 at least, with which a table has so many other buckets."""
+    return max(6, probes.bit_length())
+
+
 def sweep(
     queries: DataFrame,
     items: DataFrame,
     k: int,
     metric: str = "cosine",
     tables: tuple[int, ...] = (10, 20, 30, 40, 50),
-    probes: tuple[int, ...] = (0, 10, 50),
-    bits: int = 6,
+    probes: tuple[int, ...] = (0, 10, 50, 100),
+    bits: int | None = None,
     seed: int = 7,
     exact: DataFrame | None = None,
 ) -> DataFrame:
@@ -252,8 +257,10 @@ def sweep(
     An exact neighbour is found if and only if it is a candidate, so recall needs the exact lists
     and the buckets of their members only, not a search per setting. ``scored_share`` is the
     number of items scored per query over the number of items; an item met in several tables
-    counts each time, as it does in the search, so the share may exceed 1.
+    counts each time, as it does in the search, so the share may exceed 1. Without ``bits`` there are
+    ``enough_bits`` for the probes.
     """
+    bits = enough_bits(max(probes)) if bits is None else bits
     depth = check_probes(max(probes), bits)
     if exact is None:
         exact = exact_topk(queries, items, k, metric)

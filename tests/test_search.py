@@ -219,3 +219,9 @@ def test_an_index_is_saved_loaded_and_searched_in_part(spark, tmp_path):
     assert key(index.search(queries, 5, 7, 1)) == key(exact_topk(queries, items, 5))
     with pytest.raises(ValueError, match="6 tables"):
         index.search(queries, 5, tables=7)
+
+
+def test_all_settings_of_the_survey_run_by_default(spark):
+    vectors = table(spark, np.random.default_rng(3).normal(size=(40, 4)))
+    rows = sweep(vectors, vectors, 2).collect()
+    assert {(r.tables, r.probes) for r in rows} == set(itertools.product((10, 20, 30, 40, 50), (0, 10, 50, 100)))
