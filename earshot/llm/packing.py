@@ -7,6 +7,8 @@ any stretch of it without reading what lies before. Any store that Spark writes
 
 from __future__ import annotations
 
+import json
+import os
 import uuid
 import zlib
 from collections.abc import Callable, Iterable, Iterator
@@ -15,6 +17,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,7 +28,7 @@ from earshot.sources.store import materialize
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 2
 BLOCK_IDS = 1 << 16
-CACHE = 200_000
+SLICE = 8 << 20  # bytes of texts encoded at once
 MAX_BITS = 32
 _STEP = 1 << 13  # ids packed at once: a multiple of 8, so that every step ends with a whole byte
 
@@ -35,6 +38,9 @@ _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True
 _SHOWN = np.zeros(256, bool)
 _SHOWN[0x21:0x7F] = True
+# Pieces with one space at most, at their begin, and no other blank: a line end beside them stays a token of its own.
+_SIMPLE = r"^ ?[^\x00-\x20\x{85}\pZ]+$"
+_JOINED, _CALL = 200, 50  # pieces in a text, texts in a call
 
 
 def id_bits(size: int) -> int:
@@ -95,52 +101,89 @@ def units(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
 
 
 class Encoder:
-    """Ids of texts by a tokenizer of the library ``tokenizers``, which sees every distinct piece once while it is held."""
+    """Ids of whole texts by a tokenizer of the library ``tokenizers``, without special tokens.
 
-    def __init__(self, definition: str, cache: int):
+    A byte-level tokenizer with the usual pre-tokenizer treats each piece of ``units`` alone, so it is given every distinct
+    piece of a slice once, many in a call with line ends between them. Other tokenizers get whole texts.
+    """
+
+    def __init__(self, definition: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.cache = Tokenizer.from_str(definition), cache
-        self.known: dict[str, list[int]] = {}
+        self.tokenizer = Tokenizer.from_str(definition)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        read = json.loads(definition)
+        kind = read.get("pre_tokenizer") or {}
+        self.by_piece = (
+            read.get("normalizer") is None and kind.get("type") == "ByteLevel" and kind.get("use_regex", True)
+            and not kind.get("add_prefix_space") and not any(t["lstrip"] or t["rstrip"] for t in read.get("added_tokens", []))
+        )
+        line_end = self._encode(["\n"])[0]
+        self.by_piece = self.by_piece and len(line_end) == 1
+        self.line_end = line_end[0] if self.by_piece else None
+
+    def _encode(self, texts: list[str]) -> list[list[int]]:
+        return [encoding.ids for encoding in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in order, where each text's begin and, as last entry, their number)."""
+        if not self.by_piece:
+            lists = self._encode(["" if t is None else t for t in texts.to_pylist()])
+            sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+            return np.fromiter(chain.from_iterable(lists), np.uint32, int(sizes.sum())), np.concatenate([[0], np.cumsum(sizes)])
         pieces, firsts = units(texts)
         coded = pieces.dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        if len(self.known) + len(distinct) > self.cache:
-            self.known = {}
-        new = [piece for piece in distinct if piece not in self.known]
-        found = self.tokenizer.encode_batch(new, add_special_tokens=False)
-        self.known.update((piece, encoding.ids) for piece, encoding in zip(new, found))
-        lists = [self.known[piece] for piece in distinct]
-        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-        flat = np.fromiter(chain.from_iterable(lists), np.uint32, int(sizes.sum()))
-        order = np.asarray(coded.indices, dtype=np.int64)
+        flat, starts, sizes = self._pieces(coded.dictionary)
+        order = coded.indices.to_numpy()
         lengths = sizes[order]
-        ends = np.concatenate([[0], np.cumsum(lengths)])
-        starts = (np.cumsum(sizes) - sizes)[order]
-        return flat[np.repeat(starts - ends[:-1], lengths) + np.arange(ends[-1])], ends[firsts]
-
-
-def encode(docs: DataFrame, definition: str, end_id: int | None, doc_id: str = "doc_id", text: str = "text", cache: int = CACHE) -> DataFrame:
-    """(id, tie, n, ids) per row of ``docs``: the number of ids of its text, with ``end_id`` at their end, and the ids as
-    unsigned little-endian 32-bit integers. ``tie`` orders rows that share an id, by their text."""
+        ends = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
+        at = np.arange(ends[-1], dtype=np.int32)
+        at += np.repeat((starts[order] - ends[:-1]).astype(np.int32), lengths)
+        return flat[at], ends[firsts]
+
+    def _pieces(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, where those of each piece begin, how many they are)."""
+        alone = ~pc.match_substring_regex(pieces, _SIMPLE).to_numpy(zero_copy_only=False)
+        starts, sizes, found = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int32), []
+        simple = pieces.filter(pa.array(~alone)).to_pylist()
+        ended = [self.line_end]
+        for at in range(0, len(simple), _CALL * _JOINED):
+            part = simple[at : at + _CALL * _JOINED]
+            for ids in self._encode(["\n".join(part[k : k + _JOINED]) for k in range(0, len(part), _JOINED)]):
+                found.append(np.array(ids + ended, np.uint32))
+        flat = np.concatenate(found) if found else np.zeros(0, np.uint32)
+        marks = np.flatnonzero(flat == self.line_end) if found else np.zeros(0, np.int64)
+        if len(marks) != len(simple):
+            raise RuntimeError("a line end is not a token of its own")
+        starts[~alone] = np.concatenate([[0], marks[:-1] + 1]) if len(marks) else marks
+        sizes[~alone] = marks - starts[~alone]
+        lists = self._encode(pieces.filter(pa.array(alone)).to_pylist())
+        own = np.fromiter(map(len, lists), np.int64, len(lists))
+        starts[alone] = len(flat) + np.cumsum(own) - own
+        sizes[alone] = own
+        return np.concatenate([flat, np.fromiter(chain.from_iterable(lists), np.uint32, int(own.sum()))]), starts, sizes
+
+
+def encode(docs: DataFrame, definition: str, bits: int, end_id: int | None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(id, tie, n, ids) per row of ``docs``: the number of ids of its text, with ``end_id`` at their end, and the ids packed
+    to ``bits``. ``tie`` orders rows that share an id, by their text."""
     shared = docs.sparkSession.sparkContext.broadcast(definition)  # the vocabulary, which does not grow with the texts
     held: list[Encoder] = []
     tail = np.array([] if end_id is None else [end_id], np.uint32)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not held:
-            held.append(Encoder(shared.value, cache))
+            held.append(Encoder(shared.value))
         for batch in batches:
             at = 0
-            for texts in slices(batch["text"]):
+            for texts in slices(batch["text"], SLICE):
                 ids, firsts = held[0](texts)
                 own = [np.concatenate([ids[a:b], tail]) for a, b in zip(firsts[:-1], firsts[1:])]
                 keys = batch.slice(at, len(texts))
                 at += len(texts)
-                packed = pa.array([x.astype("<u4").tobytes() for x in own], pa.binary())
+                packed = pa.array([pack(x, bits) for x in own], pa.binary())
                 n = pa.array([len(x) for x in own], pa.int64())
                 yield pa.RecordBatch.from_arrays([keys["id"], keys["tie"], n, packed], ["id", "tie", "n", "ids"])
 
@@ -151,13 +194,16 @@ def encode(docs: DataFrame, definition: str, end_id: int | None, doc_id: str = "
 def _block(part: int, block: int, first: int, bits: int, held: list[pa.RecordBatch]) -> pa.RecordBatch:
     """One row: the documents of the record batches ``held``."""
     table = pa.Table.from_batches(held).combine_chunks()
-    ids = np.frombuffer(b"".join(table["ids"].to_pylist()), "<u4")
-    ends = np.concatenate([[0], np.cumsum(table["n"].to_numpy())])
+    n = table["n"].to_numpy()
+    ends = np.concatenate([[0], np.cumsum(n)])
+    data = table["ids"].to_pylist()
+    if bits % 8:
+        data = [pack(np.concatenate([unpack(own, bits, 0, size) for own, size in zip(data, n.tolist())]), bits)]
     rows = pa.array([0, table.num_rows], pa.int32())
     keys = pa.ListArray.from_arrays(rows, table["id"].combine_chunks())
     at = pa.array([ends], pa.list_(pa.int64()))
-    columns = [pa.array([part], pa.int32()), pa.array([block], pa.int32()), pa.array([first], pa.int64()), pa.array([len(ids)], pa.int64())]
-    columns += [pa.array([bits], pa.int32()), pa.array([pack(ids, bits)], pa.binary()), keys, at]
+    columns = [pa.array([part], pa.int32()), pa.array([block], pa.int32()), pa.array([first], pa.int64()), pa.array(ends[-1:])]
+    columns += [pa.array([bits], pa.int32()), pa.array([b"".join(data)], pa.binary()), keys, at]
     return pa.RecordBatch.from_arrays(columns, ["part", "block", "first", "n_ids", "bits", "data", "doc_ids", "doc_at"])
 
 
@@ -221,7 +267,7 @@ class PackedTokens:
 
         size = max([Tokenizer.from_str(definition).get_vocab_size(), (end_id or 0) + 1])
         bits = id_bits(size)
-        coded = materialize(encode(docs, definition, end_id, doc_id, text).withColumn("place", F.monotonically_increasing_id()), "token-ids")
+        coded = materialize(encode(docs, definition, bits, end_id, doc_id, text).withColumn("place", F.monotonically_increasing_id()), "token-ids")
         order = [F.asc_nulls_first("id"), "tie", "place"]
         placed = coded.repartitionByRange(*order).sortWithinPartitions(*order)
         id_type = coded.schema["id"].dataType.simpleString()

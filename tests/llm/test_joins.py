@@ -123,9 +123,19 @@ def test_masks_meet_every_alignment_that_counts():
             )
 
 
+#: Scripts without blanks, of which each character is a token.
+APART = r"[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u2fdf\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]"
+
+
+def tokens_of(text):
+    return re.findall(r"[0-9a-z\u0080-\U0010ffff]+", re.sub(APART, r" \g<0> ", text or "").lower())
+
+
 def overlap(text, item):
-    """Best alignment by trying all of them."""
-    t, best = re.findall(r"[0-9a-z\u0080-\U0010ffff]+", text.lower()), None
+    """Best alignment by trying all of them; all of the tokens, where there are fewer than 8."""
+    t, best = tokens_of(text), None
+    if len(item) < 8:
+        return next(((k, len(item), len(item)) for k in range(len(t) - len(item) + 1) if item and t[k : k + len(item)] == item), None)
     width = min(15, len(item))
     for shift in range(-len(item) + 1, len(t)):
         equal = [0 <= shift + k < len(t) and t[shift + k] == x for k, x in enumerate(item)]
@@ -138,7 +148,7 @@ def overlap(text, item):
 @pytest.mark.parametrize("broadcast_seeds", [1_000_000, 0])
 def test_overlaps_with_substitutions(spark, broadcast_seeds):
     rng, words = random.Random(5), [f"w{i}" for i in range(400)]
-    items = {i: [rng.choice(words) for _ in range(rng.choice([5, 8, 9, 12, 15, 30, 50]))] for i in range(30)}
+    items = {i: [rng.choice(words) for _ in range(rng.choice([1, 2, 5, 7, 8, 9, 12, 15, 30, 50]))] for i in range(30)}
     texts = {}
     for d in range(120):
         own = [rng.choice(words) for _ in range(rng.randint(0, 60))]
@@ -152,12 +162,33 @@ def test_overlaps_with_substitutions(spark, broadcast_seeds):
     bench = spark.createDataFrame([(i, "(" + " ".join(t) + ")") for i, t in items.items()], "item_id bigint, text string")
     rows = decontamination.overlaps(docs, bench, broadcast_seeds=broadcast_seeds).collect()
     found = {(r._id, r.item_id): (r.start, r.n_aligned, r.n_equal) for r in rows}
-    wanted = {(d, i): o for d, t in texts.items() for i, x in items.items() if len(x) >= 8 and (o := overlap(t, x))}
+    wanted = {(d, i): o for d, t in texts.items() for i, x in items.items() if (o := overlap(t, x))}
     assert found == wanted and len(wanted) > 30
     clean = {r.doc_id for r in decontamination.decontaminate(docs, bench).collect()}
     assert clean == set(texts) - {d for d, _ in wanted}
 
 
+@pytest.mark.parametrize("limits", [{}, {"broadcast_seeds": 0}, {"broadcast_tokens": 0}])
+def test_items_long_short_equal_and_without_blanks(spark, limits):
+    rng = random.Random(6)
+    long = " ".join(f"t{rng.randrange(5000)}" for _ in range(100_000))
+    han = "春眠不觉晓处处闻啼鸟夜来风雨声花落知多少"
+    items = [(1, long), (2, "four short words here"), (3, "Four short, words HERE!"), (4, "one"), (5, han), (6, "ก่อนที่จะสาย"), (7, "春眠不"), (8, "?!"), (9, ""), (10, None), (None, "one"), (11, han + " and then some more")]
+    texts = {
+        0: "before it " + long[3000:400_000] + " after", 1: "there are four short words here", 2: "four short words there", 3: "x" + han[:15] + "y",
+        4: "春眠 不", 5: "ที่ก่อนที่จะสาย", 6: "春不眠", 7: "someone", 8: "One of one", 9: None, 10: "", 11: " ".join(long.split()[::2]),
+    }
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    rows = decontamination.overlaps(docs, bench, **limits).collect()
+    found = {(r._id, r.item_id): (r.start, r.n_aligned, r.n_equal) for r in rows}
+    # the long item by hand: its own tokens, from the first whole one in the text on
+    inside = tokens_of(texts[0])
+    assert len(inside) - 4 <= found.pop((0, 1))[2] <= len(inside)
+    wanted = {(d, i): o for d, t in texts.items() for i, x in items if i != 1 and (o := overlap(t, tokens_of(x)))}
+    assert found == wanted and {(1, 2), (1, 3), (3, 5), (3, 11), (4, 7), (5, 6), (8, 4), (8, None)} <= set(wanted) and len(rows) == len(wanted) + 1
+
+
 def repeats(texts, run_words):
     """Lines of each text that belong to a run that also stands earlier, by trying all runs."""
     seen, gone = {}, defaultdict(set)
