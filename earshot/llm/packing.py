@@ -29,15 +29,28 @@ VOCABULARY = "byte_bpe_50k.json"
 END_ID = 2
 BLOCK_IDS = 1 << 16
 SLICE = 8 << 20  # bytes of texts encoded at once
+KNOWN = 100_000  # pieces a process remembers
 MAX_BITS = 32
 _STEP = 1 << 13  # ids packed at once: a multiple of 8, so that every step ends with a whole byte
 
-# Between a printable ASCII character and an ASCII blank no piece of the vocabulary's pre-tokenizer, and
-# no special token, goes on; a text may be cut there without a change of its ids.
+# No piece of the usual pre-tokenizer goes on between a character that is no blank and an ASCII blank,
+# between a letter and an ASCII mark, or after a line end that stands alone; a text may be cut there without a change of
+# its ids, but for marks within special tokens. Characters of two bytes from U+00C0 on are no blanks, those up to
+# U+027F letters, but for two signs.
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True
 _SHOWN = np.zeros(256, bool)
 _SHOWN[0x21:0x7F] = True
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+_MARKS = _SHOWN & ~_LETTER
+_MARKS[0x30:0x3A] = False
+_PAIR = np.zeros(256, bool)
+_PAIR[0xC3:0xE0] = True
+_LETTER_PAIR = np.zeros(256, bool)
+_LETTER_PAIR[0xC3:0xCA] = True
+_SIGNS = np.zeros(256, bool)
+_SIGNS[[0x97, 0xB7]] = True
 # Pieces with one space at most, at their begin, and no other blank: a line end beside them stays a token of its own.
 _SIMPLE = r"^ ?[^\x00-\x20\x{85}\pZ]+$"
 _JOINED, _CALL = 200, 50  # pieces in a text, texts in a call
@@ -83,17 +96,21 @@ def unpack(data: bytes, bits: int, first: int, n: int) -> np.ndarray:
     return ((word >> shift) & np.uint64((1 << bits) - 1)).astype(np.uint32)
 
 
-def units(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+def units(texts: pa.Array, marks: np.ndarray = _MARKS) -> tuple[pa.Array, np.ndarray]:
     """(pieces of the texts, the number of the first piece of each text and, as last entry, of all).
 
-    Each piece is a word with the blanks before it; in order they are the texts. Where the character before a blank
-    is not ASCII there is no cut, as it could be a blank itself.
+    Pieces begin at blanks, at ``marks`` after a letter, and after single line ends; in order they are the texts. There is
+    no cut beside a character that could be a blank itself.
     """
     data, offsets = buffers(texts)
     lo, hi = int(offsets[0]), int(offsets[-1])
     own = data[lo:hi]
     cut = np.zeros(hi - lo + 1, bool)
-    cut[1:-1] = _BLANK[own[1:]] & _SHOWN[own[:-1]]
+    shown, letter = _SHOWN[own], _LETTER[own]
+    shown[1:] |= _PAIR[own[:-1]]
+    letter[1:] |= _LETTER_PAIR[own[:-1]] & ~((own[:-1] == 0xC3) & _SIGNS[own[1:]])
+    cut[1:-1] = _BLANK[own[1:]] & shown[:-1] | marks[own[1:]] & letter[:-1]
+    cut[2:-1] |= cut[1:-2] & (own[1:-1] == 0x0A) & (_SHOWN[own[2:]] | _PAIR[own[2:]])
     cut[offsets - lo] = True
     bounds = np.flatnonzero(cut)
     found = pa.LargeStringArray.from_buffers(max(0, len(bounds) - 1), pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(own))
@@ -123,6 +140,10 @@ class Encoder:
         line_end = self._encode(["\n"])[0]
         self.by_piece = self.by_piece and len(line_end) == 1
         self.line_end = line_end[0] if self.by_piece else None
+        self.known: dict[str, bytes] = {}
+        self.marks = _MARKS.copy()
+        for token in read.get("added_tokens", []):
+            self.marks[[byte for byte in token["content"].encode()[1:]]] = False
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [encoding.ids for encoding in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -133,21 +154,25 @@ class Encoder:
             lists = self._encode(["" if t is None else t for t in texts.to_pylist()])
             sizes = np.fromiter(map(len, lists), np.int64, len(lists))
             return np.fromiter(chain.from_iterable(lists), np.uint32, int(sizes.sum())), np.concatenate([[0], np.cumsum(sizes)])
-        pieces, firsts = units(texts)
+        pieces, firsts = units(texts, self.marks)
         coded = pieces.dictionary_encode()
-        flat, starts, sizes = self._pieces(coded.dictionary)
         order = coded.indices.to_numpy()
+        flat, starts, sizes = self._pieces(coded.dictionary, np.bincount(order, minlength=len(coded.dictionary)))
         lengths = sizes[order]
         ends = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
         at = np.arange(ends[-1], dtype=np.int32)
         at += np.repeat((starts[order] - ends[:-1]).astype(np.int32), lengths)
         return flat[at], ends[firsts]
 
-    def _pieces(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(ids, where those of each piece begin, how many they are)."""
-        alone = ~pc.match_substring_regex(pieces, _SIMPLE).to_numpy(zero_copy_only=False)
-        starts, sizes, found = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int32), []
-        simple = pieces.filter(pa.array(~alone)).to_pylist()
+    def _pieces(self, pieces: pa.Array, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, where those of each piece begin, how many they are). Pieces that occur ``counts`` times, twice or more,
+        are remembered while there is room."""
+        names = pieces.to_pylist()
+        lists = list(map(self.known.get, names))
+        joined = pc.match_substring_regex(pieces, _SIMPLE).to_numpy(zero_copy_only=False)
+        joined &= np.fromiter((own is None for own in lists), bool, len(lists))
+        starts, sizes, found = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64), []
+        simple = [names[k] for k in np.flatnonzero(joined)]
         ended = [self.line_end]
         for at in range(0, len(simple), _CALL * _JOINED):
             part = simple[at : at + _CALL * _JOINED]
@@ -157,29 +182,44 @@ class Encoder:
         marks = np.flatnonzero(flat == self.line_end) if found else np.zeros(0, np.int64)
         if len(marks) != len(simple):
             raise RuntimeError("a line end is not a token of its own")
-        starts[~alone] = np.concatenate([[0], marks[:-1] + 1]) if len(marks) else marks
-        sizes[~alone] = marks - starts[~alone]
-        lists = self._encode(pieces.filter(pa.array(alone)).to_pylist())
-        own = np.fromiter(map(len, lists), np.int64, len(lists))
-        starts[alone] = len(flat) + np.cumsum(own) - own
-        sizes[alone] = own
-        return np.concatenate([flat, np.fromiter(chain.from_iterable(lists), np.uint32, int(own.sum()))]), starts, sizes
+        starts[joined] = np.concatenate([[0], marks[:-1] + 1]) if len(marks) else marks
+        sizes[joined] = marks - starts[joined]
+        alone = [k for k, own in enumerate(lists) if own is None and not joined[k]]
+        for k, own in zip(alone, self._encode([names[k] for k in alone])):
+            lists[k] = np.array(own, np.uint32).tobytes()
+        rest = [own for own in lists if own is not None]
+        n = np.fromiter(map(len, rest), np.int64, len(rest)) // 4
+        starts[~joined] = len(flat) + np.cumsum(n) - n
+        sizes[~joined] = n
+        flat = np.concatenate([flat, np.frombuffer(b"".join(rest), np.uint32)])
+        for k in np.flatnonzero(joined & (counts > 1))[: max(0, KNOWN - len(self.known))].tolist():
+            self.known[names[k]] = flat[starts[k] : starts[k] + sizes[k]].tobytes()
+        return flat, starts, sizes
+
+
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder_of(definition: str) -> Encoder:
+    """This process's encoder; one at a time is held."""
+    if definition not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[definition] = Encoder(definition)
+    return _ENCODERS[definition]
 
 
 def encode(docs: DataFrame, definition: str, bits: int, end_id: int | None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, tie, n, ids) per row of ``docs``: the number of ids of its text, with ``end_id`` at their end, and the ids packed
     to ``bits``. ``tie`` orders rows that share an id, by their text."""
     shared = docs.sparkSession.sparkContext.broadcast(definition)  # the vocabulary, which does not grow with the texts
-    held: list[Encoder] = []
     tail = np.array([] if end_id is None else [end_id], np.uint32)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if not held:
-            held.append(Encoder(shared.value))
+        encoder = encoder_of(shared.value)
         for batch in batches:
             at = 0
             for texts in slices(batch["text"], SLICE):
-                ids, firsts = held[0](texts)
+                ids, firsts = encoder(texts)
                 own = [np.concatenate([ids[a:b], tail]) for a, b in zip(firsts[:-1], firsts[1:])]
                 keys = batch.slice(at, len(texts))
                 at += len(texts)
@@ -267,7 +307,7 @@ class PackedTokens:
 
         size = max([Tokenizer.from_str(definition).get_vocab_size(), (end_id or 0) + 1])
         bits = id_bits(size)
-        coded = materialize(encode(docs, definition, bits, end_id, doc_id, text).withColumn("place", F.monotonically_increasing_id()), "token-ids")
+        coded = materialize(encode(docs, definition, bits, end_id, doc_id, text).withColumn("place", F.monotonically_increasing_id()), "token-ids", "zstd")
         order = [F.asc_nulls_first("id"), "tie", "place"]
         placed = coded.repartitionByRange(*order).sortWithinPartitions(*order)
         id_type = coded.schema["id"].dataType.simpleString()
