@@ -17,7 +17,8 @@ the batch out, and with it nothing that belongs into its list.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +26,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from earshot.functions.vectors import checked, matrix, norm, unit_rows
+from earshot.functions.vectors import checked_pair, matrix, norm, unit_rows
 from earshot.operators.joins import join_unique
+from earshot.sources.store import materialize
 
 TILE_BYTES = 128 << 20  # queries and their best items held by a task
 SCORE_CELLS = 2 << 20  # scores computed at once
@@ -36,6 +38,8 @@ BROADCAST_CELLS = 500_000  # rows of four numbers: some 16 MB
 SUM_ERROR = 1e-15  # of a product, per dimension and unit of length
 ROUNDING = 1 + 1e-9  # products and lengths are rounded, the bound must not be
 METRICS = ("dot", "cosine")
+HEAD, CLASSES = 4, 16
+REACH_ROWS = 20_000_000
 
 
 def pick(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
@@ -62,7 +66,7 @@ class BestSoFar:
 
     def __init__(self, queries: pa.Table, k: int, cosine: bool):
         queries = queries.sort_by("cell").combine_chunks()
-        self.k, self.cosine = k, cosine
+        self.k, self.cosine, self.table = k, cosine, queries
         self.ids = queries["id"].to_numpy()
         self.vectors = self._vectors(queries["vec"].chunk(0))
         self.lengths = np.linalg.norm(self.vectors, axis=1)
@@ -102,7 +106,7 @@ class BestSoFar:
         rough, ids, items = rough[:, able], ids[able], items[able]
         both = np.hstack([kept, rough])
         bound = np.partition(both, both.shape[1] - self.k, axis=1)[:, both.shape[1] - self.k] - 2 * slack
-        row, column = np.nonzero(rough >= bound[:, None])
+        row, column = self._fresh(rows, ids, *np.nonzero(rough >= bound[:, None]))
         fresh = np.full(rough.shape, -np.inf)
         step = max(1, SCORE_CELLS // items.shape[1])
         for at in range(0, len(row), step):
@@ -114,6 +118,10 @@ class BestSoFar:
         self.scores[rows] = np.take_along_axis(scores, top, axis=1)
         self.items[rows] = np.take_along_axis(found, top, axis=1)
 
+    def _fresh(self, rows: np.ndarray, ids: np.ndarray, row: np.ndarray, column: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The candidates that are not held yet: all, as an item passes by once."""
+        return row, column
+
     def rows(self) -> Iterator[tuple[np.ndarray, ...]]:
         """(query, item, score, rank), some queries at a time."""
         step = max(1, SCORE_CELLS // self.k)
@@ -128,7 +136,8 @@ class BestSoFar:
             yield queries, items[found], scores[found], np.broadcast_to(ranks, found.shape)[found]
 
 
-def _search(k: int, cosine: bool):
+def _search(make: Callable[[pa.Table], BestSoFar]):
+    """Lists of the queries of a block, kept by what ``make`` makes of them."""
     schema = pa.schema([("query", pa.int64()), ("item", pa.int64()), ("score", pa.float64()), ("rank", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,7 +151,7 @@ def _search(k: int, cosine: bool):
                 queries.append(batch.slice(0, cut))
             if cut < batch.num_rows and queries:
                 if best is None:
-                    best = BestSoFar(pa.Table.from_batches(queries), k, cosine)
+                    best = make(pa.Table.from_batches(queries))
                 best.see(batch.slice(cut))
         if best is not None:
             for columns in best.rows():
@@ -196,17 +205,23 @@ def best_in_cells(
     n_items: int,
     tile_rows: int,
     stripe_rows: int,
+    tiles: int | None = None,
+    make: Callable[[pa.Table], BestSoFar] | None = None,
+    more: Sequence[str] = (),
 ) -> DataFrame:
     """(query, item, score, rank): for each query, cell and stripe the k best items.
 
     ``queries`` has (query, vec) and ``items`` (item, vec), both with a ``cell`` column that takes
     at most ``cells`` values. ``n_queries`` and ``n_items`` are their numbers of rows. Whatever is among the k best over all cells of a query is among
-    the rows returned; a pair may repeat across cells.
+    the rows returned; a pair may repeat across cells. ``make`` keeps the lists of a tile in another way, with the
+    columns ``more`` of both sides. With one cell, queries may bring a ``_tile`` of their own, below ``tiles``, and items
+    ``_able``, the tiles they have to be sent to; else a query's tile is a hash and items go to all.
     """
     if metric not in METRICS:
         raise ValueError(f"metric {metric!r} is not one of {METRICS}")
+    make = make or partial(BestSoFar, k=k, cosine=metric == "cosine")
     cores = queries.sparkSession.sparkContext.defaultParallelism
-    tiles, stripes = max(1, math.ceil(n_queries / tile_rows)), max(1, math.ceil(n_items / stripe_rows))
+    tiles, stripes = tiles or max(1, math.ceil(n_queries / tile_rows)), max(1, math.ceil(n_items / stripe_rows))
 
     if cells == 1:
         blocks = tiles * stripes
@@ -227,15 +242,17 @@ def best_in_cells(
         piece, count = own
         if "_order" not in df.columns:
             df = df.withColumn("_order", F.lit(0.0))
+        every = F.sequence(F.lit(0).cast("bigint"), F.col(other[1]).cast("bigint") - 1)
         return df.select(
             F.col("_pack").cast("bigint").alias("_pack"),
-            F.pmod(F.xxhash64(id_), F.col(count).cast("bigint")).alias(piece),
-            F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(other[1]).cast("bigint") - 1)).alias(other[0]),
+            (F.col(piece).cast("bigint") if piece in df.columns else F.pmod(F.xxhash64(id_), F.col(count).cast("bigint"))).alias(piece),
+            F.explode(F.col("_able") if "_able" in df.columns else every).alias(other[0]),
             F.lit(number).alias("_side"),
             "_order",
             F.col("cell").cast("bigint").alias("cell"),
             F.col(id_).cast("bigint").alias("id"),
             "vec",
+            *more,
         )
 
     tile, stripe = ("_tile", "_tiles"), ("_stripe", "_stripes")
@@ -251,7 +268,7 @@ def best_in_cells(
     found = (
         dealt.sortWithinPartitions(*block, "_side", "_order")
         .groupBy(*block)
-        .applyInArrow(_search(k, metric == "cosine"), "query bigint, item bigint, score double, rank int")
+        .applyInArrow(_search(make), "query bigint, item bigint, score double, rank int")
     )
     return found.select(
         F.col("query").cast(queries.schema["query"].dataType).alias("query"),
@@ -268,6 +285,52 @@ def rank_best(scored: DataFrame, k: int) -> DataFrame:
     return scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
+def _reach(queries: DataFrame, items: DataFrame, k: int, n_items: int, tile_rows: int, n_queries: int) -> tuple[DataFrame, DataFrame, int, DataFrame] | None:
+    """(queries with ``_tile``, items with ``_able``, number of tiles, lists of the longest items), or None.
+
+    The longest items, ``HEAD`` times k of them or more, are searched first. A query's k-th best score among them, over its
+    length, is the length an item needs to get into its list. Queries that need alike are tiled together, and an
+    item is sent to the tiles whose least need it meets: mostly to few, or to none.
+    """
+    head_rows = max(HEAD * k, n_items // 64)
+    if n_items <= 2 * head_rows or n_queries == 0:
+        return None
+    sized = materialize(items.withColumn("_length", norm("vec")), "lengths")
+    cut = sized.agg(F.approx_percentile("_length", 1 - head_rows / n_items, 10_000)).first()[0]
+    head, rest = sized.filter(F.col("_length") >= cut), sized.filter(F.col("_length") < cut)
+    n_head = head.count()
+    if n_head < k or n_head > n_items // 2:
+        return None  # lengths hardly differ
+    tiles = max(1, math.ceil(n_queries / tile_rows))
+    stripe = block_sizes(n_queries, n_head, 1, k, queries.sparkSession.sparkContext.defaultParallelism)[1]
+    found = best_in_cells(queries, head.drop("_length"), k, "dot", 1, n_queries, n_head, tile_rows, max(stripe, k))
+    lists = materialize(rank_best(found, k), "head-lists")
+    worst = lists.filter(F.col("rank") == k).select("query", F.col("score").alias("_worst"))
+    length = norm("vec")
+    need = F.when(F.col("_worst").isNull(), 0.0).when(length == 0, F.when(F.col("_worst") <= 0, 0.0).otherwise(float("inf")))
+    needs = queries.join(worst, "query", "left").withColumn("_need", need.otherwise(F.col("_worst") / length / ROUNDING))
+    needs = materialize(needs.drop("_worst"), "needs")
+    classes = min(CLASSES, tiles)
+    ends = needs.agg(F.approx_percentile("_need", [c / classes for c in range(1, classes)], 10_000)).first()[0] if classes > 1 else []
+    own = sum((F.when(F.col("_need") > end, 1).otherwise(0) for end in sorted(set(ends))), F.lit(0))
+    sizes = {row["c"]: row for row in needs.groupBy(own.alias("c")).agg(F.count(F.lit(1)).alias("n"), F.min("_need").alias("least")).collect()}
+    before, first, able = 0, [], []
+    for c in range(len(set(ends)) + 1):
+        pieces = math.ceil(sizes[c]["n"] / tile_rows) if c in sizes else 0
+        first.append((before, pieces))
+        if pieces:
+            able.append((sizes[c]["least"], before, before + pieces - 1))
+        before += pieces
+    tile = F.lit(0).cast("bigint")
+    for c, (start, pieces) in enumerate(first):
+        if pieces:
+            tile = F.when(own == c, F.lit(start) + F.pmod(F.xxhash64("query"), F.lit(pieces))).otherwise(tile)
+    none = F.array().cast("array<bigint>")
+    # at most CLASSES ranges of tiles
+    sent = F.concat(*[F.when(F.col("_length") * ROUNDING >= least, F.sequence(F.lit(a).cast("bigint"), F.lit(b).cast("bigint"))).otherwise(none) for least, a, b in able])
+    return needs.withColumn("_tile", tile).drop("_need"), rest.withColumn("_able", sent).drop("_length"), before, lists
+
+
 def exact_topk(
     queries: DataFrame,
     items: DataFrame,
@@ -276,19 +339,30 @@ def exact_topk(
     tile_rows: int | None = None,
     stripe_rows: int | None = None,
     invalid: str = "raise",
+    reach: bool | None = None,
 ) -> DataFrame:
     """(query, item, score, rank): the k best items of every query, both given as (id, vec).
 
     The whole of both tables is one cell. Where the items make a single stripe, a block's lists
     are final and no shuffle follows. Equal scores rank by item, copies of a vector included.
     Vectors that cannot be scored raise, or are left out one by one, see ``checked``.
+
+    With ``reach`` the longest items are searched first, and of the others only those are sent on, and only to the
+    tiles, that can get into a list by their length (``_reach``); lists are the same. That takes jobs of its
+    own, so by default it is done for inner products where items sent to all tiles were ``REACH_ROWS`` or more.
     """
-    items, n_items, dim = checked(items, invalid=invalid)
-    queries, n_queries, _ = checked(queries, dim, invalid)
+    items, queries, n_items, n_queries, dim = checked_pair(items, queries, invalid)
     left = queries.select(F.lit(0).alias("cell"), F.col("id").alias("query"), "vec")
     right = items.select(F.lit(0).alias("cell"), F.col("id").alias("item"), "vec")
     cores = queries.sparkSession.sparkContext.defaultParallelism
     sizes = block_sizes(n_queries, n_items, dim or 1, k, cores)
     tile_rows, stripe_rows = tile_rows or sizes[0], stripe_rows or sizes[1]
+    if reach is None:
+        reach = n_items * math.ceil(max(n_queries, 1) / tile_rows) >= REACH_ROWS
+    parts = _reach(left, right, k, n_items, tile_rows, n_queries) if reach and metric == "dot" else None
+    if parts is not None:
+        left, right, tiles, lists = parts
+        found = best_in_cells(left, right, k, metric, 1, n_queries, n_items, tile_rows, stripe_rows, tiles)
+        return rank_best(lists.drop("rank").unionByName(found.drop("rank")), k)
     found = best_in_cells(left, right, k, metric, 1, n_queries, n_items, tile_rows, stripe_rows)
     return found if n_items <= stripe_rows else rank_best(found, k)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from earshot.operators.lsh import planes
+from earshot.operators.lsh import BAND, grades, planes
 
 PURCHASES = """
 purchases AS (
@@ -54,6 +54,17 @@ hashed_items AS (SELECT id, list_append(vec, sqrt(greatest(m * m - list_inner_pr
                  FROM items, longest)"""
 
 
+def banded(bands: int) -> str:
+    """As ``PADDED``, with items padded to the upper end of their band of norms, and ``bands`` (id, band)."""
+    return f"""
+longest AS (SELECT max(sqrt(list_inner_product(vec, vec))) AS m FROM items),
+bands AS (SELECT id, CAST(least(greatest(floor(ln(sqrt(list_inner_product(vec, vec)) / m) / ln({BAND})), 0), {bands - 1}) AS BIGINT) AS band
+          FROM items, longest),
+hashed_queries AS (SELECT id, list_append(vec, CAST(0 AS DOUBLE)) AS vec FROM queries),
+hashed_items AS (SELECT id, list_append(vec, sqrt(greatest(pow(m * pow({BAND}, band), 2) - list_inner_product(vec, vec), 0))) AS vec
+                 FROM items JOIN bands USING (id), longest)"""
+
+
 def with_(*parts: str) -> str:
     return "WITH " + ",".join(parts) + "\n"
 
@@ -120,3 +131,20 @@ looks AS (SELECT * FROM (
     SELECT c.id, c.tbl, xor(k.code, c.mask) AS code,
            CAST(row_number() OVER (PARTITION BY c.id, c.tbl ORDER BY c.cost, c.mask) - 1 AS INTEGER) AS probe
     FROM costs c JOIN {name} k ON c.id = k.id AND c.tbl = k.tbl) WHERE probe <= {probes})"""
+
+
+def looks_over_bands(name: str, bits: int, bands: int, probes: int) -> str:
+    """The buckets of all bands that a query looks into: by the products to be expected, then by the cost of the flips."""
+    rows = ",".join(f"({b},{h},{grade})" for b, row in enumerate(grades(bits, bands).tolist()) for h, grade in enumerate(row))
+    flips = min(probes, 2**bits - 1)
+    return f"""
+flips AS (SELECT CAST(range AS BIGINT) AS mask FROM range({2**bits})),
+costs AS (SELECT id, tbl, mask, sum(CASE WHEN (mask >> bit) & 1 = 1 THEN abs(side) ELSE 0 END) AS cost
+          FROM {name}_sides, flips GROUP BY id, tbl, mask),
+cheap AS (SELECT * FROM (
+    SELECT id, tbl, mask, row_number() OVER (PARTITION BY id, tbl ORDER BY cost, mask) - 1 AS place FROM costs) WHERE place <= {flips}),
+grades(band, differing, grade) AS (VALUES {rows}),
+looks AS (SELECT * FROM (
+    SELECT c.id, c.tbl, (CAST(g.band AS BIGINT) << {bits}) | xor(k.code, c.mask) AS code,
+           CAST(row_number() OVER (PARTITION BY c.id, c.tbl ORDER BY g.grade, c.place) - 1 AS INTEGER) AS probe
+    FROM cheap c JOIN {name} k ON c.id = k.id AND c.tbl = k.tbl JOIN grades g ON g.differing = bit_count(c.mask)) WHERE probe <= {probes})"""

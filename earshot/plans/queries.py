@@ -13,11 +13,12 @@ from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from earshot.functions.counts import TRANSFORMS
 from earshot.functions.vectors import as_doubles
 from earshot.operators import interactions as ops
-from earshot.operators.indexing import apply_index, fit_index, load_or_fit_index
+from earshot.operators.indexing import apply_index, fit_index, fit_indexes, load_or_fit_index
 from earshot.operators.lsh import SearchIndex, ann_topk, buckets, hash_pair, sweep
 from earshot.operators.metrics import (
     as_lists,
@@ -80,7 +81,7 @@ def _judged(train: DataFrame, val: DataFrame, test: DataFrame) -> DataFrame:
 
 
 def _maps(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return fit_index(rows, "user_id"), fit_index(rows, "track_id")
+    return tuple(fit_indexes(rows, ["user_id", "track_id"]))
 
 
 def _fitted(spark: SparkSession, sf_dir: str, **settings) -> tuple[Recommender, DataFrame, DataFrame]:
@@ -374,9 +375,9 @@ def per_user(spark, sf_dir):
     )
 
 
-def _metrics(spark, sf_dir, k, length=K):
+def _metrics(spark, sf_dir, k, length=K, **options):
     truth = testbed.numbered(spark, sf_dir, "test")
-    return ranking_metrics(testbed.history_lists(spark, sf_dir, length), truth, k)
+    return ranking_metrics(testbed.history_lists(spark, sf_dir, length), truth, k, **options)
 
 
 @register(
@@ -389,7 +390,7 @@ def _metrics(spark, sf_dir, k, length=K):
 )
 def precision_at_k(spark, sf_dir):
     """At 10 and at 500, where lists are shorter and precision still divides by 500."""
-    rows = _metrics(spark, sf_dir, 10).union(_metrics(spark, sf_dir, K))
+    rows = _metrics(spark, sf_dir, (10, K))
     return rows.select("k", "n_users", F.round("precision_at_k", 9).alias("precision_at_k"))
 
 
@@ -417,15 +418,9 @@ _LENGTHS = (1, 2, 5, 10, 20, 50)
 )
 def select_best(spark, sf_dir):
     """The best of several list lengths by MAP, chosen as the best of a grid is."""
-    runs = [
-        _metrics(spark, sf_dir, K, length).withColumns(
-            {"reg_param": F.lit(0.0), "alpha": F.lit(0.0), "rank": F.lit(length)}
-        )
-        for length in _LENGTHS
-    ]
-    rows = runs[0]
-    for run in runs[1:]:
-        rows = rows.union(run)
+    rows = _metrics(spark, sf_dir, K, max(_LENGTHS), lengths=_LENGTHS).withColumns(
+        {"reg_param": F.lit(0.0), "alpha": F.lit(0.0), "rank": F.col("length")}
+    )
     return tuning.select_best(rows).select(
         "rank", F.round("precision_at_k", 9).alias("precision_at_k"), F.round("map", 9).alias("map")
     )
@@ -596,6 +591,72 @@ def ann_sweep(spark, sf_dir):
     )
 
 
+BANDS, BAND_TABLES, BAND_PROBES = 6, (10, 20), (4, 6, 8)
+
+
+def _with_bands(tables: int, probes: int, *more: str) -> str:
+    return sql.with_(
+        sql.VECTORS,
+        sql.banded(BANDS),
+        sql.plane_table(tables, HASH["bits"], DIM + 1, HASH["seed"]),
+        sql.codes("query_codes", "hashed_queries"),
+        sql.codes("sign_codes", "hashed_items"),
+        f"item_codes AS (SELECT id, tbl, (band << {HASH['bits']}) | code AS code FROM sign_codes JOIN bands USING (id))",
+        sql.looks_over_bands("query_codes", HASH["bits"], BANDS, probes),
+        *more,
+    )
+
+
+@register(
+    "ann_topk_bands",
+    _with_bands(
+        HASH["tables"],
+        8,
+        "pairs AS (SELECT DISTINCT l.id AS query, c.id AS item FROM looks l JOIN item_codes c ON l.tbl = c.tbl AND l.code = c.code)",
+        sql.topk("queries", "items", 10, pairs="pairs"),
+    )
+    + _BEST,
+)
+def ann_topk_bands(spark, sf_dir):
+    """Largest inner products with items in bands by norm: nine looks per table, over all bands."""
+    queries, items = testbed.vectors(spark, sf_dir), testbed.scaled_vectors(spark, sf_dir)
+    return _lists(ann_topk(queries, items, 10, "dot", probes=8, bands=BANDS, **HASH))
+
+
+@register("ann_topk_buckets", ORACLES["ann_topk_items"])
+def ann_topk_buckets(spark, sf_dir):
+    """The search of ``ann_topk_items`` with vectors dealt to buckets instead of tiles."""
+    queries, items = testbed.vectors(spark, sf_dir), testbed.scaled_vectors(spark, sf_dir)
+    return _lists(ann_topk(queries, items, 10, "dot", probes=3, layout="buckets", **HASH))
+
+
+@register(
+    "ann_sweep_bands",
+    _with_bands(
+        max(BAND_TABLES),
+        max(BAND_PROBES),
+        sql.topk("queries", "items", 10),
+        f"settings AS (SELECT t.tables, p.probes FROM (VALUES {', '.join(f'({t})' for t in BAND_TABLES)}) t(tables), "
+        f"(VALUES {', '.join(f'({p})' for p in BAND_PROBES)}) p(probes))",
+        """met AS (SELECT l.id AS query, c.id AS item, s.tables, min(l.probe) AS probe FROM looks l
+           JOIN item_codes c ON c.tbl = l.tbl AND c.code = l.code JOIN (SELECT DISTINCT tables FROM settings) s ON l.tbl < s.tables GROUP BY 1, 2, 3)""",
+    )
+    + """SELECT s.tables, s.probes, round(count(b.query) / (SELECT count(*) FROM best), 9) AS recall,
+         round(count(*) / (SELECT CAST(count(*) AS DOUBLE) * count(*) FROM embeddings), 9) AS met_share,
+         count(b.query) >= 0.9 * (SELECT count(*) FROM best) AND count(*) <= 0.4 * (SELECT CAST(count(*) AS DOUBLE) * count(*) FROM embeddings) AS saves
+         FROM settings s JOIN met m ON m.tables = s.tables AND m.probe <= s.probes LEFT JOIN best b ON b.query = m.query AND b.item = m.item
+         GROUP BY 1, 2""",
+)
+def ann_sweep_bands(spark, sf_dir):
+    """Recall, the share of pairs that are scored, and whether nine tenths are found in four tenths of the work."""
+    queries, items = testbed.vectors(spark, sf_dir), testbed.scaled_vectors(spark, sf_dir)
+    swept = sweep(queries, items, 10, "dot", BAND_TABLES, BAND_PROBES, HASH["bits"], HASH["seed"], bands=BANDS, met=True)
+    return swept.select(
+        "tables", "probes", F.round("recall", 9).alias("recall"), F.round("met_share", 9).alias("met_share"),
+        ((F.col("recall") >= 0.9) & (F.col("met_share") <= 0.4)).alias("saves"),
+    )
+
+
 # --- models ---------------------------------------------------------------------------------
 
 
@@ -815,6 +876,47 @@ _SHORT = {"max_iter": 3, "blocks": 4}
 _JUDGED_USERS = "(SELECT count(DISTINCT user_ix) FROM indexed WHERE split = '{}')"
 
 
+def plain_metrics(model: ALSModel, truth: DataFrame, k: int) -> DataFrame:
+    """One row (n_users, precision_at_k, map) in another way than the library's: the lists of the built-in method as
+    arrays, held against arrays of the true items. ``truth`` is (user_ix, item_ix)."""
+    items = truth.groupBy("user_ix").agg(F.collect_set("item_ix").alias("true"))
+    lists = model.recommendForUserSubset(items.select("user_ix"), k).select("user_ix", F.col("recommendations.item_ix").alias("list"))
+    hit = F.transform("list", lambda item: F.array_contains("true", item).cast("int"))
+    both = lists.join(items, "user_ix").select("true", hit.alias("hit"))
+    so_far = lambda at: F.aggregate(F.slice("hit", 1, at + 1), F.lit(0), lambda a, x: a + x)
+    shares = F.transform("hit", lambda x, at: x * so_far(at) / (at + 1))
+    return both.agg(
+        F.count(F.lit(1)).alias("n_users"),
+        F.avg(so_far(F.lit(k)) / k).alias("precision_at_k"),
+        F.avg(F.aggregate(shares, F.lit(0.0), lambda a, x: a + x) / F.size("true")).alias("map"),
+    )
+
+
+def agrees(row: dict, model: ALSModel, truth: DataFrame, k: int) -> bool:
+    """Whether metrics are those of ``plain_metrics``. Lists may differ by items whose scores differ by less than single
+    precision shows."""
+    plain = plain_metrics(model, truth, k).first()
+    near = lambda a, b: abs(a - b) <= 1e-4 * max(abs(a), abs(b))
+    return plain["n_users"] == row["n_users"] and near(plain["precision_at_k"], row["precision_at_k"]) and near(plain["map"], row["map"])
+
+
+def _checking(flags: list[bool]):
+    """The scorer of a grid, whose rows are recomputed on the way."""
+
+    def score(model, truth, k):
+        row = tuning.score(model, truth, k)
+        flags.append(agrees(row, model, truth, k))
+        return row
+
+    return score
+
+
+def _flagged(results: DataFrame, flags: list[bool]) -> DataFrame:
+    """Rows in the order in which they were scored, with what was found of them; a row per combination tried."""
+    rows = [(*row, flag) for row, flag in zip(results.collect(), flags, strict=True)]
+    return results.sparkSession.createDataFrame(rows, T.StructType([*results.schema, T.StructField("agrees", T.BooleanType())]))
+
+
 def _in_range(*cols: str):
     out = F.lit(True)
     for col in cols:
@@ -826,12 +928,14 @@ def _in_range(*cols: str):
     "grid_search",
     _with_maps(sql.INDEXED)
     + f"""SELECT CAST(reg_param AS DOUBLE) AS reg_param, CAST(alpha AS DOUBLE) AS alpha, 4 AS rank,
-          {_JUDGED_USERS.format('val')} AS n_users, TRUE AS in_range
+          {_JUDGED_USERS.format('val')} AS n_users, TRUE AS in_range, TRUE AS agrees
           FROM (VALUES (0.1), (1.0)) r(reg_param), (VALUES (1.0), (10.0)) a(alpha)""",
 )
 def grid_search(spark, sf_dir):
-    _, results = jobs.train(*_splits(spark, sf_dir), grid=_GRID, k=K, **_SHORT)
-    return results.select("reg_param", "alpha", "rank", "n_users", _in_range("precision_at_k", "map"))
+    flags: list[bool] = []
+    _, results = jobs.train(*_splits(spark, sf_dir), grid=_GRID, k=K, scorer=_checking(flags), **_SHORT)
+    results = _flagged(results, flags)
+    return results.select("reg_param", "alpha", "rank", "n_users", _in_range("precision_at_k", "map"), "agrees")
 
 
 @register(
@@ -872,7 +976,7 @@ _LEFT = {"identity": "TRUE", "log": "TRUE", "gt1": "count > 1", "gt2": "count >
         "judged AS (SELECT * FROM plays WHERE split = 'train' AND user_id IN (SELECT user_id FROM plays WHERE split IN ('val', 'test')))"
     )
     + " UNION ALL ".join(
-        f"""SELECT '{name}' AS transform, '{split}' AS split, count(DISTINCT user_id) AS n_users, TRUE AS in_range FROM plays
+        f"""SELECT '{name}' AS transform, '{split}' AS split, count(DISTINCT user_id) AS n_users, TRUE AS in_range, TRUE AS agrees FROM plays
             WHERE split = '{split}' AND user_id IN (SELECT user_id FROM judged WHERE {where})
             AND track_id IN (SELECT track_id FROM judged)"""
         for name, where in _LEFT.items()
@@ -882,38 +986,40 @@ _LEFT = {"identity": "TRUE", "log": "TRUE", "gt1": "count > 1", "gt2": "count >
 def compare_count_transforms(spark, sf_dir):
     rows = materialize(testbed.plays(spark, sf_dir), "plays")
     parts = [split_of(rows, name) for name in ("train", "val", "test")]
-    results = jobs.transforms(*parts, k=K, **{**FIT, "rank": 2, "max_iter": 3})
-    return results.select("transform", "split", "n_users", _in_range("precision_at_k", "map"))
+    flags: list[bool] = []
+    results = jobs.transforms(*parts, k=K, scorer=_checking(flags), **{**FIT, "rank": 2, "max_iter": 3})
+    return _flagged(results, flags).select("transform", "split", "n_users", _in_range("precision_at_k", "map"), "agrees")
 
 
 @register(
     "evaluate_test",
-    _with_maps(sql.INDEXED) + f"SELECT {K} AS k, {_JUDGED_USERS.format('test')} AS n_users, TRUE AS in_range",
+    _with_maps(sql.INDEXED) + f"SELECT {K} AS k, {_JUDGED_USERS.format('test')} AS n_users, TRUE AS in_range, TRUE AS agrees",
 )
 def evaluate_test(spark, sf_dir):
     """Saved id maps and model, loaded and scored on the test rows."""
     path = _path(spark, "recommender")
     recommender, _, test = _fitted(spark, sf_dir)
     recommender.save(path)
-    return jobs.evaluate(Recommender.load(spark, path), test, K).select(
-        "k", "n_users", _in_range("precision_at_k", "map")
-    )
+    loaded = Recommender.load(spark, path)
+    row = jobs.evaluate(loaded, test, K).first()
+    found = agrees(row.asDict(), loaded.model, jobs.indexed_truth(test, loaded.users, loaded.items), K)
+    results = spark.createDataFrame([(row["k"], row["n_users"], row["precision_at_k"], row["map"], found)], "k int, n_users bigint, precision_at_k double, map double, agrees boolean")
+    return results.select("k", "n_users", _in_range("precision_at_k", "map"), "agrees")
 
 
 @register(
     "train_and_evaluate",
     _with_maps(sql.INDEXED)
-    + f"""SELECT 'val' AS split, {K} AS k, {_JUDGED_USERS.format('val')} AS n_users, TRUE AS in_range UNION ALL
-          SELECT 'test', {K}, {_JUDGED_USERS.format('test')}, TRUE""",
+    + f"""SELECT 'val' AS split, {K} AS k, {_JUDGED_USERS.format('val')} AS n_users, TRUE AS in_range, TRUE AS agrees UNION ALL
+          SELECT 'test', {K}, {_JUDGED_USERS.format('test')}, TRUE, TRUE""",
 )
 def train_and_evaluate(spark, sf_dir):
     grid = {"reg_param": (1.0,), "alpha": (10.0,), "rank": (8,)}
-    results, final = jobs.train_and_evaluate(*_splits(spark, sf_dir), k=K, grid=grid, **_SHORT)
-    shape = ["split", "k", "n_users", _in_range("precision_at_k", "map")]
-    return (
-        results.withColumn("split", F.lit("val")).select(*shape)
-        .union(final.withColumn("split", F.lit("test")).select(*shape))
-    )
+    flags: list[bool] = []
+    results, final = jobs.train_and_evaluate(*_splits(spark, sf_dir), k=K, grid=grid, scorer=_checking(flags), **_SHORT)
+    shape = ["split", "k", "n_users", "precision_at_k", "map"]
+    rows = results.withColumn("split", F.lit("val")).select(*shape).union(final.withColumn("split", F.lit("test")).select(*shape))
+    return _flagged(rows, flags).select("split", "k", "n_users", _in_range("precision_at_k", "map"), "agrees")
 
 
 def entry_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,14 +12,14 @@ from pyspark.sql import functions as F
 from earshot.session import shared_dir
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
+def materialize(df: DataFrame, label: str, codec: str | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder, with Spark's own codec or another, and read it back.
 
     Cuts the lineage, survives lost executors, and unlike an RDD checkpoint keeps column pruning
     and file sizes for the planner.
     """
     path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

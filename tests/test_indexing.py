@@ -2,10 +2,11 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.ml.feature import StringIndexer
+from pyspark.sql import functions as F
 
-from earshot.operators.indexing import apply_index, fit_index, load_or_fit_index
+from earshot.operators.indexing import apply_index, fit_index, fit_indexes, load_or_fit_index
 from earshot.operators.interactions import keep_users, sample_by_key, sample_rows, top_counts, users_union
-from earshot.operators.joins import hot_keys, join_unique
+from earshot.operators.joins import Frequent, frequent, hot_keys, join_unique, materialize_counted
 from earshot.sources import testbed
 from earshot.session import shared_dir
 from earshot.sources.interactions import CODECS, read_table, rewrite, split_of, sum_counts
@@ -180,3 +181,46 @@ def test_a_cluster_needs_a_shared_folder(monkeypatch):
 
     with pytest.raises(ValueError):
         shared_dir(Session())
+
+
+@pytest.mark.parametrize("sort_rows", [0, 10**6])
+def test_both_keys_from_one_pass(spark, sf_dir, sort_rows):
+    rows = split_of(testbed.purchases(spark, sf_dir), "train").select("user_id", "track_id", "count")
+    both = fit_indexes(rows.repartition(5), ["user_id", "track_id"], sort_rows)
+    for key, table in zip(("user_id", "track_id"), both):
+        counts = sorted(((-r["n"], r[key]) for r in rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).collect()))
+        assert sorted((r.ix, -r.n, r[key]) for r in table.collect()) == [(ix, n, i) for ix, (n, i) in enumerate(counts)]
+    mixed = fit_indexes(rows, ["user_id", "count"], sort_rows)
+    assert [t.columns for t in mixed] == [["user_id", "ix", "n"], ["count", "ix", "n"]] and mixed[0].count() == both[0].count()
+    none = fit_indexes(rows.limit(0), ["user_id", "track_id"], sort_rows)
+    assert [t.count() for t in none] == [0, 0]
+    nulls = fit_indexes(rows.selectExpr("user_id", "cast(null AS string) AS track_id"), ["user_id", "track_id"], sort_rows)
+    assert [t.count() for t in nulls] == [both[0].count(), 0]
+
+
+def test_frequent_values_come_with_the_written_table(spark):
+    rows = spark.range(20_000).selectExpr("CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 7 = 0 THEN NULL ELSE cast(id AS string) END AS k", "id % 2 AS j")
+    table, seen = materialize_counted(rows, "counted", ["k", "j"], 10)
+    assert table.count() == seen.n_rows == 20_000 and dict(seen.values["j"]) == {0: 10_000, 1: 10_000}
+    for found in (seen, frequent(rows, ["k", "j"], 10)):
+        (value, salts), = found.hot("k", 10, hot_rows=100)
+        assert value == "hot" and salts == 4
+    assert seen.hot("k", 10) == [] and Frequent(0, {}).hot("k", 10) == []
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
+def test_hot_keys_with_columns_that_cannot_be_hashed(spark, how):
+    rows = spark.range(900).selectExpr("CASE WHEN id < 500 THEN 'hot' ELSE cast(id % 50 AS string) END AS k", "map('a', id) AS m", "id AS _salt", "array(map(id, 1)) AS _salts")
+    lookup = spark.createDataFrame([("hot", 1), ("3", 2), ("x", 3)], "k string, _salt_ int")
+    found = join_unique(rows, lookup, "k", how, shares=4, hot_rows=10)
+    plain = rows.join(lookup, "k", how)
+    key = lambda df: sorted(map(str, df.select([c for c in plain.columns]).collect()))
+    assert found.columns == plain.columns and key(found) == key(plain)
+
+
+def test_a_lookup_reads_its_rows_once_for_the_hot_keys(spark, tmp_path):
+    spark.range(1000).selectExpr("cast(id % 9 AS string) AS k").write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    plans = frequent(rows, ["k"], 4)
+    assert plans.n_rows == 1000 and len(plans.values["k"]) == 4
+    assert hot_keys(rows, "k", plans, 4, hot_rows=10_000) == []

@@ -8,7 +8,9 @@ from earshot.operators.lsh import (
     ann_topk,
     buckets,
     cheapest_flips,
+    grades,
     hash_pair,
+    over_bands,
     planes,
     SearchIndex,
     save_buckets,
@@ -139,25 +141,128 @@ def candidates(spark, queries, items, metric, **settings):
 
 @pytest.mark.parametrize("metric", ["cosine", "dot"])
 @pytest.mark.parametrize("probes", [0, 2])
+@pytest.mark.parametrize("layout", ["tiles", "buckets"])
 @pytest.mark.parametrize("sizes", [{}, {"tile_rows": 5, "stripe_rows": 6}])
-def test_search_is_exact_among_the_candidates(spark, metric, probes, sizes):
+def test_search_is_exact_among_the_candidates(spark, monkeypatch, metric, probes, sizes, layout):
+    if sizes:  # the pairs of these small buckets as blocks
+        monkeypatch.setattr("earshot.operators.lsh.BLOCK_PAIRS", 1)
     rng = np.random.default_rng(8)
     q, v = rng.normal(size=(30, 5)), rng.normal(size=(80, 5)) * rng.uniform(0.2, 4, (80, 1))
     v[20:50] = v[20]  # a crowded bucket of copies
     queries, items = table(spark, q), table(spark, v)
     settings = {"tables": 3, "bits": 4, "probes": probes}
     met = candidates(spark, queries, items, metric, **settings)
-    found = lists(ann_topk(queries, items, 6, metric, seed=7, **settings, **sizes))
+    found = lists(ann_topk(queries, items, 6, metric, seed=7, layout=layout, **settings, **sizes))
     assert found == brute(q, v, 6, metric == "cosine", lambda i: sorted(met.get(i, ())))
 
 
+@pytest.mark.parametrize("block_pairs", [1, 10**9])
+def test_a_tile_keeps_the_best_of_what_meets(monkeypatch, block_pairs):
+    import pyarrow as pa
+
+    from earshot.operators import lsh
+
+    monkeypatch.setattr(lsh, "BLOCK_PAIRS", block_pairs)
+    rng = np.random.default_rng(12)
+    q, v = rng.integers(-2, 3, (40, 4)), rng.integers(-2, 3, (300, 4))
+    looks = np.stack([rng.permuted(np.tile(np.arange(6), (40, 1)), axis=1)[:, :2] for _ in range(3)], axis=1)  # 3 tables, 2 looks
+    codes = rng.integers(0, 6, (300, 3))
+
+    def batch(rows, own):
+        lists_ = lambda m, kind: pa.array([list(r) for r in m.reshape(len(m), -1).tolist()], pa.list_(kind))
+        return pa.table({"cell": np.zeros(len(rows), np.int64), "id": np.arange(len(rows)), "vec": lists_(rows.astype(float), pa.float64()), "codes": lists_(own, pa.int64())})
+
+    best = lsh.BestInBuckets(batch(q, looks), 7, False, 3)
+    for part in batch(v, codes).to_batches(max_chunksize=77):
+        if best.ids.size:
+            offset = part["id"].to_numpy()
+            best.see(part)
+    met = lambda i: [j for j in range(300) if any(codes[j, t] in looks[i, t] for t in range(3))]
+    want = brute(q, v, 7, allowed=met)
+    for i in range(40):
+        order = np.lexsort((best.items[i], -best.scores[i]))
+        assert best.items[i][order][best.scores[i][order] > -np.inf].tolist() == want.get(i, []), offset
+
+
+def test_looks_over_bands_follow_the_expected_product():
+    margins = np.abs(np.random.default_rng(6).normal(size=(20, 4)))
+    flips = cheapest_flips(margins, 15)
+    got = over_bands(flips, 4, 3, 20)
+    grade = grades(4, 3)
+    for row, own, looked in zip(margins, flips, got):
+        cost = {int(m): p for p, m in enumerate(own)}
+        every = sorted(((grade[b, int(m).bit_count()], cost[int(m)], b << 4 | int(m)) for b in range(3) for m in own))
+        assert looked.tolist() == [code for _, _, code in every[:21]] and len(set(looked.tolist())) == 21
+        assert [int(m) for m in looked if m < 16 and int(m).bit_count() == 0][:1] == [looked[0]]
+
+
+def test_bands_find_more_with_fewer_items_met(spark, sf_dir):
+    queries, items = testbed.vectors(spark, sf_dir), testbed.scaled_vectors(spark, sf_dir)
+    settings = {"tables": (10, 20), "probes": (4, 6, 8), "bits": 6, "met": True}
+    good = lambda rows: [(r.tables, r.probes) for r in rows if r.recall >= 0.9 and r.met_share <= 0.4]
+    banded = sweep(queries, items, 10, "dot", bands=6, **settings).collect()
+    assert good(banded) and not good(sweep(queries, items, 10, "dot", **settings).collect())
+    found = {layout: lists(ann_topk(queries, items, 10, "dot", 10, 6, 8, bands=6, layout=layout)) for layout in ("tiles", "buckets")}
+    assert found["tiles"] == found["buckets"]
+    exact = lists(exact_topk(queries, items, 10))
+    hits = sum(len(set(exact[i]) & set(found["tiles"].get(i, ()))) for i in exact)
+    assert next(r.recall for r in banded if (r.tables, r.probes) == (10, 8)) == pytest.approx(hits / sum(map(len, exact.values())))
+    with pytest.raises(ValueError, match="inner products"):
+        ann_topk(queries, items, 10, "cosine", bands=2)
+
+
+def test_shares_met_count_each_pair_once(spark):
+    rng = np.random.default_rng(15)
+    queries, items = table(spark, rng.normal(size=(30, 5))), table(spark, rng.normal(size=(50, 5)))
+    rows = sweep(queries, items, 3, "cosine", (1, 3), (0, 2), bits=3, met=True).collect()
+    for r in rows:
+        met = candidates(spark, queries, items, "cosine", tables=r.tables, bits=3, probes=r.probes)
+        assert r.met_share == pytest.approx(sum(map(len, met.values())) / 1500)
+
+
+def test_the_sweep_makes_no_rows_of_a_neighbours_looks(spark):
+    one = table(spark, np.random.default_rng(3).normal(size=(40, 4)))
+    plan = sweep(one, one, 2, "cosine", (2,), (0, 3), 4)._jdf.queryExecution().optimizedPlan().toString()
+    recall = plan[: plan.index("visits")] if "visits" in plan else plan
+    assert "array_position" in recall and recall.count("posexplode") <= 2  # those of the bucket sizes and visits
+
+
+@pytest.mark.parametrize("sizes", [{}, {"tile_rows": 7, "stripe_rows": 50}, {"tile_rows": 2, "stripe_rows": 1000}, {"tile_rows": 1000, "stripe_rows": 9}])
+def test_items_that_cannot_reach_a_list_are_not_sent(spark, monkeypatch, sizes):
+    import earshot.operators.topk as topk
+
+    rng = np.random.default_rng(21)
+    q = rng.normal(size=(60, 5)) * rng.uniform(0.1, 3, (60, 1))
+    v = rng.integers(-3, 4, (900, 5)) * (1 / (1 + np.arange(900) % 30))[:, None]
+    q[3], v[5] = 0, 0
+    sent = []
+    plain = topk.best_in_cells
+    monkeypatch.setattr(topk, "best_in_cells", lambda left, right, *a, **b: (sent.append(right), plain(left, right, *a, **b))[1])
+    queries, items = table(spark, q), table(spark, v)
+    assert lists(exact_topk(queries, items, 4, reach=True, **sizes)) == brute(q, v, 4) == lists(exact_topk(queries, items, 4, reach=False, **sizes))
+    head, rest = sent[:2]
+    if not sizes:
+        return
+    tiles = -(-60 // sizes["tile_rows"])
+    copies = rest.select(F.sum(F.size("_able"))).first()[0] + head.count() * tiles
+    # the query of length 0 wants all items, in its tile
+    assert copies < 900 * tiles * (0.5 if tiles > 1 else 1.01)
+
+
+def test_one_length_needs_no_reach(spark):
+    v = np.random.default_rng(2).normal(size=(500, 4))
+    one = table(spark, v / np.linalg.norm(v, axis=1, keepdims=True))
+    assert lists(exact_topk(one, one, 3, reach=True)) == lists(exact_topk(one, one, 3, reach=False))
+
+
 def test_search_with_more_cells_than_are_broadcast(spark, monkeypatch):
     import earshot.operators.topk as topk
 
     one = table(spark, np.random.default_rng(9).normal(size=(40, 5)))
-    want = lists(ann_topk(one, one, 5, tables=2, bits=3))
+    want = lists(ann_topk(one, one, 5, tables=2, bits=3, layout="tiles"))
+    assert lists(ann_topk(one, one, 5, tables=2, bits=3, layout="buckets")) == want
     monkeypatch.setattr(topk, "BROADCAST_CELLS", 1)
-    assert lists(ann_topk(one, one, 5, tables=2, bits=3)) == want
+    assert lists(ann_topk(one, one, 5, tables=2, bits=3, layout="buckets")) == want
 
 
 def test_equal_vectors_share_all_buckets_and_find_themselves(spark):
