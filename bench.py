@@ -13,7 +13,7 @@ from pyspark.mllib.evaluation import RankingMetrics
 from pyspark.sql import functions as F
 
 from earshot.operators import interactions as ops
-from earshot.operators.indexing import apply_index, fit_index
+from earshot.operators.indexing import apply_index, fit_index, fit_indexes
 from earshot.operators.lsh import ann_topk, sweep
 from earshot.operators.metrics import ground_truth, ranking_metrics
 from earshot.operators.models import als, fit, recommend
@@ -102,7 +102,7 @@ def main() -> None:
         sink(indexer.fit(kept).transform(kept))
 
     def own_index():
-        sink(apply_index(kept, fit_index(kept, "user_id"), fit_index(kept, "track_id"), fitted=True))
+        sink(apply_index(kept, *fit_indexes(kept, ["user_id", "track_id"]), fitted=True))
 
     def built_in_metrics():
         found = model.recommendForUserSubset(wanted, 500).join(lists, "user_ix")
