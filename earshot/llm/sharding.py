@@ -10,13 +10,16 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from earshot.llm.text import apart
 from earshot.operators.joins import join_unique
 from earshot.sources.store import materialize
 
 LIMIT = 16 << 20
+QUERY_LIMIT = 128 << 10
 BITS = 60
 CONTENT_BITS = 36
 STEP = 6
+FEW = 50_000
 MADE = ("n_bytes", "shard", "depth", "shard_bytes", "shard_rows", "oversize")
 
 
@@ -31,118 +34,112 @@ def _coarser(prefix: Column, by: Column) -> Column:
 
 
 def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """Adds ``_key`` (60 bits) and ``n_bytes``.
-
-    The first 36 bits are a digest of the id and, where there is no id, of the text. The last 24 come from the
-    row's place in the scan: only rows alike in id would otherwise stay together for ever, and they are the only
-    ones that get that deep.
-    """
+    """Adds ``_key`` (60 bits) and ``n_bytes``: the first 36 bits are a digest of the id and, where there is no id, of the
+    text; the others are 0. Rows alike in that are told apart later, where they have to be (``_told_apart``)."""
     name = F.coalesce(F.concat(F.lit("i"), F.col(doc_id).cast("string")), F.concat(F.lit("t"), F.col(text)), F.lit(""))
     content = F.conv(F.substring(F.md5(name.cast("binary")), 1, CONTENT_BITS // 4), 16, 10).cast("long")
-    place = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << (BITS - CONTENT_BITS)))
     return docs.withColumn("n_bytes", F.coalesce(F.octet_length(F.col(text)), F.lit(0)).cast("long")).withColumn(
-        "_key", F.shiftleft(content, BITS - CONTENT_BITS) + place
+        "_key", F.shiftleft(content, BITS - CONTENT_BITS)
     )
 
 
-def directory(keys: DataFrame, limit: int = LIMIT, step: int = STEP) -> tuple[DataFrame, int]:
-    """(shards, depth of the finest cells): the directory of ``keys`` (_key, n_bytes).
+def directory(keys: DataFrame, limit: int, base: int = 0, last: int = CONTENT_BITS, step: int = STEP) -> tuple[list[tuple[int, DataFrame]], DataFrame]:
+    """([(depth, cells)], open cells): the directory of ``keys`` (_key, n_bytes) as lookups, each from the occupied cells
+    of one depth to their shards, and the cells of ``last`` bits that are still too large.
 
     A bucket is split while its bytes are above ``limit`` and it has more than one row, so a row's shard is the
     shortest prefix of its key whose bucket fits. Sums of fine cells give all coarser buckets, so no level needs a
     pass of its own; only cells that are too large even so have their rows counted again, ``step`` bits deeper.
-    Shards are (depth, prefix, shard_bytes, shard_rows, oversize); ``oversize`` marks one row above the limit.
+    Lookups are (cell, n, depth, prefix, shard_bytes, shard_rows, oversize); ``n`` is the number of the cell's rows, and
+    ``oversize`` marks one row above the limit. Above ``base`` bits all buckets are known to be too large.
     """
     total = keys.agg(F.sum("n_bytes")).first()[0] or 0
-    depth = min(BITS, max(0, math.ceil(math.log2(max(1, total / limit)))) + 2)
-    base, shards, rows = 0, None, keys
+    depth = min(last, max(base, math.ceil(math.log2(max(1, total / limit)))) + 2)
+    lookups, rows = [], keys
     while True:
         cells = rows.groupBy(_prefix(F.col("_key"), depth).alias("cell")).agg(
             F.sum("n_bytes").alias("bytes"), F.count(F.lit(1)).alias("rows")
         )
         cells = materialize(cells, "shard-cells")
-        levels = F.explode(F.sequence(F.lit(base), F.lit(depth))).alias("depth")
-        buckets = cells.select("*", levels).groupBy(
-            "depth", _coarser(F.col("cell"), F.lit(depth) - F.col("depth")).alias("prefix")
-        ).agg(F.sum("bytes").alias("shard_bytes"), F.sum("rows").alias("shard_rows"))
+        levels = cells.select("*", F.explode(F.sequence(F.lit(base), F.lit(depth))).alias("depth")).withColumn(
+            "prefix", _coarser(F.col("cell"), F.lit(depth) - F.col("depth"))
+        )
+        buckets = levels.groupBy("depth", "prefix").agg(F.sum("bytes").alias("shard_bytes"), F.sum("rows").alias("shard_rows"))
         fits = (F.col("shard_bytes") <= limit) | (F.col("shard_rows") == 1)
         buckets = materialize(buckets.withColumn("fits", fits), "shard-buckets")
         # a bucket that fits is a shard where its parent does not fit (or it is the root)
-        full = buckets.filter(~F.col("fits")).select(
-            (F.col("depth") + 1).alias("depth"), F.col("prefix").alias("parent")
-        )
-        open_ = buckets.withColumn("parent", _coarser(F.col("prefix"), F.lit(1)))
-        leaves = open_.filter(F.col("fits") & (F.col("depth") > base)).join(full, ["depth", "parent"], "left_semi").unionByName(
-            open_.filter(F.col("fits") & (F.col("depth") == base) & F.lit(base == 0))
-        )
-        too_large = buckets.filter(~F.col("fits") & (F.col("depth") == depth)).select(
-            F.col("prefix").alias("cell"), F.col("shard_rows").alias("n")
-        )
-        last = depth == BITS
-        if last:
-            leaves = leaves.unionByName(open_.filter(~F.col("fits") & (F.col("depth") == depth)))
-        found = leaves.select(
-            "depth", "prefix", "shard_bytes", "shard_rows", (F.col("shard_bytes") > limit).alias("oversize")
-        )
-        shards = found if shards is None else shards.unionByName(found)
-        too_large = materialize(too_large, "shard-open")
-        if last or too_large.isEmpty():
-            return materialize(shards, "shards"), depth
+        full = buckets.filter(~F.col("fits")).select((F.col("depth") + 1).alias("depth"), F.col("prefix").alias("parent"))
+        fitting = buckets.filter("fits").withColumn("parent", _coarser(F.col("prefix"), F.lit(1)))
+        leaves = fitting.filter(F.col("depth") > base).join(full, ["depth", "parent"], "left_semi")
+        if base == 0:
+            leaves = leaves.unionByName(fitting.filter(F.col("depth") == 0))
+        open_ = buckets.filter(~F.col("fits") & (F.col("depth") == depth))
+        if last == depth == BITS:
+            leaves = leaves.unionByName(open_.withColumn("parent", F.lit(0).cast("bigint")))
+        shards = leaves.select("depth", "prefix", "shard_bytes", "shard_rows", (F.col("shard_bytes") > limit).alias("oversize"))
+        found = levels.select("cell", F.col("rows").alias("n"), "depth", "prefix").join(shards, ["depth", "prefix"])
+        lookups.append((depth, materialize(found, "shard-lookup")))
+        open_ = materialize(open_.select(F.col("prefix").alias("cell"), F.col("shard_rows").alias("n")), "shard-open")
+        if depth == last or open_.isEmpty():
+            return lookups, open_
         celled = rows.withColumn("cell", _prefix(F.col("_key"), depth))
         rows = materialize(
-            join_unique(celled, too_large.select("cell"), "cell", "left_semi", counts=too_large).select("_key", "n_bytes"),
-            "shard-rows",
+            join_unique(celled, open_.select("cell"), "cell", "left_semi", counts=open_).select("_key", "n_bytes"), "shard-rows"
         )
-        base, depth = depth, min(BITS, depth + step)
+        base, depth = depth, min(last, depth + step)
+
 
+def _to_cells(rows: DataFrame, cells: DataFrame, own: Column, few: int) -> DataFrame:
+    """Left join of ``rows`` with ``cells`` (cell, n, ...) on their own cell: sent to every task up to ``few`` rows, or
+    else dealt out by cell, cells of many rows in parts."""
+    keyed = rows.withColumn("cell", own)
+    if cells.count() <= few:
+        return keyed.join(F.broadcast(cells.drop("n")), "cell", "left").drop("cell")
+    return join_unique(keyed, cells.drop("n"), "cell", "left", counts=cells.select("cell", "n")).drop("cell")
 
-def shard(docs: DataFrame, limit: int = LIMIT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+
+def _find(rows: DataFrame, lookups: list[tuple[int, DataFrame]], few: int) -> DataFrame:
+    """``rows`` with ``_found``, their shard. Each lookup is one join; a row that has its shard goes to a cell that there
+    is not, so a text is moved by the large lookups alone, mostly one."""
+    made = ("depth", "prefix", "shard_bytes", "shard_rows", "oversize")
+    for at, (depth, cells) in enumerate(lookups):
+        own = _prefix(F.col("_key"), depth)
+        if at:
+            own = F.when(F.col("_found").isNull(), own).otherwise(-1 - F.pmod(F.xxhash64("_key"), F.lit(1 << 30)))
+        here = cells.select("cell", "n", F.struct(*made).alias("_here"))
+        rows = _to_cells(rows, here, own, few)
+        rows = rows.withColumn("_found", F.coalesce("_found", "_here") if at else F.col("_here")).drop("_here")
+    return rows
+
+
+def shard(docs: DataFrame, limit: int = LIMIT, doc_id: str = "doc_id", text: str = "text", few: int = FEW) -> DataFrame:
     """The rows of ``docs`` with ``n_bytes`` (of the text in UTF-8), ``shard`` (its prefix in bits), ``depth``,
-    ``shard_bytes``, ``shard_rows`` and ``oversize``; columns of these names are replaced.
+    ``shard_bytes``, ``shard_rows`` and ``oversize``; columns of these names are replaced, others are not touched.
 
     No shard is above ``limit`` bytes, unless a single text is: that is a shard alone, marked ``oversize``. Null and
-    empty texts have 0 bytes. Rows without id are placed by their text, rows that share an id are told apart by their
-    place in the scan once prefixes of 36 bits leave them together. An empty table gives an empty table.
+    empty texts have 0 bytes. Rows without id are placed by their text. Rows that share an id share 36 bits; where
+    these together are above the limit they are written with a number each, whose hash gives 24 bits more, so a
+    second look at them finds the same ones. An empty table gives an empty table. Lookups of up to ``few`` cells go to
+    every task; larger ones are joined by cell.
     """
-    keyed = _keyed(docs.drop(*MADE), doc_id, text)
+    inside, back = apart(docs.drop(*MADE), doc_id, text)
+    keyed = _keyed(inside, doc_id, text)
     keys = materialize(keyed.select("_key", "n_bytes"), "shard-keys")
-    shards, _ = directory(keys, limit)
-    depths = sorted(row[0] for row in shards.select("depth").distinct().collect())  # at most 61 numbers
-    # a key's shard is the only depth at which its prefix is a shard; equal (depth, prefix) cells are counted above
-    sized = shards.select(
-        F.concat_ws(":", "depth", "prefix").alias("_cell"), "depth", "prefix", "shard_bytes", "shard_rows", "oversize"
-    )
-    cells = F.transform(
-        F.array(*[F.lit(d) for d in depths]),
-        lambda d: F.concat_ws(":", d, _coarser(F.col("_key"), F.lit(BITS) - d)),
-    )
-    if not depths:
-        cells = F.array().cast("array<string>")
-    small = shards.count() <= 50_000
-    if small:
-        # one lookup per row in a map that is bounded by the check above
-        joined = _lookup(keyed, sized, depths)
+    lookups, open_ = directory(keys, limit)
+    if open_.isEmpty():
+        found = _find(keyed, lookups, few)
     else:
-        exploded = keyed.select("*", F.explode(cells).alias("_cell"))
-        joined = join_unique(exploded, sized, "_cell")
-    bits = F.when(F.col("depth") == 0, "").otherwise(
-        F.lpad(F.conv(F.col("prefix").cast("string"), 10, 2), F.col("depth"), F.lit("0"))
+        split = _to_cells(keyed, open_.withColumn("_hot", F.lit(True)), _prefix(F.col("_key"), CONTENT_BITS), few)
+        place = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << (BITS - CONTENT_BITS)))
+        hot = materialize(split.filter(F.col("_hot")).drop("_hot").withColumn("_key", F.col("_key") + place), "shard-alike")
+        deeper, _ = directory(hot.select("_key", "n_bytes"), limit, CONTENT_BITS, BITS)
+        found = _find(split.filter(F.col("_hot").isNull()).drop("_hot"), lookups, few).unionByName(_find(hot, deeper, few))
+    bits = F.when(F.col("_found.depth") == 0, "").otherwise(
+        F.lpad(F.conv(F.col("_found.prefix").cast("string"), 10, 2), F.col("_found.depth"), F.lit("0"))
     )
-    kept = [c for c in docs.columns if c not in MADE]
-    return joined.select(*kept, "n_bytes", bits.alias("shard"), "depth", "shard_bytes", "shard_rows", "oversize")
-
-
-def _lookup(keyed: DataFrame, sized: DataFrame, depths: list[int]) -> DataFrame:
-    """Joins by one broadcast join per depth in use; each row matches at exactly one of them."""
-    joined = keyed.withColumn("_found", F.lit(None).cast("struct<depth:int,prefix:bigint,shard_bytes:bigint,shard_rows:bigint,oversize:boolean>"))
-    for depth in depths:
-        part = sized.filter(F.col("depth") == depth).select(
-            F.col("prefix").alias("_at"), F.struct("depth", "prefix", "shard_bytes", "shard_rows", "oversize").alias("_here")
-        )
-        joined = joined.join(F.broadcast(part), F.col("_at") == _prefix(F.col("_key"), depth), "left").withColumn(
-            "_found", F.coalesce("_found", "_here")
-        ).drop("_at", "_here")
-    return joined.select("*", "_found.*").drop("_found")
+    made = {"n_bytes": F.col("n_bytes"), "shard": bits} | {c: F.col(f"_found.{c}") for c in MADE[2:]}
+    kept = back(found.select("*", F.struct(*[value.alias(name) for name, value in made.items()]).alias("_made")), "_made")
+    return kept.select(*[F.col(f"`{c}`") for c in kept.columns if c != "_made"], *[F.col(f"_made.{c}").alias(c) for c in MADE])
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:
@@ -155,7 +152,7 @@ def write_shards(sharded: DataFrame, path: str) -> None:
 def op5_sharding(spark, sf_dir: str) -> DataFrame:
     """Every document with its shard."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return shard(docs).select("doc_id", "n_bytes", "shard", "depth", "shard_bytes", "shard_rows", "oversize")
+    return shard(docs, QUERY_LIMIT).select("doc_id", "n_bytes", "shard", "depth", "shard_bytes", "shard_rows", "oversize")
 
 
 def sql(limit: int = LIMIT, bits: int = 24) -> str:
@@ -175,4 +172,4 @@ FROM f WHERE r = 1
 """
 
 
-SQL = sql()
+SQL = sql(QUERY_LIMIT)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -193,6 +193,15 @@ def text_key(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
     return [F.col(doc_id).alias("_id"), F.xxhash64(F.lit(3), F.col(text)).alias("_text")]
 
 
+def apart(docs: DataFrame, *known: str) -> tuple[DataFrame, Callable[..., DataFrame]]:
+    """(``docs`` with all columns but ``known`` under names that no operator makes, a function that gives results their
+    names back, in their order, and ``more`` columns after them). Names are compared without regard to case, as Spark does."""
+    keep = {name.lower() for name in known}
+    names = {c: c if c.lower() in keep else f"own_column_{i}" for i, c in enumerate(docs.columns)}
+    renamed = docs.toDF(*names.values())
+    return renamed, lambda out, *more: out.select(*[F.col(f"`{inside}`").alias(c) for c, inside in names.items()], *more)
+
+
 def without(docs: DataFrame, marked: DataFrame, doc_id: str = "doc_id", text: str = "text", broadcast_rows: int = 500_000) -> DataFrame:
     """The rows of ``docs`` whose key (see ``text_key``) is not in ``marked`` (_id, _text), a written table.
 

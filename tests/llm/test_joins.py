@@ -286,10 +286,15 @@ def test_a_shard_above_the_limit_is_one_row(spark):
     assert not any(a != b and b.startswith(a) for a in leaves for b in leaves)
 
 
-def test_copies_of_a_row_are_split(spark):
-    docs = spark.createDataFrame([(7, "z" * 100)] * 300 + [(None, "n" * 40)] * 50, "doc_id bigint, text string").repartition(3)
-    rows = sharding.shard(docs, 1_000).collect()
-    assert len(rows) == 350 and all(r.shard_bytes <= 1_000 for r in rows)
+@pytest.mark.parametrize("few", [50_000, 0])
+def test_copies_of_a_row_are_split(spark, few):
+    docs = spark.createDataFrame([(7, "z" * 100)] * 300 + [(None, "n" * 40)] * 50 + [(i, "y" * 70) for i in range(20, 60)], "doc_id bigint, text string")
+    docs = docs.repartition(3).selectExpr("*", "map('a', doc_id) AS _key", "1 AS cell", "2 AS _found", "3 AS shard", "4 AS N_Bytes", "5 AS prefix")
+    rows = sharding.shard(docs, 1_000, few=few).collect()
+    assert len(rows) == 390 and all(r.shard_bytes <= 1_000 for r in rows) and all(r._key == {"a": r.doc_id} and r.prefix == 5 for r in rows)
+    for _, own in itertools.groupby(sorted(rows, key=lambda r: r["shard"]), key=lambda r: r["shard"]):
+        own = list(own)
+        assert {(r.shard_bytes, r.shard_rows) for r in own} == {(sum(r["n_bytes"] for r in own), len(own))}
 
 
 def test_shards_as_files(spark, tmp_path):

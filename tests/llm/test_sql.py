@@ -29,10 +29,15 @@ def test_query_equals_its_sql(spark, sf_dir, db, name):
     same(queries.QUERIES[name](spark, sf_dir), db.sql(queries.ORACLES[name]))
 
 
-@pytest.mark.parametrize("limit", [1_000, 20_000, 300_000])
-def test_shards_for_small_limits(spark, sf_dir, db, limit):
+@pytest.mark.parametrize("limit,few", [(1_000, 50_000), (1_000, 0), (20_000, 0), (300_000, 50_000)])
+def test_shards_for_small_limits(spark, sf_dir, db, limit, few):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    same(sharding.shard(docs, limit).select("doc_id", *sharding.MADE), db.sql(sharding.sql(limit)))
+    found = sharding.shard(docs, limit, few=few).select("doc_id", *sharding.MADE)
+    same(found, db.sql(sharding.sql(limit)))
+    if few == 0 and limit == 1_000:
+        # a text is moved once per lookup, not once per depth in use
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert found.select("depth").distinct().count() > 3 and plan.count("Join LeftOuter") <= 3 and "Generate" not in plan
 
 
 @pytest.mark.parametrize("run_words", [1, 8, 120])
