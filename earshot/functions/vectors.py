@@ -31,13 +31,14 @@ def usable(vec: str | Column, dim: int) -> Column:
 
 
 def _look(df: DataFrame, vec: str, id_: str) -> DataFrame:
-    """One row: how many rows and whole vectors (all entries finite) there are, their lengths, and the least id of the rest."""
+    """One row: how many rows and whole vectors (all entries finite) there are, their lengths, the least id of the rest, and
+    the largest norm."""
     odd = F.exists(as_doubles(vec), lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     whole = F.coalesce(F.col(vec).isNotNull() & ~odd, F.lit(False))
     size = F.when(F.col(vec).isNotNull(), F.size(vec))
     return df.agg(
         F.count(F.lit(1)).alias("all"), F.count_if(whole).alias("whole"), F.min(size).alias("least"), F.max(size).alias("most"),
-        F.mode(size).alias("common"), F.min(F.when(~whole, F.col(id_).cast("string"))).alias("odd"),
+        F.mode(size).alias("common"), F.min(F.when(~whole, F.col(id_).cast("string"))).alias("odd"), F.max(F.when(whole, norm(vec))).alias("longest"),
     )
 
 
@@ -73,15 +74,15 @@ def checked(df: DataFrame, dim: int | None = None, invalid: str = "raise", vec:
 
 def checked_pair(
     items: DataFrame, queries: DataFrame, invalid: str = "raise", vec: str = "vec", id_: str = "id"
-) -> tuple[DataFrame, DataFrame, int, int, int | None]:
-    """(items, queries, their numbers, dimension), as ``checked`` one after the other, from one job over both; the
+) -> tuple[DataFrame, DataFrame, int, int, int | None, float]:
+    """(items, queries, their numbers, dimension, largest norm of the items), as ``checked`` one after the other, from one job over both; the
     dimension is that of the items."""
     _known(invalid)
     looks = _look(items, vec, id_).withColumn("side", F.lit(0)).union(_look(queries, vec, id_).withColumn("side", F.lit(1)))
     first, second = sorted(looks.collect(), key=lambda row: row["side"])
     items, n_items, dim = _kept(items, first, None, invalid, vec, id_)
     queries, n_queries, _ = _kept(queries, second, dim, invalid, vec, id_)
-    return items, queries, n_items, n_queries, dim
+    return items, queries, n_items, n_queries, dim, first["longest"] or 0.0
 
 
 def matrix(vectors: pa.Array) -> np.ndarray:

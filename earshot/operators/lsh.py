@@ -311,8 +311,8 @@ def hash_pair(
     ``dot`` hashes both with one more dimension, which turns the search for the largest inner
     product into one for the smallest angle; ``vec`` stays as it is. Vectors that cannot be scored raise.
     """
-    items, queries, _, _, dim = checked_pair(items, queries)
-    index = SearchIndex.of(items, metric, tables, bits, seed, dim or 1, bands)
+    items, queries, n_items, _, dim, longest = checked_pair(items, queries)
+    index = SearchIndex.of(items, metric, tables, bits, seed, dim or 1, bands, n_items, longest)
     return index.hashed_queries(queries, tables, probes), index.items
 
 
@@ -339,13 +339,15 @@ class SearchIndex:
 
     @classmethod
     def of(
-        cls, items: DataFrame, metric: str, tables: int, bits: int, seed: int, dim: int, bands: int = 1, n_items: int | None = None
+        cls, items: DataFrame, metric: str, tables: int, bits: int, seed: int, dim: int, bands: int, n_items: int, longest: float | None = None
     ) -> SearchIndex:
-        """Of checked vectors (id, vec); nothing is written."""
+        """Of checked vectors (id, vec), of which ``longest`` is the largest norm; nothing is written."""
         if bands > 1 and metric != "dot":
             raise ValueError("bands of norms are for inner products")
-        rows, longest = items.select(F.col("id").alias("item"), "vec"), None
-        if metric == "dot":
+        rows = items.select(F.col("id").alias("item"), "vec")
+        if metric != "dot":
+            longest = None
+        elif longest is None:
             longest = rows.agg(F.max(norm("vec"))).first()[0] or 0.0
         pad = partial(pad_items, longest=longest, band=BAND if bands > 1 else None, bands=bands) if longest is not None else None
         coded = with_codes(rows, tables, bits, seed, dim, pad=pad, bands=bands, longest=longest)
@@ -423,8 +425,8 @@ def ann_topk(
 ) -> DataFrame:
     """(query, item, score, rank): the k best among the items met in the buckets. ``options`` as for ``SearchIndex.search``."""
     check_looks(probes, bits, bands)
-    items, queries, n_items, n_queries, dim = checked_pair(items, queries)
-    index = SearchIndex.of(items, metric, tables, bits, seed, dim or 1, bands, n_items)
+    items, queries, n_items, n_queries, dim, longest = checked_pair(items, queries)
+    index = SearchIndex.of(items, metric, tables, bits, seed, dim or 1, bands, n_items, longest)
     if options.get("layout") == "buckets":  # which reads the hashed items twice
         index = replace(index, items=materialize(index.items, "hashed"))
     return index.search(queries, k, probes, n_queries=n_queries, **options)

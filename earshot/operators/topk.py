@@ -351,7 +351,7 @@ def exact_topk(
     tiles, that can get into a list by their length (``_reach``); lists are the same. That takes jobs of its
     own, so by default it is done for inner products where items sent to all tiles were ``REACH_ROWS`` or more.
     """
-    items, queries, n_items, n_queries, dim = checked_pair(items, queries, invalid)
+    items, queries, n_items, n_queries, dim, _ = checked_pair(items, queries, invalid)
     left = queries.select(F.lit(0).alias("cell"), F.col("id").alias("query"), "vec")
     right = items.select(F.lit(0).alias("cell"), F.col("id").alias("item"), "vec")
     cores = queries.sparkSession.sparkContext.defaultParallelism

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -12,13 +13,35 @@ from pyspark.sql import functions as F
 from earshot.session import shared_dir
 
 
-def materialize(df: DataFrame, label: str, codec: str | None = None) -> DataFrame:
-    """Write ``df`` to the shared folder, with Spark's own codec or another, and read it back.
+_INSIDE: list[str] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What is materialised inside goes into a folder of its own, which is deleted at the end. Nothing that reads it may be
+    used after that."""
+    folder = f"{shared_dir(spark)}/{'/'.join(_INSIDE + [f'scratch-{uuid.uuid4().hex}'])}"
+    _INSIDE.append(folder.rsplit("/", 1)[1])
+    try:
+        yield
+    finally:
+        _INSIDE.pop()
+        delete(spark, folder)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared folder, wherever that is."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def materialize(df: DataFrame, label: str, codec: str | None = None, path: str | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder (or to ``path``), with Spark's own codec or another, and read it back.
 
     Cuts the lineage, survives lost executors, and unlike an RDD checkpoint keeps column pruning
     and file sizes for the planner.
     """
-    path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    path = path or "/".join([shared_dir(df.sparkSession), *_INSIDE, f"{label}-{uuid.uuid4().hex}"])
     df.write.parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
