@@ -16,6 +16,7 @@ from earshot.llm.pieces import op8_token_count
 from earshot.llm.quality import op2_quality
 from earshot.llm.sharding import SQL as SHARDING_SQL
 from earshot.llm.sharding import op5_sharding
+from earshot.llm.similarity import SQL as SIMILARITY_SQL
 from earshot.llm.similarity import op9_jaccard_join
 from earshot.llm.toxicity import op1_toxicity
 from earshot.llm.urls import SQL as URLS_SQL
@@ -42,6 +43,7 @@ ORACLES = {
     "op7_decontamination": DECONTAMINATION_SQL,
     "op3_url_filter": URLS_SQL,
     "op5_sharding": SHARDING_SQL,
+    "op9_jaccard_join": SIMILARITY_SQL,
     "op10_mixing": MIXING_SQL,
     "op12_hard_negatives": NEGATIVES_SQL,
 }

@@ -1,4 +1,9 @@
-"""Near-duplicate components by Jaccard similarity of word shingles, with adaptive multi-match prefixes."""
+"""Near-duplicate components by Jaccard similarity of word shingles, with adaptive multi-match prefixes.
+
+A set starts with a short prefix and goes on to a longer one, at last to the whole set, as long as the lists its members
+stand in promise too many candidates. The longer the prefixes of a similar pair, the more members they share, so the
+more of its most frequent members a set may leave out: passages that many documents share drop out before pairs are made.
+"""
 
 from __future__ import annotations
 
@@ -13,11 +18,13 @@ from pyspark.sql.types import DataType
 
 from earshot.llm.components import components
 from earshot.llm.text import mix, shingle_sets, text_key, without
+from earshot.operators.joins import join_unique
 from earshot.sources.store import materialize
 
 WORDS = 5
 PERCENT = 80
 COST = 200
+LONG_COST = 2000
 LIST = 64
 PIVOTS = 8
 ROUNDS = 3
@@ -25,11 +32,17 @@ OUTSIDERS = 1000
 SKETCH = 8  # 64-bit words
 BROADCAST_TEXTS = 500_000
 GROUP = 256
+ENOUGH = 2  # members that lengthened prefixes share, less what is left out
+
+
+def _least(n, percent: int):
+    """So many members a set of n shares with any similar one, at least; no similar set is smaller."""
+    return (percent * n + 99) // 100
 
 
 def _prefix_length(n, percent: int):
     """Of the n members of a set, so many in a common order that any similar set shares one of its own first such."""
-    return n - (percent * n + 99) // 100 + 1
+    return n - _least(n, percent) + 1
 
 
 def _longer(n, percent: int):
@@ -37,9 +50,9 @@ def _longer(n, percent: int):
     return _prefix_length(n, percent) + n // 20 + 4
 
 
-def describe(docs: DataFrame, words: int, percent: int, doc_id: str, text: str) -> DataFrame:
+def describe(docs: DataFrame, words: int, percent: int, doc_id: str, text: str, whole: bool = False) -> DataFrame:
     """(_id, _text, n, sig, sketch, prefix) per row: set size, a hash of the whole set, the parity of its members in 512
-    cells, and the members of its lengthened prefix in order of their hashes."""
+    cells, and the members of its lengthened prefix, or all with ``whole``, in order of their hashes."""
     kind = "n: bigint, sig: bigint, sketch: array<bigint>, prefix: array<bigint>"
 
     @F.arrow_udf(f"struct<{kind}>")
@@ -50,7 +63,7 @@ def describe(docs: DataFrame, words: int, percent: int, doc_id: str, text: str)
             sig.append(int(mix(mix(own).sum(keepdims=True)).view(np.int64)[0]) if len(own) else 0)
             odd = np.bincount((own & np.uint64(64 * SKETCH - 1)).astype(np.int64), minlength=64 * SKETCH) & 1
             sketches.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
-            prefixes.append(own[: _longer(len(own), percent) if len(own) else 0].view(np.int64))
+            prefixes.append((own if whole else own[: _longer(len(own), percent) if len(own) else 0]).view(np.int64))
         many = pa.list_(pa.int64())
         at = pa.array(np.cumsum([0] + [len(p) for p in prefixes]), pa.int32())
         prefix = pa.ListArray.from_arrays(at, pa.array(np.concatenate(prefixes) if prefixes else np.zeros(0, np.int64)))
@@ -72,13 +85,18 @@ def _near(a: str, b: str, percent: int) -> Column:
     return sizes & (odd * (100 + percent) <= n * (100 - percent))
 
 
-def _pairs(left: DataFrame, right: DataFrame, percent: int, more: Callable[[str, str], Column] | None = None) -> DataFrame:
-    """(a, b), a below b: sets that meet at a token and may be similar, once for each token they meet at."""
+def _pairs(left: DataFrame, right: DataFrame, percent: int, more: Callable[[str, str], Column] | None = None, often: bool = False) -> DataFrame:
+    """(a, b, w), a below b: sets that meet at a token and may be similar, once for each token they meet at. Pairs whose
+    weights add up to ``ENOUGH`` are candidates: at the first meeting or, with ``often``, where they meet so often, unless
+    the sets are so small that similar ones need not."""
     a, b = left.alias("a"), right.alias("b")
     fits = (F.col("a.token") == F.col("b.token")) & (F.col("a.sig") != F.col("b.sig")) & _near("a", "b", percent)
     if more is not None:
         fits = fits & more("a", "b")
-    return a.join(b, fits).select(F.least("a.sig", "b.sig").alias("a"), F.greatest("a.sig", "b.sig").alias("b"))
+    weight = F.lit(ENOUGH)
+    if often:
+        weight = F.when(F.least("a.n", "b.n") * percent <= 100 * (ENOUGH - 1), ENOUGH).otherwise(1)
+    return a.join(b, fits).select(F.least("a.sig", "b.sig").alias("a"), F.greatest("a.sig", "b.sig").alias("b"), weight.alias("w"))
 
 
 def _prefixes_meet(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -96,9 +114,9 @@ class _Verifier:
         self.docs, self.classes, self.words, self.percent = docs, classes, words, percent
         self.doc_id, self.text = doc_id, text
 
-    def _texts(self, pairs: DataFrame) -> DataFrame:
-        """(sig, text) of the sets in ``pairs``; one text of each."""
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct()
+    def _texts(self, wanted: DataFrame) -> DataFrame:
+        """(sig, text) of the sets in ``wanted`` (sig); one text of each."""
+        wanted = wanted.distinct()
         wanted = self.classes.select("sig", F.col("_row._id").alias("_id"), F.col("_row._text").alias("_text")).join(wanted, "sig", "left_semi")
         wanted = materialize(wanted, "wanted")
         if wanted.count() <= BROADCAST_TEXTS:
@@ -109,15 +127,21 @@ class _Verifier:
         # rows alike in id and text give one
         return materialize(rows.join(wanted, same).groupBy("sig").agg(F.first("text").alias("text")), "texts")
 
+    def whole(self, wanted: DataFrame) -> DataFrame:
+        """(sig, n, sketch, prefix) with all members, of the sets in ``wanted`` (sig)."""
+        texts = self._texts(wanted)
+        return materialize(describe(texts, self.words, self.percent, "sig", "text", whole=True).drop("_id", "_text"), "whole-sets")
+
     def verify(self, pairs: DataFrame) -> DataFrame:
-        """(u, v): the pairs that are similar.
+        """(u, v): the candidates of ``pairs`` (a, b, w) that are similar.
 
         One of a pair is the hub, and a hub's partners are dealt out in groups, so that one with very many is more
         than one task's work; a task holds one hub's set at a time. The lengthened prefixes are compared first: they
         share one more member for each that they are lengthened by, or the pair is not similar.
         """
-        pairs = materialize(pairs.distinct(), "pairs")
-        texts = self._texts(pairs)
+        pairs = pairs.groupBy("a", "b").agg(F.sum("w").alias("w")).filter(F.col("w") >= ENOUGH).select("a", "b")
+        pairs = materialize(pairs, "pairs")
+        texts = self._texts(pairs.select(F.explode(F.array("a", "b")).alias("sig")))
         groups = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / GROUP).alias("groups"))
         dealt = pairs.join(groups, "a").withColumn("g", F.pmod(F.xxhash64("b"), F.col("groups"))).select("a", "g", "b")
         rows = dealt.join(texts, dealt["b"] == texts["sig"]).select("a", "g", F.lit(1).alias("side"), "sig", "text")
@@ -146,8 +170,29 @@ class _Verifier:
         return materialize(ordered.mapInArrow(compare, "u bigint, v bigint"), "similar")
 
 
+def _without_frequent(tokens: DataFrame, total: Column, spare: Column) -> DataFrame:
+    """(sig, n, token): of members (sig, n, token) that more than one set has, those that are left once each set leaves out
+    its ``spare`` most frequent ones. ``total`` is the number of members it looks at, shared or not."""
+    met = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("f")).filter(F.col("f") > 1)
+    shared = tokens.join(met, "token")
+    own = W.partitionBy("sig")
+    # members that no other set has come first in the order by rarity
+    place = F.row_number().over(own.orderBy("f", "token")) + total - F.count(F.lit(1)).over(own)
+    return shared.withColumn("_place", place).filter(F.col("_place") <= total - spare).select("sig", "n", "token")
+
+
+def _costed(entries: DataFrame, cost: int) -> DataFrame:
+    """``entries`` with ``f``, the length of the list, where it is above 1, and ``few``: whether all lists of the set add up to
+    ``cost`` candidates at most."""
+    lengths = entries.groupBy("token").agg(F.count(F.lit(1)).alias("f")).filter(F.col("f") > 1)
+    listed = materialize(entries.join(lengths, "token"), "listed")
+    costs = listed.groupBy("sig").agg((F.sum(F.col("f") - 1) <= cost).alias("few"))
+    return materialize(listed.join(costs, "sig"), "costed")
+
+
 def similar_components(
     docs: DataFrame, words: int = WORDS, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text", cost: int = COST,
+    long_cost: int = LONG_COST,
 ) -> DataFrame:
     """(_id, _text, n_shingles, root, component_id) per row of ``docs``; ``root`` tells components apart, null for rows
     without words.
@@ -159,22 +204,25 @@ def similar_components(
     unless all are null.
 
     Members are ordered by hash. A similar pair shares a member within the first ``_prefix_length`` of each; if both
-    prefixes are longer by l - 1, it shares l, so each set may leave out its l - 1 most frequent members and the
-    pair still meets at the rarest one it shares. Each set starts with the short prefix. Where the lists its members
-    stand in add up to more than ``cost`` candidates, the set uses the lengthened one, less its most frequent members,
-    and pairs have to share as many as that guarantees before they are verified. Sets with short prefixes look
-    through all sets, those with long ones only through their like, so no pair is left to neither.
-
-    Members of long lists, as a large group of near copies makes them, are compared with a few pivots first. Only
-    sets that are still outside of the list's main component are then compared with all others in it.
+    prefixes are longer by l - 1, it shares l, so each set may leave out its l - 2 most frequent members and the
+    pair still meets at the two rarest ones it shares. Each set starts with the short prefix. Where the lists its members
+    stand in add up to more than ``cost`` candidates, the set uses the lengthened one, and where these are more than
+    ``long_cost``, the whole set: it then leaves out as many of its members as it shares with any similar set, less two.
+    Sets look through all that use as long a prefix as they do or a longer one, so no pair is left to neither.
+
+    Members of lists that stay long even so, as a large group of near copies makes them, are compared with a few pivots
+    first. Only sets that are still outside of the list's main component are then compared with all others in it.
     """
     sets = materialize(describe(docs, words, percent, doc_id, text), "sets")
     classes = sets.filter(F.col("n") > 0).groupBy("sig").agg(
-        F.min(F.struct("_id", "_text")).alias("_row"), F.min("_id").alias("_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("prefix").alias("prefix")
+        F.min(F.struct("_id", "_text")).alias("_row"), F.min("_id").alias("_id"), F.count(F.lit(1)).alias("copies"),
+        F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("prefix").alias("prefix")
     )
     classes = materialize(classes, "classes")
-    p = F.col("n") - F.floor((F.col("n") * percent + 99) / 100) + 1
-    total = F.least("n", p + F.floor(F.col("n") / 20) + 4)
+    n = F.col("n")
+    least = lambda size: F.floor((size * percent + 99) / 100)
+    p = n - least(n) + 1
+    total = F.least("n", p + F.floor(n / 20) + 4)
     placed = F.posexplode("prefix").alias("pos", "token")
     tokens = classes.select("sig", "n", placed).select("token", "sig", "n", (F.col("pos") < p).alias("early"))
     met = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("f")).filter(F.col("f") > 1)
@@ -188,35 +236,47 @@ def similar_components(
     entries = shared.join(costs, "sig").join(sketches, "sig").withColumn(
         "place", F.row_number().over(by_rarity) + total - F.col("n_shared")
     )
-    # as many may go as the smallest set that can be similar guarantees to share, less one
-    least = F.floor((F.col("n") * percent + 99) / 100)
-    spare = F.least(F.floor(least / 20) + 4, F.floor((least * percent + 99) / 100) - 1)
+    # as many may go as the smallest set that can be similar guarantees to share, less two
+    spare = F.greatest(F.lit(0), F.least(F.floor(least(n) / 20) + 5, least(least(n))) - ENOUGH)
     entries = entries.select(
         "token", "sig", "n", *[f"s{k}" for k in range(SKETCH)], (F.col("cost") <= cost).alias("probes"),
         (F.col("early") & (F.col("f") <= cost + 1)).alias("short"), ((F.col("cost") > cost) & (F.col("place") <= total - spare)).alias("long"),
     )
     entries = materialize(entries.filter(F.col("short") | F.col("long")), "entries")
     short = entries.filter("short").drop("short", "long")
-    long = entries.filter("long").drop("short", "long", "probes")
-    lengths = long.groupBy("token").agg(F.count(F.lit(1)).alias("f")).filter(F.col("f") > 1)
-    long = materialize(long.join(lengths, "token"), "long")
     verifier = _Verifier(docs, classes, words, percent, doc_id, text)
+    found = _pairs(short.filter("probes"), short, percent)
 
     low = lambda a, b: F.col(f"{a}.sig") < F.col(f"{b}.sig")
-    crowded = long.filter(F.col("f") > LIST)
-    found = _pairs(short.filter("probes"), short, percent).unionByName(
-        _pairs(long.filter(F.col("f") <= LIST), long.filter(F.col("f") <= LIST), percent, low)
-    ).unionByName(_pairs(_pivots(crowded, 0), crowded, percent))
+    among = lambda a, b: ~F.col(f"{b}.few") | (F.col(f"{a}.sig") < F.col(f"{b}.sig"))
+    long = _costed(entries.filter("long").drop("short", "long", "probes"), long_cost)
+    found = found.unionByName(_pairs(long.filter("few"), long, percent, among, often=True))
+    many = long.filter(~F.col("few")).select("sig").distinct()
+    crowded = None
+    if not many.isEmpty():
+        sets_whole = verifier.whole(many)
+        members = sets_whole.select("sig", "n", F.explode("prefix").alias("token"))
+        kept = _without_frequent(members, n, F.greatest(F.lit(0), least(n) - ENOUGH))
+        own = sets_whole.select("sig", *[F.get("sketch", F.lit(k)).alias(f"s{k}") for k in range(SKETCH)])
+        whole = _costed(kept.join(own, "sig"), long_cost)
+        found = found.unionByName(_pairs(whole.filter("few"), whole, percent, among, often=True))
+        rest = whole.filter(~F.col("few")).drop("few", "f")
+        lengths = rest.groupBy("token").agg(F.count(F.lit(1)).alias("f")).filter(F.col("f") > 1)
+        rest = materialize(rest.join(lengths, "token"), "rest")
+        crowded = rest.filter(F.col("f") > LIST)
+        listed = rest.filter(F.col("f") <= LIST)
+        found = found.unionByName(_pairs(listed, listed, percent, low)).unionByName(_pairs(_pivots(crowded, 0), crowded, percent))
     links = components(verifier.verify(found))
-    if not crowded.isEmpty():
+    if crowded is not None and not crowded.isEmpty():
         links = _crowded(crowded, links, verifier, percent)
     root = links.select(F.col("u").alias("sig"), F.col("v").alias("root"))
     rooted = classes.select("sig", "_id").join(root, "sig", "left").withColumn("root", F.coalesce("root", "sig"))
     smallest = rooted.groupBy("root").agg(F.min("_id").alias("component_id"))
     owner = materialize(rooted.select("sig", "root").join(smallest, "root"), "owners")
-    found = sets.join(owner, (F.col("n") > 0) & (sets["sig"] == owner["sig"]), "left")
-    own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("_id"))
-    return found.select("_id", "_text", F.col("n").alias("n_shingles"), "root", own.alias("component_id"))
+    # rows without words are not dealt out by the signature that they share, copies of one text in parts
+    worded = join_unique(sets.filter(n > 0).select("sig", "_id", "_text", "n"), owner, "sig", counts=classes.select("sig", F.col("copies").alias("n")))
+    none = sets.filter(n == 0).select("_id", "_text", F.col("n").alias("n_shingles"), F.lit(None).cast("bigint").alias("root"), F.col("_id").alias("component_id"))
+    return worded.select("_id", "_text", F.col("n").alias("n_shingles"), "root", "component_id").unionByName(none)
 
 
 def _pivots(entries: DataFrame, turn: int) -> DataFrame:
@@ -296,3 +356,21 @@ def op9_jaccard_join(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     found = similar_components(docs, words=4, percent=85)
     return found.select(F.col("_id").alias("doc_id"), "n_shingles", "component_id")
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+SQL = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+         ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS g FROM w),
+u AS (SELECT doc_id, len(g) AS n, unnest(g) AS t FROM s),
+p AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM u a JOIN u b ON a.t = b.t AND a.doc_id < b.doc_id
+  GROUP BY 1, 2 HAVING 100 * count(*) >= 85 * (any_value(a.n) + any_value(b.n) - count(*))),
+l AS (SELECT x, y FROM p UNION ALL SELECT y, x FROM p),
+r AS (SELECT x, y FROM l UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x)
+SELECT doc_id, len(g)::BIGINT AS n_shingles, least(doc_id, (SELECT min(y) FROM r WHERE x = doc_id)) AS component_id FROM s
+"""

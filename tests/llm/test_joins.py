@@ -50,19 +50,37 @@ def near_texts(seed, n=90):
     return texts | {n: "a b", n + 1: "A  b", n + 2: "", n + 3: None, n + 4: "a"}
 
 
-@pytest.mark.parametrize("words,percent,cost", [(4, 85, 200), (5, 80, 4), (4, 85, 3), (2, 50, 10)])
-def test_components_are_those_of_all_pairs(spark, monkeypatch, words, percent, cost):
+@pytest.mark.parametrize("words,percent,cost,long_cost", [(4, 85, 200, 9), (5, 80, 4, 50), (4, 85, 3, 3), (2, 50, 10, 2), (5, 80, 0, 0), (1, 60, 1, 12)])
+def test_components_are_those_of_all_pairs(spark, monkeypatch, words, percent, cost, long_cost):
     # small lists and groups, so that long prefixes, pivots and rounds take part
     monkeypatch.setattr(similarity, "LIST", 5)
     monkeypatch.setattr(similarity, "PIVOTS", 2)
     monkeypatch.setattr(similarity, "GROUP", 3)
     texts = near_texts(words + cost)
     docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
-    found = similarity.similar_components(docs, words, percent, cost=cost).collect()
+    found = similarity.similar_components(docs, words, percent, cost=cost, long_cost=long_cost).collect()
     assert {r._id: r.component_id for r in found} == linked(texts, words, percent)
     assert {r._id: r.n_shingles for r in found} == {i: len(shingles(t, words)) for i, t in texts.items()}
 
 
+def test_a_passage_that_all_documents_share_makes_no_pairs(spark, monkeypatch):
+    monkeypatch.setattr(similarity, "LIST", 5)
+    made, plain = [], similarity._pairs
+    monkeypatch.setattr(similarity, "_pairs", lambda *a, **b: (made.append(plain(*a, **b)), made[-1])[1])
+    footer = " ".join(f"licence{k}" for k in range(60))
+    numbers = {}
+    for n in (100, 200, 400):
+        rng = random.Random(n)
+        texts = {i: " ".join(f"w{rng.randrange(10**6)}" for _ in range(60)) + " " + footer for i in range(n)}
+        texts |= {n + i: texts[i] + " more" for i in range(0, n, 10)}  # a tenth has a near copy
+        docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+        made.clear()
+        found = similarity.similar_components(docs, cost=20, long_cost=40)
+        assert {r._id: r.component_id for r in found.collect()} == {i: i - n if i >= n else i for i in texts}
+        numbers[n] = sum(pairs.count() for pairs in made)
+    assert numbers[400] <= 5 * numbers[100] and numbers[400] < 400 * 20
+
+
 def test_one_of_each_component_stays(spark):
     texts = near_texts(3, 40)
     docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
