@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from earshot.llm.text import apart
 from earshot.operators.joins import join_unique
 
 # The rules of the registered query, (host, path, verdict).
@@ -50,7 +51,7 @@ def judge(
     and path fits. An empty host label list, repeated pages and empty tables need no special case. Rules with a
     null in any column are left out.
 
-    Every distinct (host, path) is expanded once: host suffixes by the number of labels the rules use, times path
+    Sites of very many pages, as that of null urls may be, are joined in parts. Every distinct (host, path) is expanded once: host suffixes by the number of labels the rules use, times path
     prefixes of the lengths the rules use with that many labels, so any prefix is found, not just whole folders.
     """
     rules = rules.dropna(subset=["host", "path", "verdict"])
@@ -61,9 +62,8 @@ def judge(
     )
     # shapes are bounded by the lengths of host names and urls, not by the number of rules
     shapes = ruled.groupBy("_labels").agg(F.sort_array(F.collect_set("_chars")).alias("_chars")).collect()
-    rows = pages.drop("host", "path", "rule", "verdict").withColumn("host", host_of(F.col(url))).withColumn(
-        "path", path_of(F.col(url))
-    )
+    inside, back = apart(pages.drop("host", "path", "rule", "verdict"), url)
+    rows = inside.withColumn("host", host_of(F.col(url))).withColumn("path", path_of(F.col(url)))
     labels = F.split("host", r"\.")
     made = []
     for shape in shapes:
@@ -89,9 +89,11 @@ def judge(
     best = confirmed.groupBy("host", "path").agg(
         F.max(F.struct("_r._long", F.col("_r._verdict") == "block", "_r._rule", "_r._verdict")).alias("_best")
     )
-    return rows.join(best, ["host", "path"], "left").select(
-        *[c for c in pages.columns if c not in ("host", "path", "rule", "verdict")], "host", "path",
-        F.col("_best._rule").alias("rule"), F.coalesce("_best._verdict", F.lit(default)).alias("verdict"),
+    # a host has no slash and a path begins with one, so together they still tell sites apart
+    site = F.concat("host", "path")
+    found = join_unique(rows.withColumn("_site", site), best.select(site.alias("_site"), "_best"), "_site", "left")
+    return back(
+        found, "host", "path", F.col("_best._rule").alias("rule"), F.coalesce("_best._verdict", F.lit(default)).alias("verdict")
     )
 
 

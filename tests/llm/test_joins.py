@@ -345,3 +345,16 @@ def test_rules_by_definition(spark, broadcast_rules):
     assert len(rows) == len(urls_) + 3
     for r in rows:
         assert (r.host, r.path, r.rule, r.verdict) == judged(r.url, rules), r.url
+
+
+def test_a_site_of_most_pages_is_joined_in_parts(spark, monkeypatch):
+    from earshot.operators import joins
+
+    monkeypatch.setattr(joins.join_unique, "__defaults__", ("inner", None, 4, 10))
+    table = spark.createDataFrame(urls.RULES, "host string, path string, verdict string")
+    some = [None] * 300 + ["http://example.com/en/1"] * 200 + [f"http://x{i}.net/es/" for i in range(100)]
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(some)], "page_id bigint, url string").selectExpr("*", "'mine' AS _site", "map('a', url) AS _best")
+    found = urls.judge(pages, table)
+    assert found.columns == ["page_id", "url", "_site", "_best", "host", "path", "rule", "verdict"]
+    for r in found.collect():
+        assert (r.host, r.path, r.rule, r.verdict) == judged(r.url, urls.RULES) and r._site == "mine" and r._best == {"a": r.url}
