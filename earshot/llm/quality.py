@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from earshot.llm.text import _BLANK, buffers, hash_sample, slices, word_hashes
+from earshot.sources.store import materialize
 
 TREES = 200
 TREE_ROWS = 64
@@ -23,6 +24,7 @@ MIN_WORDS = 20
 MAX_REPEATED = 30  # per cent
 KEEP_GOOD = 0.995
 UNSURE = 0.62  # verdict where no labels are given
+BINS = 1 << 16
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 STATISTICS = (
@@ -194,12 +196,8 @@ def fit(
     docs: DataFrame, labels: DataFrame | None, fit_rows: int = FIT_ROWS, trees: int = TREES, tree_rows: int = TREE_ROWS,
     key: str = "doc_id", text: str = "text", quality: str = "quality",
 ) -> Forest | None:
-    """A forest from about ``fit_rows`` documents that pass the base rules, its threshold from about as many labelled ones.
-
-    The threshold is the score that splits good from bad labels best (true rate less false rate), but not below the
-    one that leaves ``KEEP_GOOD`` of the good rows in. Without labels of both kinds it is ``UNSURE``. None without
-    rows. Labels that are null are left out; a document with several is good only if all say so.
-    """
+    """A forest from about ``fit_rows`` documents that pass the base rules, its threshold from all labelled ones, see
+    ``calibrate``; ``UNSURE`` without labels. None without rows."""
     pick = lambda rows: np.array(rows.column("x").to_pylist(), float).reshape(-1, len(STATISTICS))
     sample = hash_sample(docs.select(key, text), key, fit_rows, seed=17)
     drawn = _measured(sample.select(F.col(text).alias("text"), F.lit(None).cast("int").alias("quality"))).toArrow()
@@ -208,34 +206,45 @@ def fit(
         return None
     rows = rows[np.lexsort(rows.T)]  # tasks end in any order
     forest = grow(rows, trees, tree_rows)
-    if labels is None:
-        return forest
-    known = labels.filter(F.col(quality).isNotNull() & F.col(key).isNotNull()).groupBy(key).agg(F.min(quality).alias("quality"))
-    chosen = F.broadcast(hash_sample(known, key, fit_rows, seed=19))  # bounded ids and labels
-    judged = _measured(docs.select(key, F.col(text).alias("text")).join(chosen, key).select("text", F.col("quality").cast("int").alias("quality"))).toArrow()
-    x, good = pick(judged), judged.column("quality").to_numpy().astype(float) > 0
-    if good.any() and (~good).any():
-        forest.threshold = threshold(forest.score(x), good)
+    if labels is not None:
+        wanted = docs.select(key, text).join(labels.select(key).distinct(), key, "left_semi")
+        forest.threshold = calibrate(score(wanted, forest, text), labels, key, quality)
     return forest
 
 
-def threshold(score: np.ndarray, good: np.ndarray, keep_good: float = KEEP_GOOD) -> float:
-    """Rows that score above it are anomalous. Ties fall on the kept side."""
-    cuts = np.unique(score)
-    kept_good = np.searchsorted(np.sort(score[good]), cuts, side="right") / good.sum()
-    kept_bad = np.searchsorted(np.sort(score[~good]), cuts, side="right") / (~good).sum()
+def calibrate(scored: DataFrame, labels: DataFrame, key: str = "doc_id", quality: str = "quality") -> float:
+    """The threshold from all labelled rows of ``scored`` (key, anomaly): the score that splits good from bad labels best
+    (true rate less false rate), but not below the one that leaves ``KEEP_GOOD`` of the good rows in.
+
+    Without labels of both kinds it is ``UNSURE``. Labels that are null are left out; a document with several is good
+    only if all say so. What comes to the driver are counts in ``BINS`` parts of the scores' range.
+    """
+    known = labels.filter(F.col(quality).isNotNull() & F.col(key).isNotNull()).groupBy(key).agg((F.min(quality) > 0).alias("good"))
+    place = F.least(F.floor(F.col("anomaly") * BINS), F.lit(BINS - 1))
+    found = scored.select(key, "anomaly").filter(F.col("anomaly").isNotNull()).join(known, key)
+    bins = found.groupBy(place.alias("bin")).agg(F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad")).orderBy("bin").collect()
+    good, bad = (np.array([row[kind] for row in bins], float) for kind in ("good", "bad"))
+    if not good.sum() or not bad.sum():
+        return UNSURE
+    cuts = (np.array([row["bin"] for row in bins]) + 1) / BINS
+    return threshold(cuts, good, bad)
+
+
+def threshold(cuts: np.ndarray, good: np.ndarray, bad: np.ndarray, keep_good: float = KEEP_GOOD) -> float:
+    """The best of ``cuts``, in ascending order, of which each has so many good and bad rows at or below it and above the one
+    before. Rows that score above the threshold are anomalous; ties fall on the kept side."""
+    kept_good, kept_bad = np.cumsum(good) / good.sum(), np.cumsum(bad) / bad.sum()
     gain = np.where(kept_good >= keep_good, kept_good - kept_bad, -np.inf)
     return float(cuts[int(gain.argmax())])
 
 
-def check(docs: DataFrame, forest: Forest | None, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` with the counts, ``base_failed``, ``anomaly`` and ``kept``; columns of these names are replaced.
+def score(docs: DataFrame, forest: Forest | None, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` with the counts, ``base_failed`` and ``anomaly``; columns of these names are replaced.
 
     Null, empty and blank texts have zero counts and fail the base rules. ``anomaly`` is null where the base rules
-    fail or there is no forest; without a forest the base rules alone decide.
+    fail or there is no forest.
     """
-    made = (*COUNTS, "base_failed", "anomaly", "kept")
-    rows = docs.drop(*made)
+    rows = docs.drop(*COUNTS, "base_failed", "anomaly")
     shared = docs.sparkSession.sparkContext.broadcast(forest)
     kind = ", ".join(f"{c}: bigint" for c in COUNTS)
 
@@ -248,17 +257,28 @@ def check(docs: DataFrame, forest: Forest | None, text: str = "text") -> DataFra
             score[scored] = shared.value.score(ratios[scored])
         return pa.StructArray.from_arrays([pa.array(c) for c in counts.T.copy()] + [pa.array(score, mask=~scored)], [*COUNTS, "anomaly"])
 
-    limit = F.lit(float(forest.threshold if forest is not None else 1.0))
     out = rows.withColumn("_said", judge(F.col(text))).select(*rows.columns, "_said.*")
     failed = base_failed(F.col("n_words"), F.col("n_repeat_words"))
-    return out.select(
-        *rows.columns, *COUNTS, failed.alias("base_failed"), "anomaly",
-        (~failed & F.coalesce(F.col("anomaly") <= limit, F.lit(True))).alias("kept"),
-    )
+    return out.select(*rows.columns, *COUNTS, failed.alias("base_failed"), "anomaly")
+
+
+def judged(scored: DataFrame, threshold: float) -> DataFrame:
+    """Scored rows with ``kept``: the base rules hold and the anomaly, if there is one, is not above the threshold."""
+    kept = ~F.col("base_failed") & F.coalesce(F.col("anomaly") <= F.lit(float(threshold)), F.lit(True))
+    return scored.drop("kept").withColumn("kept", kept)
+
+
+def check(docs: DataFrame, forest: Forest | None, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` with the counts, ``base_failed``, ``anomaly`` and ``kept``, see ``score`` and ``judged``; columns
+    of these names are replaced. Without a forest the base rules alone decide."""
+    return judged(score(docs, forest, text), forest.threshold if forest is not None else 1.0)
 
 
 def op2_quality(spark, sf_dir: str) -> DataFrame:
-    """Every document's rule statistics and verdict."""
+    """Every document's rule statistics and verdict. Texts are scored once; the threshold comes from the scores."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return check(docs, fit(docs, labels)).select("doc_id", *COUNTS, "base_failed", "anomaly", "kept")
+    forest = fit(docs, None)
+    scored = materialize(score(docs, forest).drop("text"), "scored")
+    limit = calibrate(scored, labels) if forest is not None else 1.0
+    return judged(scored, limit).select("doc_id", *COUNTS, "base_failed", "anomaly", "kept")

@@ -51,8 +51,9 @@ def judge(
     and path fits. An empty host label list, repeated pages and empty tables need no special case. Rules with a
     null in any column are left out.
 
-    Sites of very many pages, as that of null urls may be, are joined in parts. Every distinct (host, path) is expanded once: host suffixes by the number of labels the rules use, times path
+    Every distinct (host, path) is expanded once: host suffixes by the number of labels the rules use, times path
     prefixes of the lengths the rules use with that many labels, so any prefix is found, not just whole folders.
+    Sites of very many pages, as that of null urls may be, are joined in parts.
     """
     rules = rules.dropna(subset=["host", "path", "verdict"])
     ruled = rules.select(

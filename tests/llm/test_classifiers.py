@@ -218,10 +218,24 @@ def test_path_lengths_are_those_of_the_trees():
     assert np.isfinite(constant.score(np.ones((2, 3)))).all()
 
 
+def test_threshold_is_that_of_all_labelled_rows(spark):
+    rng = np.random.default_rng(4)
+    good = rng.random(3000) < 0.8
+    score = np.clip(np.where(good, rng.normal(0.4, 0.05, 3000), rng.normal(0.6, 0.08, 3000)), 0, 1)
+    scored = spark.createDataFrame([(i, float(s)) for i, s in enumerate(score)] + [(5000, None), (None, 0.9)], "doc_id bigint, anomaly double")
+    labels = spark.createDataFrame([(i, int(g)) for i, g in enumerate(good)] + [(5000, 0), (9999, 0), (None, 0), (0, None)], "doc_id bigint, quality int")
+    cuts = np.unique(score)
+    kept = [((score <= c) & good).sum() / good.sum() for c in cuts]
+    gain = [k - ((score <= c) & ~good).sum() / (~good).sum() if k >= quality.KEEP_GOOD else -1 for c, k in zip(cuts, kept)]
+    assert abs(quality.calibrate(scored, labels) - cuts[int(np.argmax(gain))]) <= 2 / quality.BINS
+    assert quality.calibrate(scored, labels.filter("quality = 1")) == quality.calibrate(scored.limit(0), labels) == quality.UNSURE
+
+
 def test_threshold_keeps_the_good():
     score = np.concatenate([np.linspace(0.3, 0.5, 200), np.linspace(0.45, 0.8, 50)])
     good = np.arange(250) < 200
-    cut = quality.threshold(score, good, 0.995)
+    order = np.argsort(score)
+    cut = quality.threshold(score[order], good[order], ~good[order], 0.995)
     assert (score[good] <= cut).mean() >= 0.995 and (score[~good] > cut).mean() > 0.7
 
 
