@@ -165,6 +165,7 @@ def fit(
         F.coalesce("text", F.lit("")).alias("text"), (F.col("_toxic") > 0).alias("toxic")
     )
     sample = rows.groupBy(F.xxhash64("text").alias("_h")).agg(F.first("text").alias("text"), F.max("toxic").alias("toxic"))
+    sample = materialize(sample, "toxic-sample")  # read several times
     # scores come from three quarters of the sample and what they mean from the rest, which they have not seen
     apart = F.pmod(F.col("_h"), F.lit(4)) == 0
     learnt, unseen = sample.filter(~apart).drop("_h"), sample.filter(apart).drop("_h")
@@ -192,7 +193,9 @@ def fit(
     error = F.sqrt(1 / (F.col("a") + 1) + 1 / (F.col("b") + 1))
     sure = lambda c: F.signum(odds(c)) * F.greatest(F.abs(odds(c)) - ERRORS * error, F.lit(0.0))
     # a neutral word under a strong stem is kept too: it has to overrule the stem
-    every = every.select("key", sure("share").alias("s"), odds("up").alias("u"), (F.col("a") + F.col("b")).alias("n"))
+    # rounded, as the last digits of sums depend on the order in which tasks end
+    near = lambda c, name: F.round(c, 9).alias(name)
+    every = every.select("key", near(sure("share"), "s"), near(odds("up"), "u"), near(F.col("a") + F.col("b"), "n"))
     every = every.filter((F.abs("s") >= STRONG) | (F.abs("u") >= STRONG))
     table = every.orderBy(F.desc(F.greatest(F.abs("s"), F.abs("u")) * F.log1p("n")), "key").limit(features).toArrow()
     keys = table.column("key").to_numpy().astype(np.int64).view(np.uint64)
@@ -210,7 +213,7 @@ def fit(
             values, n = np.unique(scores[np.repeat(clean, np.diff(at))], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(values), pa.array(n.astype(np.int64))], ["x", "n"])
 
-    seen = unseen.mapInArrow(profile, "x int, n bigint").groupBy("x").agg(F.sum("n").alias("n")).toArrow()
+    seen = unseen.mapInArrow(profile, "x int, n bigint").groupBy("x").agg(F.sum("n").alias("n")).toArrow().sort_by("x")
     model.rate = _rate(seen.column("x").to_numpy() / 100, seen.column("n").to_numpy())
     model.size = 1.0
     scaled = spark.sparkContext.broadcast(model)
@@ -225,7 +228,7 @@ def fit(
             ]
             yield pa.RecordBatch.from_arrays([pa.array(toxic_), pa.array(np.diff(at)), pa.array(best, pa.float64())], ["toxic", "n", "s"])
 
-    best = unseen.mapInArrow(measure, "toxic boolean, n bigint, s double").toArrow()
+    best = unseen.mapInArrow(measure, "toxic boolean, n bigint, s double").toArrow().sort_by([("s", "ascending"), ("n", "ascending")])
     n, s = best.column("n").to_numpy().astype(float), best.column("s").to_numpy()
     clean = ~best.column("toxic").to_numpy().astype(bool) & (n > 0)
     # the most likely constant of the extreme-value law, given its scale, from the best segments of clean texts
@@ -237,7 +240,7 @@ def fit(
             z = [e for _, e in final.value.passages(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(z, pa.float64())], ["toxic", "z"])
 
-    said = unseen.mapInArrow(judge, "toxic boolean, z double").toArrow()
+    said = unseen.mapInArrow(judge, "toxic boolean, z double").toArrow().sort_by([("z", "ascending"), ("toxic", "ascending")])
     model.slope, model.shift = _calibrate(said.column("z").to_numpy(), said.column("toxic").to_numpy().astype(float))
     for b in (shared_model, scaled, final):
         b.unpersist()

@@ -283,3 +283,17 @@ def test_a_full_cache_changes_nothing(spark):
 
 def test_path_constant():
     assert quality.path_constant(np.array([1, 2])).tolist() == [0, 1] and math.isclose(float(quality.path_constant(64)), 7.4727, rel_tol=0.01)
+
+
+def test_toxicity_does_not_depend_on_partitions(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    before, found = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for n in (3, 8):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            model = toxicity.fit(docs.repartition(n), labels)
+            found.append(sorted((r.doc_id, r.score, r.evidence) for r in toxicity.detect(docs, model).collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found[0] == found[1]
