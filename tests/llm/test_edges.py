@@ -78,7 +78,8 @@ def test_pieces(docs, none):
 def test_lines(docs, none):
     rows = lines.dedup_lines(docs, 3).collect()
     assert len(rows) == len(ROWS)
-    assert {r.text for r in rows if r.doc_id == 5} == {"the same row twice in the table"}
+    # every row is a place: the second of two equal rows repeats the first
+    assert sorted(r.text for r in rows if r.doc_id == 5) == ["", "the same row twice in the table"]
     assert [r.text for r in rows if r.doc_id == 8 and r.n_lines == 3] == ["Das ist ein Satz.\n"]
     assert lines.dedup_lines(none).count() == 0
 

@@ -222,8 +222,9 @@ def repeats(texts, run_words):
     return {i: sorted(x) for i, x in gone.items()}
 
 
+@pytest.mark.parametrize("broadcast_rows", [0, lines.BROADCAST_ROWS])
 @pytest.mark.parametrize("seed,run_words", [(0, 4), (1, 7), (2, 3), (3, 1)])
-def test_repeated_runs(spark, seed, run_words):
+def test_repeated_runs(spark, seed, run_words, broadcast_rows):
     rng = random.Random(seed)
     stock = [" ".join(rng.choice("abcdef") for _ in range(rng.choice([0, 1, 1, 2, 3, 5]))) for _ in range(14)]
     texts = {i: "\n".join(rng.choice(["", " "]) + rng.choice(stock) for _ in range(rng.randint(0, 9))) for i in range(25)}
@@ -231,10 +232,45 @@ def test_repeated_runs(spark, seed, run_words):
     docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
     wanted = repeats(texts, run_words)
     assert {r._id: r.lines for r in lines.repeated_lines(docs, run_words).collect()} == wanted
-    for r in lines.dedup_lines(docs, run_words).collect():
+    for r in lines.dedup_lines(docs, run_words, broadcast_rows=broadcast_rows).collect():
         rows = (texts[r.doc_id] or "").split("\n")
         left = "\n".join(x for k, x in enumerate(rows) if k not in wanted.get(r.doc_id, ()))
         assert r.text == (None if texts[r.doc_id] is None else left) and r.n_removed == len(wanted.get(r.doc_id, ()))
+    # each match stands line for line in the text it names, and is as long as it says
+    words = {i: [x.strip() for x in (t or "").split("\n")] for i, t in texts.items()}
+    found = lines.matches(docs, run_words, broadcast_rows=broadcast_rows).collect()
+    for r in found:
+        own = [x for x in words[r._id][r.first:r.last + 1] if x]
+        there = [x for x in words[r.from_id] if x]
+        assert len(own) == r.n_lines and sum(len(x.split()) for x in own) >= run_words and r.from_id <= r._id
+        assert own in [there[k:k + len(own)] for k in range(len(there))]
+    covered = defaultdict(set)
+    for r in found:
+        covered[r._id] |= {k for k in range(r.first, r.last + 1) if words[r._id][k]}
+    assert {i: sorted(x) for i, x in covered.items()} == wanted
+
+
+def test_matches_grow_both_ways(spark):
+    """A passage of 40 lines is one match, whatever its windows; its parts that stand earlier elsewhere have their own."""
+    passage = [f"line {k} of the passage" for k in range(40)]
+    texts = {1: passage, 2: ["before"] + passage + ["after"], 3: passage[5:20] + ["other"] + passage[30:], 4: ["new text " * 30] * 2}
+    docs = spark.createDataFrame([(i, "\n".join(t)) for i, t in texts.items()], "doc_id bigint, text string")
+    found = {(r._id, r.first, r.last, r.n_lines, r.from_id) for r in lines.matches(docs, 50).collect()}
+    assert found == {(2, 1, 40, 40, 1), (3, 0, 14, 15, 1), (3, 16, 25, 10, 1), (4, 1, 1, 1, 4)}
+
+
+@pytest.mark.parametrize("broadcast_rows", [0, lines.BROADCAST_ROWS])
+def test_rows_alike_in_id_and_text_are_places(spark, broadcast_rows):
+    body = "\n".join(f"line {k} of a copied text" for k in range(20)) + "\n\n"
+    rows = [(None, body, n) for n in range(4)] + [(7, body, 4), (7, body, 5), (None, "few words", 6), (None, "few words", 6), (None, None, 7), (None, None, 7)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, _runs int").withColumn("n_lines", F.lit("mine")).withColumn("_Number", F.lit(1))
+    out = lines.dedup_lines(docs.repartition(3), 50, broadcast_rows=broadcast_rows)
+    assert out.columns == ["doc_id", "text", "_runs", "_Number", "n_lines", "n_removed"]
+    out = out.collect()
+    assert len(out) == len(rows) and sorted(r.n_removed for r in out) == [0] * 5 + [20] * 5
+    kept = [r for r in out if r.text == body]
+    assert len(kept) == 1 and kept[0].doc_id is None
+    assert all(r.text == "\n" and r.n_lines == 22 for r in out if r.n_removed) and sum(r.text == "few words" for r in out) == 2
 
 
 def filled(sizes, repeats=3):
