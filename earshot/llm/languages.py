@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from earshot.llm.text import buffers, chunks, hash_sample, held_out
+from earshot.sources.store import materialize
 
 FIT_ROWS = 20_000
 BITS_PER_GRAM = 16
@@ -20,6 +21,8 @@ SMOOTH = 0.5
 UNKNOWN = "und"
 AMBIGUOUS = 0.6
 PIECE = 1 << 18
+PARTS = 3
+LEAST_SLOPE = 0.01
 
 _ORD = np.arange(256, dtype=np.uint8)
 _UPPER = (_ORD >= 65) & (_ORD <= 90)
@@ -42,25 +45,26 @@ def gram_bins(texts: pa.Array):
     ``bins`` has a row per gram length; grams around a byte that is no letter get the empty bin.
     """
     data, offsets = buffers(texts)
+    longest = max(GRAMS)
     for lo, hi in chunks(data, offsets, size=PIECE):
-        low = fold(data[lo:hi]).astype(np.uint64)
+        # grams that begin here may end in the next piece, so where pieces end does not matter
+        low = fold(data[lo : min(hi + longest - 1, int(offsets[-1]))]).astype(np.uint64)
+        low = np.append(low, np.zeros(hi - lo + longest - 1 - len(low), np.uint64))
         first = int(np.searchsorted(offsets, lo, side="right")) - 1
         last = int(np.searchsorted(offsets, hi, side="left"))
         at = np.clip(offsets[first : last + 1], lo, hi) - lo
         filled = np.flatnonzero(np.diff(at) > 0)
         numbers, starts = filled + first, at[filled]
-        ends = np.repeat(at[filled + 1], np.diff(np.append(starts, hi - lo)))
+        ends = np.repeat(offsets[numbers + 1] - lo, np.diff(np.append(starts, hi - lo)))
         left = ends - np.arange(hi - lo)
         bins = np.full((len(GRAMS), hi - lo), _NONE, np.int32)
         for g, n in enumerate(GRAMS):
-            if hi - lo < n:
-                continue
-            code = np.zeros(hi - lo - n + 1, np.uint64)
+            code = np.zeros(hi - lo, np.uint64)
             for k in range(n):
-                code = (code << np.uint64(8)) | low[k : hi - lo - n + 1 + k]
+                code = (code << np.uint64(8)) | low[k : k + hi - lo]
             hashed = (code * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BITS_PER_GRAM)
-            good = (left[: len(code)] >= n) & (low[1 : len(code) + 1] != 0)
-            bins[g, : len(code)] = np.where(good, hashed.astype(np.int32) + (g << BITS_PER_GRAM), _NONE)
+            good = (left >= n) & (low[1 : 1 + hi - lo] != 0)
+            bins[g] = np.where(good, hashed.astype(np.int32) + (g << BITS_PER_GRAM), _NONE)
         yield bins, numbers, starts
 
 
@@ -113,74 +117,99 @@ def codewords(n: int, seed: int = 5) -> np.ndarray:
 
 
 def _logistic(z: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> tuple[float, float]:
-    """Slope and shift of P(y | z), slightly drawn to 0 so that separable sides stay finite."""
-    x, w = np.stack([z, np.ones_like(z)]), np.zeros(2)
+    """Slope and shift of P(y | z), slightly drawn to 1 and 0 so that separable sides and few rows stay finite."""
+    x, prior = np.stack([z, np.ones_like(z)]), np.array([1.0, 0.0])
+    w = prior
     for _ in range(25):
         p = 1 / (1 + np.exp(-np.clip(w @ x, -30, 30)))
-        slope = x @ (y - p) - ridge * w
+        slope = x @ (y - p) - ridge * (w - prior)
         w = w + np.linalg.solve((x * (p * (1 - p) + 1e-9)) @ x.T + ridge * np.eye(2), slope)
-    return float(w[0]), float(w[1])
+    return max(round(float(w[0]), 6), LEAST_SLOPE), round(float(w[1]), 6)
+
+
+def _from_counts(languages: list[str], counts: np.ndarray) -> Model:
+    """The classifiers of gram counts (languages x bins); slopes, shifts and trust neutral."""
+    shares = counts + SMOOTH
+    shares /= shares.sum(axis=1, keepdims=True)
+    code = codewords(len(languages))
+    bits = code.shape[1]
+    weights = np.zeros((bits, _NONE + 1), np.float32)
+    for b in range(bits):
+        one, other = shares[code[:, b] > 0].mean(axis=0), shares[code[:, b] < 0].mean(axis=0)
+        weights[b, :_NONE] = np.log(one) - np.log(other)
+    return Model(languages, code, weights, np.ones(bits), np.zeros(bits), np.ones((len(languages), bits)))
 
 
 def fit(rows: DataFrame, text: str = "text", lang: str = "lang", fit_rows: int = FIT_ROWS, key: str = "doc_id") -> Model | None:
     """A model from about ``fit_rows`` labelled rows, chosen by a hash of ``key``; None where there is none.
 
-    Gram counts by language come from one pass over these rows, each bit's slope and each language's trust in the
-    bits from a second. What reaches the driver is bounded by languages times bins and by ``fit_rows``.
+    The sample is written once. Gram counts by language and part (by a hash of the text) come from one pass over it. A
+    second pass judges each part by the counts of the others, and these margins, of rows the counts have not seen, give
+    each bit's slope and each language's trust in the bits. The classifiers are those of all counts. A language
+    whose rows are all in one part has equal trust in all bits. What reaches the driver is bounded by parts times
+    languages times bins and by ``fit_rows``.
     """
     usable = rows.select(key, text, lang).filter(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}"))
-    sample = hash_sample(usable, key, fit_rows).select(F.col(text).alias("text"), F.col(lang).alias("lang"))
+    sample = hash_sample(usable, key, fit_rows).select(
+        F.col(text).alias("text"), F.col(lang).alias("lang"), F.pmod(F.xxhash64(F.lit(9), F.col(text)), F.lit(PARTS)).cast("int").alias("part")
+    )
+    sample = materialize(sample, "language_sample")
 
     def count(batches):
         for batch in batches:
             names, of = np.unique(np.array(batch.column("lang").to_pylist(), object).astype(str), return_inverse=True)
-            counts = np.zeros((len(names), _NONE + 1), np.int64)
+            of = of * PARTS + batch.column("part").to_numpy()
+            counts = np.zeros((len(names) * PARTS, _NONE + 1), np.int64)
             for bins, numbers, starts in gram_bins(batch.column("text")):
                 lengths = np.diff(np.append(starts, bins.shape[1]))
                 owner = np.repeat(of[numbers], lengths).astype(np.int64)
                 for row in bins:
                     counts += np.bincount(owner * (_NONE + 1) + row, minlength=counts.size).reshape(counts.shape)
-            where = np.nonzero(counts[:, :_NONE])
+            # the empty bin goes along, so that a language is known by its rows
+            counts[:, _NONE] = np.bincount(of, minlength=len(counts))
+            where = np.nonzero(counts)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(names[where[0]]), pa.array(where[1].astype(np.int32)), pa.array(counts[where])], ["lang", "bin", "n"]
+                [pa.array(names[where[0] // PARTS]), pa.array((where[0] % PARTS).astype(np.int32)), pa.array(where[1].astype(np.int32)), pa.array(counts[where])],
+                ["lang", "part", "bin", "n"],
             )
 
-    found = sample.mapInArrow(count, "lang string, bin int, n bigint").groupBy("lang", "bin").agg(F.sum("n").alias("n")).toArrow()
-    languages = sorted(set(found.column("lang").to_pylist()), key=lambda s: s.encode())
+    found = sample.mapInArrow(count, "lang string, part int, bin int, n bigint").groupBy("lang", "part", "bin").agg(F.sum("n").alias("n")).toArrow()
+    languages = sorted(set(found.column("lang").unique().to_pylist()), key=lambda s: s.encode())
     if not languages:
         return None
     place = {name: i for i, name in enumerate(languages)}
-    counts = np.zeros((len(languages), _NONE))
-    rows_ = np.array([place[x] for x in found.column("lang").to_pylist()])
-    counts[rows_, found.column("bin").to_numpy()] = found.column("n").to_numpy()
-    shares = counts + SMOOTH
-    shares /= shares.sum(axis=1, keepdims=True)
-    code = codewords(len(languages))
-    bits = code.shape[1]
-    weights = np.zeros((bits, _NONE + 1), np.float32)
-    for b in range(bits):
-        one, other = shares[code[:, b] > 0].mean(axis=0), shares[code[:, b] < 0].mean(axis=0)
-        weights[b, :_NONE] = np.log(one) - np.log(other)
-    model = Model(languages, code, weights, np.ones(bits), np.zeros(bits), np.ones((len(languages), bits)))
+    counts = np.zeros((PARTS, len(languages), _NONE + 1))
+    of = np.array([place[x] for x in found.column("lang").to_pylist()])
+    counts[found.column("part").to_numpy(), of, found.column("bin").to_numpy()] = found.column("n").to_numpy()
+    n_rows, counts = counts[:, :, _NONE], counts[:, :, :_NONE]
+    model = _from_counts(languages, counts.sum(axis=0))
+    bits = len(model.slope)
     if bits == 0:
         return model
-    shared = sample.sparkSession.sparkContext.broadcast(model)
+    others = sample.sparkSession.sparkContext.broadcast([_from_counts(languages, counts.sum(axis=0) - counts[p]) for p in range(PARTS)])
 
     def measure(batches):
         for batch in batches:
-            margins = shared.value.margins(batch.column("text"))
-            yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(list(margins), pa.list_(pa.float64()))], ["lang", "z"])
-
-    seen = sample.mapInArrow(measure, "lang string, z array<double>").toArrow()
-    z = np.array(seen.column("z").to_pylist())
+            parts = batch.column("part").to_numpy()
+            for p in np.unique(parts):
+                own = batch.filter(pa.array(parts == p))
+                margins = others.value[p].margins(own.column("text"))
+                yield pa.RecordBatch.from_arrays([own.column("lang"), own.column("part"), pa.array(list(margins), pa.list_(pa.float64()))], ["lang", "part", "z"])
+
+    seen = sample.mapInArrow(measure, "lang string, part int, z array<double>").toArrow()
+    z = np.round(np.array(seen.column("z").to_pylist()), 9)
     of = np.array([place[x] for x in seen.column("lang").to_pylist()])
+    strange = n_rows.sum(axis=0)[of] == n_rows[seen.column("part").to_numpy(), of]
+    z, of = z[~strange], of[~strange]
+    order = np.lexsort((*z.T, of))  # sums do not depend on the order of tasks
+    z, of = z[order], of[order]
     for b in range(bits):
-        model.slope[b], model.shift[b] = _logistic(z[:, b], (code[of, b] > 0).astype(float))
-    right = (z * model.slope + model.shift) * code[of] > 0
+        model.slope[b], model.shift[b] = _logistic(z[:, b], (model.code[of, b] > 0).astype(float))
+    right = (z * model.slope + model.shift) * model.code[of] > 0
     trust = np.stack([right[of == i].mean(axis=0) if (of == i).any() else np.ones(bits) for i in range(len(languages))])
     trust = np.maximum(trust, 1e-3)
     model.trust = trust / trust.mean(axis=1, keepdims=True)
-    shared.unpersist()
+    others.unpersist()
     return model
 
 
