@@ -6,10 +6,13 @@ import base64
 from collections import deque
 from collections.abc import Iterable
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from earshot.llm.text import buffers, chunks, spans
+
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 MARK = b" "
 CACHE = 200_000
@@ -82,51 +85,61 @@ def read_vocabulary(path: str) -> list[bytes]:
         return [base64.b64decode(line.split()[0]) for line in lines if line.strip()]
 
 
+def distinct_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """(the different byte strings among spans that do not overlap, for each span the number of its own)."""
+    edge = np.zeros(len(data) + 1, np.int8)
+    edge[starts] += 1
+    edge[ends] -= 1
+    body = data[np.cumsum(edge[:-1], dtype=np.int8) > 0]
+    at = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int64)
+    words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(at), pa.py_buffer(body)]).dictionary_encode()
+    return words.dictionary, words.indices.to_numpy()
+
+
 def count_tokens(docs: DataFrame, vocabulary: list[bytes], mark: bytes = MARK, text: str = "text", cache: int = CACHE) -> DataFrame:
     """The rows of ``docs`` with ``n_words``, ``n_tokens`` and ``n_unknown``; columns of these names are replaced.
 
     Words are runs without blanks. Each is matched with ``mark`` before it; pieces without the mark may follow. A
     word that the vocabulary cannot cover counts as one token and is counted in ``n_unknown``. Null, empty and blank
-    texts have zeros. A task remembers up to ``cache`` words and then starts anew; that bounds its memory only.
+    texts have zeros. A text goes by in pieces of some 1 MB that cut no word, and each distinct word of a piece is
+    matched once. A task remembers up to ``cache`` words and then starts anew; that bounds its memory only.
     """
     made = ("n_words", "n_tokens", "n_unknown")
     automaton = Automaton([p for p in vocabulary if p.startswith(mark)], [p for p in vocabulary if not p.startswith(mark)])
     shared = docs.sparkSession.sparkContext.broadcast(automaton)
-    known: dict[str, int] = {}
+    known: dict[bytes, int] = {}
+
+    def lengths(words: pa.Array) -> np.ndarray:
+        out = np.empty(len(words), np.int64)
+        for i, word in enumerate(words.to_pylist()):
+            pieces = known.get(word)
+            if pieces is None:
+                if len(known) >= cache:
+                    known.clear()
+                pieces = known[word] = shared.value.count(mark + word)
+            out[i] = pieces
+        return out
 
     @F.arrow_udf("struct<n_words: bigint, n_tokens: bigint, n_unknown: bigint>")
     def count(texts: pa.Array) -> pa.Array:
-        number, out = shared.value.count, ([], [], [])
-        for value in texts:
-            # str.split() would also split at other white space
-            words = (value.as_py() or "").translate(_BLANKS).split(" ")
-            total = unknown = n = 0
-            for word in words:
-                if not word:
-                    continue
-                n += 1
-                pieces = known.get(word)
-                if pieces is None:
-                    if len(known) >= cache:
-                        known.clear()
-                    pieces = known[word] = number(mark + word.encode())
-                if pieces:
-                    total += pieces
-                else:
-                    total += 1
-                    unknown += 1
-            for column, x in zip(out, (n, total, unknown)):
-                column.append(x)
-        return pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in out], list(made))
+        data, offsets = buffers(texts)
+        totals = np.zeros((len(made), len(texts)), np.int64)
+        for lo, hi in chunks(data, offsets):
+            starts, ends = spans(data, offsets, lo, hi)
+            distinct, of = distinct_words(data[lo:hi], starts, ends)
+            pieces = lengths(distinct)[of]
+            # texts of a piece in order; empty ones have no word here
+            text = np.searchsorted(offsets, starts + lo, side="right") - 1
+            first = np.flatnonzero(np.diff(text, prepend=-1))
+            for row, values in enumerate((np.ones_like(pieces), np.maximum(pieces, 1), pieces == 0)):
+                if len(first):
+                    totals[row, text[first]] += np.add.reduceat(values.astype(np.int64), first)
+        return pa.StructArray.from_arrays([pa.array(row) for row in totals], list(made))
 
     rows = docs.drop(*made)
     return rows.withColumn("_counts", count(F.col(text))).select(*rows.columns, *[F.col(f"_counts.{c}").alias(c) for c in made])
 
 
-# The blanks that end a word.
-_BLANKS = {code: " " for code in (0x20, *range(0x09, 0x0E))}
-
-
 def op8_token_count(spark, sf_dir: str, vocabulary: str = VOCABULARY) -> DataFrame:
     """Every document's word and token numbers."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
