@@ -297,3 +297,92 @@ def test_toxicity_does_not_depend_on_partitions(spark, sf_dir):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert found[0] == found[1]
+
+
+def plain_bins(text):
+    """Bins of all grams of a text whose second byte is a letter, one by one."""
+    data = (text or "").encode()
+    low, before = [], 0
+    for x in data:
+        letter = 65 <= x <= 90 or 97 <= x <= 122 or x >= 128
+        capital = 65 <= x <= 90 or (before == 0xC3 and 0x80 <= x <= 0x9E and x != 0x97)
+        low.append((x + 32 if capital else x) if letter else 0)
+        before = x
+    out = []
+    for g, n in enumerate(languages.GRAMS):
+        for i in range(len(low) - n + 1):
+            if low[i + 1]:
+                code = int.from_bytes(bytes(low[i:i + n]), "big")
+                out.append((code * 0x9E3779B97F4A7C15 % (1 << 64) >> (64 - languages.BITS_PER_GRAM)) + (g << languages.BITS_PER_GRAM))
+    return out
+
+
+@settings(max_examples=100, deadline=None)
+@given(texts=st.lists(st.one_of(st.none(), st.text(alphabet="aAbzé ÉÖß×.\n语😀", max_size=50)), max_size=6), piece=st.sampled_from([1, 7, 1 << 18]))
+def test_gram_bins_and_margins(texts, piece):
+    """Grams and sums do not depend on where pieces end."""
+    found, rng = [[] for _ in texts], np.random.default_rng(3)
+    weights = rng.normal(size=(2, languages._NONE + 1)).astype(np.float32)
+    weights[:, -1] = 0
+    model = languages.Model(["a", "b"], np.ones((2, 2)), weights, np.ones(2), np.zeros(2), np.ones((2, 2)))
+    before, languages.PIECE = languages.PIECE, piece
+    try:
+        for bins, numbers, starts in languages.gram_bins(pa.array(texts, pa.string())):
+            for lo, hi, text in zip(starts, [*starts[1:], bins.shape[1]], numbers):
+                found[text] += [b for row in bins[:, lo:hi] for b in row if b != languages._NONE]
+        margins = model.margins(pa.array(texts, pa.string()))
+    finally:
+        languages.PIECE = before
+    wanted = [plain_bins(t) for t in texts]
+    assert [sorted(x) for x in found] == [sorted(x) for x in wanted]
+    for own, z in zip(wanted, margins):
+        assert np.allclose(z, weights[:, own].sum(axis=1) / np.sqrt(len(own) + 1), atol=1e-4)
+
+
+def test_language_counts_and_slopes_by_hand(spark):
+    """Log-odds from counts of all rows; slopes and trust from margins of rows that the counts have not seen."""
+    rng = np.random.default_rng(8)
+    stock = {"de": ["das", "und", "nicht", "schön"], "en": ["the", "and", "not", "nice"], "fr": ["les", "des", "pas", "été"]}
+    rows = [(i, " ".join(rng.choice(stock[lang], 6)), lang) for i, lang in enumerate(sorted(stock) * 40)] + [(900, "uno", "it"), (901, None, "de"), (902, "the", None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = languages.fit(docs.repartition(5))
+    assert model.languages == ["de", "en", "fr", "it"]
+    parts = {r.doc_id: r.p for r in docs.select("doc_id", F.expr(f"pmod(xxhash64(9, text), {languages.PARTS})").alias("p")).collect()}
+
+    def weights(rows):
+        counts = np.zeros((4, languages._NONE))
+        for _, text, lang in rows:
+            np.add.at(counts[model.languages.index(lang)], plain_bins(text), 1)
+        shares = (counts + languages.SMOOTH) / (counts + languages.SMOOTH).sum(axis=1, keepdims=True)
+        return np.stack([np.log(shares[c > 0].mean(axis=0)) - np.log(shares[c < 0].mean(axis=0)) for c in model.code.T])
+
+    used = [r for r in rows if r[1] and r[2]]
+    assert np.allclose(model.weights[:, :-1], weights(used), atol=1e-5) and not model.weights[:, -1].any()
+    z, of = [], []
+    for part in range(languages.PARTS):
+        others = weights([r for r in used if parts[r[0]] != part])
+        for _, text, lang in [r for r in used if parts[r[0]] == part and r[2] != "it"]:
+            own = plain_bins(text)
+            z.append(others[:, own].sum(axis=1) / np.sqrt(len(own) + 1))
+            of.append(model.languages.index(lang))
+    z, sides = np.array(z), model.code[of] > 0
+    for b, (slope, shift) in enumerate(zip(model.slope, model.shift)):
+        # the best slope and shift have no gradient, but for the pull to 1 and 0
+        left = sides[:, b] - 1 / (1 + np.exp(-(slope * z[:, b] + shift)))
+        assert abs(left @ z[:, b] - (slope - 1)) < 1e-2 and abs(left.sum() - shift) < 1e-2
+    again = languages.fit(docs.repartition(2))
+    assert np.array_equal(model.slope, again.slope) and np.array_equal(model.shift, again.shift) and np.array_equal(model.trust, again.trust)
+    assert np.allclose(model.trust[3], 1)
+
+
+def test_pieces_of_long_texts_and_odd_blanks(spark):
+    """Texts longer than a piece, empty ones between them and other white space, against one word at a time."""
+    first, rest = [b" a", b" ab", b" \xc3\xa9"], [b"b", b"c", b"bc", b"\xc2\xa0"]
+    rng = np.random.default_rng(5)
+    long = "".join(rng.choice(["a", "b", "c", "é", "\u00a0", " ", "\t", "\n", "\x0b", "\r"], 900_000))
+    texts = ["", long, None, " \t", "abc", "", "x" * 2_000_000, long[::-1], "é\u2003a"]
+    rows = pieces.count_tokens(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").repartition(2), first + rest).collect()
+    automaton = pieces.Automaton(first, rest)
+    for r in rows:
+        counts = [automaton.count(b" " + w.encode()) for w in WORD.findall(texts[r.doc_id] or "")]
+        assert (r.n_words, r.n_tokens, r.n_unknown) == (len(counts), sum(max(c, 1) for c in counts), counts.count(0))
