@@ -159,19 +159,20 @@ def fit(rows: DataFrame, text: str = "text", lang: str = "lang", fit_rows: int =
         for batch in batches:
             names, of = np.unique(np.array(batch.column("lang").to_pylist(), object).astype(str), return_inverse=True)
             of = of * PARTS + batch.column("part").to_numpy()
-            counts = np.zeros((len(names) * PARTS, _NONE + 1), np.int64)
+            counts = np.zeros((len(names) * PARTS, _NONE + 1), np.int32)
             for bins, numbers, starts in gram_bins(batch.column("text")):
                 lengths = np.diff(np.append(starts, bins.shape[1]))
                 owner = np.repeat(of[numbers], lengths).astype(np.int64)
                 for row in bins:
-                    counts += np.bincount(owner * (_NONE + 1) + row, minlength=counts.size).reshape(counts.shape)
+                    np.add(counts, np.bincount(owner * (_NONE + 1) + row, minlength=counts.size).reshape(counts.shape), out=counts, casting="same_kind")
             # the empty bin goes along, so that a language is known by its rows
             counts[:, _NONE] = np.bincount(of, minlength=len(counts))
-            where = np.nonzero(counts)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(names[where[0] // PARTS]), pa.array((where[0] % PARTS).astype(np.int32)), pa.array(where[1].astype(np.int32)), pa.array(counts[where])],
-                ["lang", "part", "bin", "n"],
-            )
+            for at, own in enumerate(counts):
+                full = np.flatnonzero(own).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([names[at // PARTS]] * len(full), pa.string()), pa.array(np.full(len(full), at % PARTS, np.int32)), pa.array(full), pa.array(own[full].astype(np.int64))],
+                    ["lang", "part", "bin", "n"],
+                )
 
     found = sample.mapInArrow(count, "lang string, part int, bin int, n bigint").groupBy("lang", "part", "bin").agg(F.sum("n").alias("n")).toArrow()
     languages = sorted(set(found.column("lang").unique().to_pylist()), key=lambda s: s.encode())
