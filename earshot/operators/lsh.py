@@ -232,21 +232,6 @@ class BestInBuckets(BestSoFar):
                 scores = np.concatenate([(self.vectors[rows[k : k + wide]] * vectors[columns[k : k + wide]]).sum(axis=1) for k in range(0, len(rows), wide)])
                 self._add(rows, ids[columns], scores)
 
-    def _add(self, rows: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
-        """Scored pairs into the lists: the k best of each row, then these against what the row holds."""
-        order = np.lexsort((ids, -scores, rows))
-        rows, ids, scores = rows[order], ids[order], scores[order]
-        held, first = np.unique(rows, return_index=True)
-        place = np.arange(len(rows)) - np.repeat(first, np.diff([*first, len(rows)]))
-        kept = place < self.k
-        new = np.full((len(held), self.k), -np.inf)
-        found = np.full((len(held), self.k), np.iinfo(np.int64).max)
-        at = np.searchsorted(held, rows[kept])
-        new[at, place[kept]], found[at, place[kept]] = scores[kept], ids[kept]
-        both, items = np.hstack([self.scores[held], new]), np.hstack([self.items[held], found])
-        top = pick(both, items, self.k)
-        self.scores[held], self.items[held] = np.take_along_axis(both, top, axis=1), np.take_along_axis(items, top, axis=1)
-
 
 def search_tiles(
     queries: DataFrame,

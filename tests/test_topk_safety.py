@@ -64,3 +64,26 @@ def test_empty_sides(spark, vectors):
 def test_too_many_probes_raise(spark, vectors):
     with pytest.raises(ValueError, match="64 probes"):
         with_codes(table(spark, vectors[1]), 2, 6, 7, 37, probes=64)
+
+
+@pytest.mark.parametrize("k", [1, 10])
+def test_full_lists_are_sorted_again_for_few_pairs_only(monkeypatch, k):
+    import pyarrow as pa
+
+    from earshot.operators import topk
+
+    rng = np.random.default_rng(8)
+    q, v = rng.standard_normal((40, 6)), rng.standard_normal((4000, 6)).round(1)
+    v[2000:2100] = v[:100]  # copies, which tie
+    v = v[np.argsort(-np.linalg.norm(v, axis=1), kind="stable")]
+    rows = lambda m: pa.array(m.tolist(), pa.list_(pa.float64()))
+    best = topk.BestSoFar(pa.table({"cell": pa.array([0] * 40), "id": pa.array(range(40)), "vec": rows(q)}), k, False)
+    sizes, pick = [], topk.pick
+    monkeypatch.setattr(topk, "pick", lambda scores, *a: sizes.append(scores.size) or pick(scores, *a))
+    for at in range(0, 4000, 500):
+        part = slice(at, at + 500)
+        best.see(pa.record_batch({"cell": pa.array([0] * 500), "id": pa.array(range(4000)[part]), "vec": rows(v[part])}))
+    assert sum(sizes) < 40 * 4000 / 10
+    found = [np.concatenate(column) for column in zip(*best.rows())]
+    wanted = [i for u in q for i in np.lexsort((np.arange(4000), -(u * v).sum(axis=1)))[:k]]
+    assert found[1].tolist() == wanted
