@@ -435,21 +435,22 @@ def _meet(queries: pa.Table, tables: Sequence[int], probes: Sequence[int], codes
     most = max(tables)
     looks = np.asarray(queries["codes"].combine_chunks().flatten(), dtype=np.int64).reshape(queries.num_rows, most, -1)
     n, _, width = looks.shape
+    # the least look a pair meets in takes a byte for up to 254 looks, so pairs are gathered and compared as runs of bytes
+    small = np.uint8 if width < 255 else np.uint16 if width < 65_535 else np.int32
 
     def count(own: np.ndarray) -> np.ndarray:
         out = np.zeros((len(tables), len(probes)), np.int64)
         step = max(1, MEET_CELLS // max(codes, len(own)))
         for at in range(0, n, step):
             part = looks[at : at + step]
-            first = np.full((len(part), len(own)), width, np.int32)
+            first = np.full((len(own), len(part)), width, small)
             for t in range(most):
-                place = np.full((len(part), codes), width, np.int32)
+                place = np.full((codes, len(part)), width, small)
                 # a bucket is looked into once, so no place is written twice
-                np.put_along_axis(place, part[:, t], np.arange(width, dtype=np.int32)[None, :], axis=1)
-                np.minimum(first, place[:, own[:, t]], out=first)
+                place[part[:, t].T, np.arange(len(part))] = np.arange(width, dtype=small)[:, None]
+                np.minimum(first, place[own[:, t]], out=first)
                 if t + 1 in tables:
-                    here = np.cumsum(np.bincount(first.ravel(), minlength=width + 1))
-                    out[tables.index(t + 1)] += here[list(probes)]
+                    out[tables.index(t + 1)] += [np.count_nonzero(first <= p) for p in probes]
         return out
 
     return count

@@ -1,6 +1,7 @@
 import itertools
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -330,3 +331,68 @@ def test_all_settings_of_the_survey_run_by_default(spark):
     vectors = table(spark, np.random.default_rng(3).normal(size=(40, 4)))
     rows = sweep(vectors, vectors, 2).collect()
     assert {(r.tables, r.probes) for r in rows} == set(itertools.product((10, 20, 30, 40, 50), (0, 10, 50, 100)))
+
+
+def test_a_tile_holds_its_vectors_once():
+    from earshot.operators import topk
+
+    tile, _ = block_sizes(10**9, 10**9, 64, 10, 8)
+    assert tile * (3 * 8 * 64 + 16 * 10) <= topk.TILE_BYTES
+    made, seen = [], []
+
+    class Best(topk.BestSoFar):
+        def __init__(self, table):
+            super().__init__(table, 1, False)
+            made.append(self)
+
+        def see(self, items):
+            seen.append(pa.total_allocated_bytes() - before)
+            super().see(items)
+
+    def batch(side, n):
+        vec = pa.array(np.ones((n, 64)).tolist(), pa.list_(pa.float64()))
+        return pa.record_batch({"_side": pa.array([side] * n), "cell": pa.array([0] * n), "id": pa.array(range(n)), "vec": vec})
+
+    before = pa.total_allocated_bytes()
+    rows = [r for b in topk._search(Best)(batch(0 if at < 8 else 1, 1000) for at in range(10)) for r in b.to_pylist()]
+    assert len(rows) == 8000 and "vec" not in made[0].table.column_names
+    # the 4 MB of vectors are the matrix, and not in the batches that they came in as well
+    assert len(seen) == 2 and max(seen) < 1.5 * 8 * 64 * 8000
+
+
+def test_cells_that_share_a_block_fill_no_more_than_a_tile(spark):
+    from earshot.operators import topk
+
+    cells = spark.range(640).select(F.col("id").alias("cell"))
+    queries = cells.withColumn("query", F.explode(F.sequence(F.lit(1), F.lit(60)))).withColumn("vec", F.array(F.rand(1), F.rand(2)))
+    items = cells.select(F.col("cell"), F.col("cell").alias("item")).withColumn("vec", F.array(F.rand(3), F.rand(4)))
+    make = topk.BestSoFar
+
+    def held(table):
+        if table.num_rows > 500:
+            raise ValueError(f"a block of {table.num_rows} queries")
+        return make(table, 1, False)
+
+    found = topk.best_in_cells(queries, items, 1, "dot", 640, 640 * 60, 640, 500, 1000, make=held)
+    assert found.count() == 640 * 60
+
+
+def test_meetings_are_counted_in_bytes():
+    import tracemalloc
+
+    from earshot.operators import lsh
+
+    rng = np.random.default_rng(3)
+    for width, codes in ((5, 64), (300, 400)):
+        looks = np.stack([[rng.permutation(codes)[:width] for _ in range(3)] for _ in range(700)])
+        own = rng.integers(0, codes, (8000, 3))
+        table = pa.table({"codes": pa.array(looks.reshape(700, -1).tolist(), pa.list_(pa.int64()))})
+        count = lsh._meet(table, [1, 3], [0, width - 1], codes)
+        tracemalloc.start()
+        found = count(own)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        met = [looks[:, t, None, :] == own[None, :64, t, None] for t in range(3)]
+        few = [[(met[0][..., :p].any(2)).sum(), np.any([m[..., :p].any(2) for m in met], 0).sum()] for p in (1, width)]
+        assert count(own[:64]).tolist() == np.array(few).T.tolist() and found.shape == (2, 2)
+        assert peak < lsh.MEET_CELLS * (4 if width < 255 else 8)
