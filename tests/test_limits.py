@@ -101,3 +101,12 @@ def test_a_fit_without_a_number_is_never_chosen(spark, monkeypatch):
     table, best = tuning.cross_validate(rows, {"reg_param": (0.0, 0.1, 1.0), "alpha": (1.0,), "rank": (2,)})
     assert best == "refitted" and [v for p in chosen for k, v in p.items() if k.name == "regParam"] == [1.0]
     assert len(list(itertools.chain(table.collect()))) == 3
+
+
+def test_fits_run_side_by_side_and_come_in_order(spark):
+    import threading
+
+    cores, meeting = spark.sparkContext.defaultParallelism, threading.Barrier(2, timeout=20)
+    assert tuning.side_by_side(spark.range(1), 2) == cores // 2 and tuning.side_by_side(spark.range(1), 10**6) == 1
+    # each waits for another one, so one by one they would break the barrier
+    assert list(tuning.at_once(lambda n: (meeting.wait() >= 0) and n * n, [3, 1, 2, 5], 2)) == [9, 1, 4, 25]
