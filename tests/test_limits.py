@@ -110,3 +110,29 @@ def test_fits_run_side_by_side_and_come_in_order(spark):
     assert tuning.side_by_side(spark.range(1), 2) == cores // 2 and tuning.side_by_side(spark.range(1), 10**6) == 1
     # each waits for another one, so one by one they would break the barrier
     assert list(tuning.at_once(lambda n: (meeting.wait() >= 0) and n * n, [3, 1, 2, 5], 2)) == [9, 1, 4, 25]
+
+
+def test_truth_has_no_partition_per_shuffle_partition(spark):
+    """Every score shuffles the truth, with a block for each pair of partitions: a small truth has few."""
+    part = "CASE WHEN id % 7 = 0 THEN 'val' WHEN id % 7 = 1 THEN 'test' ELSE 'train' END AS split"
+    rows = spark.range(2000).selectExpr("cast(id % 50 AS string) AS user_id", "cast(id % 31 AS string) AS track_id", part, "1 + id % 4 AS count")
+    parts = [split_of(rows, name) for name in ("train", "val", "test")]
+    seen = []
+
+    def scorer(model, truth, k):
+        truth.count()
+        seen.append((truth.rdd.getNumPartitions(), sorted(map(tuple, truth.collect()))))
+        return {"k": k, "n_users": 1, "precision_at_k": 0.0, "map": 0.0}
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        jobs.transforms(*parts, k=5, scorer=scorer, rank=2, max_iter=1, blocks=2)
+        jobs.train(*parts, k=5, scorer=scorer, grid={"reg_param": (1.0,), "alpha": (1.0,), "rank": (2,)}, max_iter=1, blocks=2)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(seen) == 9 and all(count < 8 for count, _ in seen)
+    # the same truths for all transforms, and for the grid that of validation
+    val, test = seen[0][1], seen[1][1]
+    assert val != test and [found for _, found in seen] == [val, test] * 4 + [val]
+    assert sum(n for *_, n in val) == parts[1].count() and sum(n for *_, n in test) == parts[2].count()
