@@ -43,7 +43,15 @@ def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     )
 
 
-def directory(keys: DataFrame, limit: int, base: int = 0, last: int = CONTENT_BITS, step: int = STEP) -> tuple[list[tuple[int, DataFrame]], DataFrame]:
+def _dealt(table: DataFrame, rows: int, few: int) -> DataFrame:
+    """``table``, of at most so many rows, for a join that may send it to all tasks up to ``few`` of them. Spark's own check goes
+    by the size of its files, where numbers in order take a byte or two; in a task's lookup they take a hundred."""
+    return table if rows <= few else table.hint("merge")
+
+
+def directory(
+    keys: DataFrame, limit: int, base: int = 0, last: int = CONTENT_BITS, step: int = STEP, few: int = FEW
+) -> tuple[list[tuple[int, DataFrame]], DataFrame]:
     """([(depth, cells)], open cells): the directory of ``keys`` (_key, n_bytes) as lookups, each from the occupied cells
     of one depth to their shards, and the cells of ``last`` bits that are still too large.
 
@@ -51,7 +59,8 @@ def directory(keys: DataFrame, limit: int, base: int = 0, last: int = CONTENT_BI
     shortest prefix of its key whose bucket fits. Sums of fine cells give all coarser buckets, so no level needs a
     pass of its own; only cells that are too large even so have their rows counted again, ``step`` bits deeper.
     Lookups are (cell, n, depth, prefix, shard_bytes, shard_rows, oversize); ``n`` is the number of the cell's rows, and
-    ``oversize`` marks one row above the limit. Above ``base`` bits all buckets are known to be too large.
+    ``oversize`` marks one row above the limit. Above ``base`` bits all buckets are known to be too large. What has more than
+    ``few`` rows is joined by shuffle.
     """
     total = keys.agg(F.sum("n_bytes")).first()[0] or 0
     depth = min(last, max(base, math.ceil(math.log2(max(1, total / limit)))) + 2)
@@ -67,25 +76,25 @@ def directory(keys: DataFrame, limit: int, base: int = 0, last: int = CONTENT_BI
         buckets = levels.groupBy("depth", "prefix").agg(F.sum("bytes").alias("shard_bytes"), F.sum("rows").alias("shard_rows"))
         fits = (F.col("shard_bytes") <= limit) | (F.col("shard_rows") == 1)
         buckets = materialize(buckets.withColumn("fits", fits), "shard-buckets")
+        most = buckets.count()
         # a bucket that fits is a shard where its parent does not fit (or it is the root)
         full = buckets.filter(~F.col("fits")).select((F.col("depth") + 1).alias("depth"), F.col("prefix").alias("parent"))
         fitting = buckets.filter("fits").withColumn("parent", _coarser(F.col("prefix"), F.lit(1)))
-        leaves = fitting.filter(F.col("depth") > base).join(full, ["depth", "parent"], "left_semi")
+        leaves = fitting.filter(F.col("depth") > base).join(_dealt(full, most, few), ["depth", "parent"], "left_semi")
         if base == 0:
             leaves = leaves.unionByName(fitting.filter(F.col("depth") == 0))
         open_ = buckets.filter(~F.col("fits") & (F.col("depth") == depth))
         if last == depth == BITS:
             leaves = leaves.unionByName(open_.withColumn("parent", F.lit(0).cast("bigint")))
         shards = leaves.select("depth", "prefix", "shard_bytes", "shard_rows", (F.col("shard_bytes") > limit).alias("oversize"))
-        found = levels.select("cell", F.col("rows").alias("n"), "depth", "prefix").join(shards, ["depth", "prefix"])
+        found = levels.select("cell", F.col("rows").alias("n"), "depth", "prefix").join(_dealt(shards, most, few), ["depth", "prefix"])
         lookups.append((depth, materialize(found, "shard-lookup")))
         open_ = materialize(open_.select(F.col("prefix").alias("cell"), F.col("shard_rows").alias("n")), "shard-open")
         if depth == last or open_.isEmpty():
             return lookups, open_
         celled = rows.withColumn("cell", _prefix(F.col("_key"), depth))
-        rows = materialize(
-            join_unique(celled, open_.select("cell"), "cell", "left_semi", counts=open_).select("_key", "n_bytes"), "shard-rows"
-        )
+        able = _dealt(open_.select("cell"), open_.count(), few)
+        rows = materialize(join_unique(celled, able, "cell", "left_semi", counts=open_).select("_key", "n_bytes"), "shard-rows")
         base, depth = depth, min(last, depth + step)
 
 
@@ -93,9 +102,10 @@ def _to_cells(rows: DataFrame, cells: DataFrame, own: Column, few: int) -> DataF
     """Left join of ``rows`` with ``cells`` (cell, n, ...) on their own cell: sent to every task up to ``few`` rows, or
     else dealt out by cell, cells of many rows in parts."""
     keyed = rows.withColumn("cell", own)
-    if cells.count() <= few:
-        return keyed.join(F.broadcast(cells.drop("n")), "cell", "left").drop("cell")
-    return join_unique(keyed, cells.drop("n"), "cell", "left", counts=cells.select("cell", "n")).drop("cell")
+    n, found = cells.count(), cells.drop("n")
+    if n <= few:
+        return keyed.join(F.broadcast(found), "cell", "left").drop("cell")
+    return join_unique(keyed, _dealt(found, n, few), "cell", "left", counts=cells.select("cell", "n")).drop("cell")
 
 
 def _find(rows: DataFrame, lookups: list[tuple[int, DataFrame]], few: int) -> DataFrame:
@@ -125,14 +135,14 @@ def shard(docs: DataFrame, limit: int = LIMIT, doc_id: str = "doc_id", text: str
     inside, back = apart(docs.drop(*MADE), doc_id, text)
     keyed = _keyed(inside, doc_id, text)
     keys = materialize(keyed.select("_key", "n_bytes"), "shard-keys")
-    lookups, open_ = directory(keys, limit)
+    lookups, open_ = directory(keys, limit, few=few)
     if open_.isEmpty():
         found = _find(keyed, lookups, few)
     else:
         split = _to_cells(keyed, open_.withColumn("_hot", F.lit(True)), _prefix(F.col("_key"), CONTENT_BITS), few)
         place = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << (BITS - CONTENT_BITS)))
         hot = materialize(split.filter(F.col("_hot")).drop("_hot").withColumn("_key", F.col("_key") + place), "shard-alike")
-        deeper, _ = directory(hot.select("_key", "n_bytes"), limit, CONTENT_BITS, BITS)
+        deeper, _ = directory(hot.select("_key", "n_bytes"), limit, CONTENT_BITS, BITS, few=few)
         found = _find(split.filter(F.col("_hot").isNull()).drop("_hot"), lookups, few).unionByName(_find(hot, deeper, few))
     bits = F.when(F.col("_found.depth") == 0, "").otherwise(
         F.lpad(F.conv(F.col("_found.prefix").cast("string"), 10, 2), F.col("_found.depth"), F.lit("0"))

@@ -351,6 +351,23 @@ def test_copies_of_a_row_are_split(spark, few):
         assert {(r.shard_bytes, r.shard_rows) for r in own} == {(sum(r["n_bytes"] for r in own), len(own))}
 
 
+def test_tables_beyond_few_rows_are_never_sent_to_all_tasks(spark, monkeypatch):
+    """Spark's own check sends a written table to all tasks by the size of its files, which is small for numbers in order."""
+    docs = spark.createDataFrame([(i, "x" * (i % 50)) for i in range(400)], "doc_id bigint, text string")
+    plans, write = [], sharding.materialize
+
+    def noted(df, label):
+        plans.append((label, df._jdf.queryExecution().sparkPlan().toString()))
+        return write(df, label)
+
+    monkeypatch.setattr(sharding, "materialize", noted)
+    found = sharding.shard(docs, 300, few=-1)  # not even empty ones
+    plans.append(("found", found._jdf.queryExecution().sparkPlan().toString()))
+    joined = {label for label, plan in plans if "Join" in plan}
+    assert {"shard-lookup", "found"} <= joined and not [label for label, plan in plans if "Broadcast" in plan]
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, sharding.shard(docs, 300).collect()))
+
+
 def test_shards_as_files(spark, tmp_path):
     docs = spark.createDataFrame([(i, "x" * 30) for i in range(100)], "doc_id bigint, text string")
     sharding.write_shards(sharding.shard(docs, 500), str(tmp_path / "out"))
