@@ -37,6 +37,27 @@ def test_blocks_follow_the_rows():
     assert blocks_for(0) == 10 and blocks_for(10**11) == 20_000
 
 
+def test_cross_validation_cuts_large_tables_into_more_blocks(spark, monkeypatch):
+    """A block's ratings are held by one task, however few blocks were asked for; both ways of validating cut alike."""
+    from earshot.operators import models
+    from earshot.plans import queries
+
+    rows = spark.range(90).selectExpr("cast(id % 9 AS int) AS user_ix", "cast(id % 10 AS int) AS item_ix", "1 + id % 4 AS count")
+    grid, short = {"reg_param": (0.1,), "alpha": (1.0,), "rank": (2,)}, {"max_iter": 1, "blocks": 2}
+    used, fitted = [], type(als()).fit
+    monkeypatch.setattr(models, "ROWS_PER_BLOCK", 15)
+    monkeypatch.setattr(type(als()), "fit", lambda self, *a: used.append((self.getNumUserBlocks(), self.getNumItemBlocks())) or fitted(self, *a))
+    found = tuning.cross_validate(rows, grid, 3, seed=42, **short)[0].first()["rmse"]
+    assert used and set(used) == {(6, 6)}
+    used.clear()
+    assert found == pytest.approx(queries.plain_cross_validation(rows, grid, 3, **short)[0.1, 2], rel=1e-3)
+    assert used == [(6, 6)] * 3
+    used.clear()
+    monkeypatch.setattr(models, "ROWS_PER_BLOCK", 1000)
+    tuning.cross_validate(rows, grid, 3, seed=42, **short)
+    assert set(used) == {(2, 2)}
+
+
 def test_codecs_report_the_best_of_a_grid(monkeypatch, spark):
     results = spark.createDataFrame(
         [(0.1, 1.0, 2, 20, 5, 0.1, 0.1), (1.0, 1.0, 2, 20, 5, 0.3, 0.4)], tuning.GRID_SCHEMA
